@@ -16,10 +16,9 @@ def bronze_ingest(messages: DataFrame, ingested_at: Column | None = None) -> Dat
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
-    ).select(
-        "event.*", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp",
         (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at"),
-    )
+    ).select("event.*", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp",
+             "ingested_at")
 
 
 def bronze_summary(bronze: DataFrame) -> DataFrame:

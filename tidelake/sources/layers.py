@@ -63,16 +63,14 @@ class LakePaths:
         return self._at("checkpoints")
 
 
-def current_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
-    """Newest published version, optionally older than ``before``; null before the first one."""
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """Newest published version; None before the first one."""
     try:
         published = spark.read.schema("version bigint").json(f"{root}/versions")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    if before is not None:
-        published = published.where(F.col("version") < before)
     return published.agg(F.max("version")).first()[0]
 
 
@@ -80,28 +78,23 @@ def _version_path(root: str, version: int) -> str:
     return f"{root}/version-{version:010d}"
 
 
-def read_layer(
-    spark: SparkSession, root: str, table_format: str = "parquet", before: int | None = None,
-) -> DataFrame:
+def read_layer(spark: SparkSession, root: str, table_format: str = "parquet") -> DataFrame:
     """The current snapshot of a versioned table, or a table of another format."""
     if table_format != "parquet":
         return spark.read.format(table_format).load(root)
-    version = current_version(spark, root, before)
+    version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"no published version under {root}")
     return spark.read.parquet(_version_path(root, version))
 
 
 def write_snapshot(
-    frame: DataFrame,
-    root: str,
-    schema: T.StructType,
-    table_format: str = "parquet",
-    version: int | None = None,
+    frame: DataFrame, root: str, schema: T.StructType, table_format: str = "parquet",
 ) -> str:
     """Replace a whole table, whose schema must not change. Returns where the rows are.
 
-    ``version`` may be given by a stream, so that a repeated batch rewrites its own directory.
+    Rows may come from the current version: it stays in place. A write that failed before it was
+    published is overwritten by the next one.
     """
     rows = assert_schema(frame, schema)
     if table_format != "parquet":
@@ -110,14 +103,11 @@ def write_snapshot(
         return root
     spark = frame.sparkSession
     newest = current_version(spark, root)
-    if version is None:
-        version = 0 if newest is None else newest + 1
-    path = _version_path(root, version)
-    rows.write.mode("overwrite").parquet(path)
-    if newest is None or newest < version:
-        spark.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(
-            1).write.mode("append").json(f"{root}/versions")
-    return path
+    version = 0 if newest is None else newest + 1
+    rows.write.mode("overwrite").parquet(_version_path(root, version))
+    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(
+        1).write.mode("append").json(f"{root}/versions")
+    return _version_path(root, version)
 
 
 def write_create(
