@@ -30,6 +30,7 @@ EPOCH_MILLIS_FROM = 20_000_000_000
 UUID = r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
 UUID_SPELLINGS = rf"\A({UUID}|\{{{UUID}\}}|(?-i:urn:uuid:){UUID}|(?i)[0-9a-f]{{32}})\z"
 DECIMAL = r"\A[+-]?(?=[.]?\d)(\d*)[.]?(\d*)(?:[eE]([+-]?\d+))?\z"
+PLAIN_DECIMAL = rf"\A\d{{1,{WHOLE_DIGITS}}}([.]\d{{1,{DECIMAL_PLACES}}})?\z"
 LOCAL_TIME = (r"\A(\d{4}-\d{2}-\d{2})[Tt _]([01]\d|2[0-3]):([0-5]\d)"
               r"(?::([0-5]\d)(?:[.,](\d+))?)?")
 OFFSET = r"(?:[Zz]|([+\-−])([01]\d|2[0-3]):?([0-5]\d))\z"
@@ -38,11 +39,12 @@ EPOCH = r"\A[+-]?\d+([.]\d+)?\z"
 
 @dataclass(frozen=True)
 class Field:
-    """One field of a parsed message: JSON kind, text and the checks that follow from them."""
+    """One field of a parsed message: JSON kind, raw text, and the value read from it."""
 
     name: str
     kind: Column
     text: Column
+    value: Column
 
     def fail(self, rule: str, message: str) -> Column:
         return F.struct(F.lit(self.name).alias("field"), F.lit(rule).alias("rule"),
@@ -94,7 +96,7 @@ def check_uuid(f: Field) -> Column:
 def check_text(low: int, high: int, optional: bool = False) -> Callable[[Field], Column]:
     def check(f: Field) -> Column:
         accepted = f.is_string() | (f.kind == "VOID") if optional else f.is_string()
-        size = F.length(strip(f.text))
+        size = F.length(f.value)
         return (F.when(~accepted, f.fail("string", "Input should be a valid string"))
                 .when(size < low, f.fail(
                     "length", f"String should have at least {low} characters"))
@@ -107,7 +109,7 @@ def check_text(low: int, high: int, optional: bool = False) -> Callable[[Field],
 def check_pattern(pattern: str, shown: str) -> Callable[[Field], Column]:
     def check(f: Field) -> Column:
         return (F.when(~f.is_string(), f.fail("string", "Input should be a valid string"))
-                .when(~strip(f.text).rlike(pattern), f.fail(
+                .when(~f.value.rlike(pattern), f.fail(
                     "pattern", f"String should match pattern '{shown}'")))
 
     return check
@@ -118,7 +120,10 @@ def _decimal_text(text: Column) -> Column:
 
 
 def check_decimal(f: Field) -> Column:
-    """Size and sign of a decimal in any notation, trailing zeros not counted."""
+    """Size and sign of a decimal in any notation, trailing zeros not counted.
+
+    The usual notation passes on one pattern; the others are taken apart.
+    """
     text = _decimal_text(f.text)
     whole, fraction = F.regexp_extract(text, DECIMAL, 1), F.regexp_extract(text, DECIMAL, 2)
     exponent = F.coalesce(F.regexp_extract(text, DECIMAL, 3).try_cast("int"), F.lit(0))
@@ -127,7 +132,8 @@ def check_decimal(f: Field) -> Column:
     scale = F.length(fraction) - exponent
     places = scale - (F.length(digits) - F.length(core))
     nonzero = core != ""
-    return (F.when(~(f.is_string() | f.is_number()), f.fail(
+    return (F.when(f.is_string() & f.text.rlike(PLAIN_DECIMAL), None)
+            .when(~(f.is_string() | f.is_number()), f.fail(
                 "decimal", "Decimal input should be an integer, float or string"))
             .when(~text.rlike(DECIMAL) | text.rlike(r"[eE][+-]?\d{5,}\z"), f.fail(
                 "decimal", "Input should be a valid decimal"))
@@ -147,8 +153,8 @@ def to_amount(text: Column) -> Column:
 def to_utc(text: Column) -> Column:
     """Instant of an ISO text with offset or of an epoch number; null when it is neither.
 
-    The offset is applied by arithmetic because a cast accepts at most 18 hours. Epoch numbers
-    are seconds up to a fixed size and milliseconds beyond it.
+    What a cast cannot read is taken apart: texts without seconds, other separators, and offsets
+    beyond 18 hours. Epoch numbers are seconds up to a fixed size and milliseconds beyond it.
     """
     part = lambda n: F.regexp_extract(text, LOCAL_TIME + OFFSET, n)
     second = F.when(part(4) == "", "00").otherwise(part(4))
@@ -156,11 +162,12 @@ def to_utc(text: Column) -> Column:
                      F.lit("."), F.rpad(F.substring(part(5), 1, 6), 6, "0"), F.lit("Z"))
     minutes = F.coalesce(part(7).try_cast("int") * 60 + part(8).try_cast("int"), F.lit(0))
     signed = F.when(part(6) == "+", -minutes).otherwise(minutes)
-    stamped = local.try_cast("timestamp") + F.make_dt_interval(mins=signed)
+    stamped = F.coalesce(text.try_cast("timestamp"),
+                         local.try_cast("timestamp") + F.make_dt_interval(mins=signed))
     number = text.try_cast("decimal(30,9)")
     micros = F.when(F.abs(number) > EPOCH_MILLIS_FROM, number * 1_000).otherwise(number * 1_000_000)
     epoch = F.timestamp_micros(micros.try_cast("bigint"))
-    return (F.when(text.rlike(LOCAL_TIME + OFFSET) & ~text.startswith("0000"), stamped)
+    return (F.when(text.rlike(LOCAL_TIME + OFFSET), F.when(~text.startswith("0000"), stamped))
             .when(text.rlike(EPOCH) & (F.abs(micros) < F.lit(253_402_300_800_000_000)), epoch))
 
 
@@ -168,10 +175,21 @@ def check_timestamp(f: Field) -> Column:
     naive = f.text.rlike(LOCAL_TIME + r"\z") | f.text.rlike(r"\A\d{4}-\d{2}-\d{2}\z")
     return (F.when(~(f.is_string() | f.is_number()), f.fail(
                 "timestamp", "Input should be a valid datetime"))
+            .when(f.value.isNotNull(), None)
             .when(naive, f.fail("tz_aware", "occurred_at must include a timezone offset"))
-            .when(to_utc(f.text).isNull(), f.fail(
-                "timestamp", "Input should be a valid datetime")))
-
+            .otherwise(f.fail("timestamp", "Input should be a valid datetime")))
+
+
+VALUES: dict[str, Callable[[Column], Column]] = {
+    "event_id": canonical_uuid,
+    "event_type": strip,
+    "customer_id": strip,
+    "occurred_at": to_utc,
+    "amount": to_amount,
+    "currency": strip,
+    "document_text": strip,
+    "schema_version": strip,
+}
 
 CHECKS: dict[str, Callable[[Field], Column]] = {
     "event_id": check_uuid,

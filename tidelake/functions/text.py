@@ -7,27 +7,30 @@ from pyspark.sql import functions as F
 
 from tidelake.functions.arrays import run_lengths
 
-# The characters str.split() treats as whitespace, as a regex class.
-SPLIT_WHITESPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
+# The characters str.split() treats as whitespace, as the inside of a regex class.
+SPLIT_WHITESPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 
-# The Unicode White_Space property, which the contract strips from strings.
-CONTRACT_WHITESPACE = r"[\t-\r \x85\p{Z}]+"
+# The Unicode White_Space characters, which the contract strips from strings. They
+# are those of SPLIT_WHITESPACE without the four information separators.
+CONTRACT_WHITESPACE = "".join(
+    c for c in map(chr, range(0x3001)) if c.isspace() and not 0x1C <= ord(c) <= 0x1F)
 
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 
 
 def normalize_space(text: Column) -> Column:
     """Collapse every whitespace run to one space and strip both ends."""
-    return F.trim(F.regexp_replace(text, SPLIT_WHITESPACE, " "))
+    return F.trim(F.regexp_replace(text, f"[{SPLIT_WHITESPACE}]+", " "))
 
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(text, rf"\A{CONTRACT_WHITESPACE}|{CONTRACT_WHITESPACE}\z", "")
+    return F.btrim(text, F.lit(CONTRACT_WHITESPACE))
 
 
 def is_blank(text: Column) -> Column:
-    return text.isNull() | (normalize_space(text) == "")
+    """Null or without any visible character; reads no further than the first one."""
+    return text.isNull() | ~text.rlike(f"[^{SPLIT_WHITESPACE}]")
 
 
 def require_text(text: Column, message: str) -> Column:

@@ -36,8 +36,8 @@ def document_metadata(events: DataFrame, source_prefix: str = SOURCE_PREFIX) ->
 
 def normalize_text(documents: DataFrame) -> DataFrame:
     """Collapse whitespace and drop documents without any other character."""
-    return documents.withColumn("text", normalize_space(F.col("text"))).where(
-        F.col("text") != "")
+    return documents.where(~is_blank(F.col("text"))).withColumn(
+        "text", normalize_space(F.col("text")))
 
 
 def window_pattern(size: int, overlap: int) -> re.Pattern[str]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +25,8 @@ BLOCK_QUERIES = 128
 BLOCK_TERMS = 16_384
 
 
-@dataclass
-class QueryBlock:
-    """Queries by terms: per field, a weight for each vocabulary term in each query."""
-
-    vocabulary: pa.Array
-    weights: dict[str, np.ndarray]
+# Queries by terms: a vocabulary and, per field, the weight of each of its terms in each query.
+QueryBlock = tuple[pa.Array, dict[str, np.ndarray]]
 
 
 def query_terms(queries: DataFrame, query: str = "query", query_id: str = "query_id") -> DataFrame:
@@ -91,20 +86,22 @@ def bm25_search(
         return blocks
 
     def score(table: pa.Table, block: QueryBlock) -> Iterator[tuple[int, np.ndarray]]:
-        width = len(block.vocabulary)
-        fields = {f: _term_norms(table, f, block.vocabulary, average.get(f, 1.0)) for f in FIELDS}
-        for start, end in row_slices(table.num_rows, max(width, block.weights["text"].shape[1])):
+        vocabulary, weights = block
+        width = len(vocabulary)
+        fields = {f: _term_norms(table, f, vocabulary, average.get(f, 1.0)) for f in FIELDS}
+        for start, end in row_slices(table.num_rows, max(width, weights["text"].shape[1])):
             scores = None
             for f, (row, term, norm) in fields.items():
                 low, high = np.searchsorted(row, [start, end])
                 weight = np.zeros((end - start, width))
                 weight[row[low:high] - start, term[low:high]] = norm[low:high]
-                mine = BOOST[f] * (weight @ block.weights[f])
+                mine = BOOST[f] * (weight @ weights[f])
                 scores = mine if scores is None else np.maximum(scores, mine)
             yield start, scores
 
+    needed = ["chunk_id", *[f"{f}_{part}" for f in FIELDS for part in ("terms", "length")]]
     return top_matches(
-        index, grouped, prepare, score, k, "chunk_id", query_id, "lexical_score", floor=0.0,
+        index.select(*needed), grouped, prepare, score, k, "chunk_id", query_id, "lexical_score", floor=0.0,
         sized_by=queries.select(query_id, query), query_rows=query_rows, **sizes)
 
 
@@ -117,7 +114,7 @@ def _query_block(terms: pa.ListArray) -> QueryBlock:
     for f in FIELDS:
         weights[f] = np.zeros((len(coded.dictionary), len(terms)))
         weights[f][code, owner] = flat.field(f).to_numpy()
-    return QueryBlock(coded.dictionary, weights)
+    return coded.dictionary, weights
 
 
 def _term_norms(table: pa.Table, field: str, vocabulary: pa.Array, average: float,

@@ -14,15 +14,19 @@ from tidelake.functions.text import term_frequencies
 FIELDS = ("title", "text")
 
 
+def with_terms(chunks: DataFrame) -> DataFrame:
+    """Add per field ``array<struct<term, tf>>`` and the length in tokens."""
+    terms = chunks.withColumns({
+        f"{f}_terms": term_frequencies(F.col(f)) for f in FIELDS})
+    return terms.withColumns({
+        f"{f}_length": F.aggregate(F.col(f"{f}_terms.tf"), F.lit(0), lambda acc, tf: acc + tf)
+        for f in FIELDS})
+
+
 def bm25_index(chunks: DataFrame) -> DataFrame:
-    """Per chunk and field: ``array<struct<term, tf>>`` and the length in tokens."""
-    indexed = chunks.select("chunk_id", *[
-        term_frequencies(F.col(f)).alias(f"{f}_terms") for f in FIELDS])
-    return indexed.select("chunk_id", *[column for f in FIELDS for column in (
-        F.col(f"{f}_terms"),
-        F.aggregate(F.col(f"{f}_terms.tf"), F.lit(0), lambda acc, tf: acc + tf).alias(
-            f"{f}_length"),
-    )])
+    """What lexical search reads of each chunk."""
+    return with_terms(chunks).select(
+        "chunk_id", *[f"{f}_{part}" for f in FIELDS for part in ("terms", "length")])
 
 
 def postings(index: DataFrame) -> DataFrame:

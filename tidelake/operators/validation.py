@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions import contract as c
-from tidelake.functions.text import strip
+from tidelake.schemas import EVENT
 
 ERRORS = "array<struct<field:string,rule:string,message:string>>"
 
@@ -43,10 +43,12 @@ def validate_events(messages: DataFrame) -> DataFrame:
         **{f"_kind_{n}": c.field_kind(wrapped, n) for n in known},
         **{f"_text_{n}": c.field_text(wrapped, n) for n in known},
     )
+    read = _once(parsed, parsed.columns, **{
+        f"_value_{n}": c.VALUES[n](F.col(f"_text_{n}")) for n in known})
     keys = F.col("_keys")
     field_errors = [
-        F.when(F.array_contains(keys, n),
-               c.CHECKS[n](c.Field(n, F.col(f"_kind_{n}"), F.col(f"_text_{n}"))))
+        F.when(F.array_contains(keys, n), c.CHECKS[n](c.Field(
+            n, F.col(f"_kind_{n}"), F.col(f"_text_{n}"), F.col(f"_value_{n}"))))
         for n in known
     ]
     errors = F.when(keys.isNull(), F.array(F.struct(
@@ -59,19 +61,9 @@ def validate_events(messages: DataFrame) -> DataFrame:
         _key_errors(F.array_except(keys, F.array(*map(F.lit, known))),
                     "extra_forbidden", "Extra inputs are not permitted"),
     ))
-    text = {n: F.col(f"_text_{n}") for n in known}
-    event = F.struct(
-        c.canonical_uuid(text["event_id"]).alias("event_id"),
-        strip(text["event_type"]).alias("event_type"),
-        strip(text["customer_id"]).alias("customer_id"),
-        c.to_utc(text["occurred_at"]).alias("occurred_at"),
-        c.to_amount(text["amount"]).alias("amount"),
-        strip(text["currency"]).alias("currency"),
-        strip(text["document_text"]).alias("document_text"),
-        strip(text["schema_version"]).alias("schema_version"),
-    )
+    event = F.struct(*[F.col(f"_value_{f.name}").alias(f.name) for f in EVENT.fields])
     return (
-        _once(parsed, parsed.columns, errors=errors.cast(ERRORS))
+        _once(read, read.columns, errors=errors.cast(ERRORS))
         .withColumn("event", F.when(F.size("errors") == 0, event))
         .select(*kept, "errors", "event")
     )
@@ -90,16 +82,21 @@ def split_valid_quarantine(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid_events(validated), rejected_events(validated)
 
 
-def quarantine_records(validated: DataFrame, rejected_at: Column | None = None) -> DataFrame:
-    """Rejected payloads with every reason and their source coordinates."""
-    return rejected_events(validated).select(
+def quarantine_fields(rejected_at: Column | None = None) -> list[Column]:
+    """The quarantine record of a rejected row, as columns."""
+    return [
         F.col("value").alias("payload"),
         F.to_json("errors").alias("rejection_reason"),
         F.struct(
             "topic", "partition", "offset", F.col("timestamp").alias("received_at"),
         ).alias("source"),
         (F.current_timestamp() if rejected_at is None else rejected_at).alias("rejected_at"),
-    )
+    ]
+
+
+def quarantine_records(validated: DataFrame, rejected_at: Column | None = None) -> DataFrame:
+    """Rejected payloads with every reason and their source coordinates."""
+    return rejected_events(validated).select(*quarantine_fields(rejected_at))
 
 
 def quarantine_overview(validated: DataFrame) -> DataFrame:

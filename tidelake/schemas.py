@@ -65,8 +65,15 @@ CHUNK = T.StructType([
     T.StructField("text", T.StringType()),
 ])
 
+TERMS = T.ArrayType(T.StructType([
+    T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())]))
+
 INDEXED_CHUNK = T.StructType(CHUNK.fields + [
     T.StructField("embedding", T.ArrayType(T.FloatType())),
+    T.StructField("title_terms", TERMS),
+    T.StructField("title_length", T.IntegerType()),
+    T.StructField("text_terms", TERMS),
+    T.StructField("text_length", T.IntegerType()),
 ])
 
 RAW_TOPIC = "raw.events"

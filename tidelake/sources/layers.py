@@ -31,12 +31,9 @@ class LakePaths:
         return self._at("raw")
 
     @property
-    def validated(self) -> str:
-        return self._at("validated")
-
-    @property
-    def quarantine(self) -> str:
-        return self._at("quarantine")
+    def topics(self) -> str:
+        """Published messages, one directory per topic."""
+        return self._at("topics")
 
     @property
     def bronze(self) -> str:

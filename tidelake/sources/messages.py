@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.operators.validation import quarantine_records, valid_events
-from tidelake.schemas import MESSAGE, QUARANTINE_TOPIC, VALIDATED_TOPIC
+from tidelake.operators.validation import quarantine_fields, rejected_events, valid_events
+from tidelake.schemas import EVENT, MESSAGE, QUARANTINE_TOPIC, VALIDATED_TOPIC
 
 
 def read_json_events(spark: SparkSession, path: str) -> DataFrame:
@@ -47,32 +47,52 @@ def iso_utc(instant: Column) -> Column:
                     F.lit("Z"))
 
 
+def _event_json() -> Column:
+    fields = [F.col(f"event.{f.name}") for f in EVENT.fields]
+    fields[EVENT.names.index("occurred_at")] = iso_utc(F.col("event.occurred_at")).alias(
+        "occurred_at")
+    fields[EVENT.names.index("amount")] = F.col("event.amount").cast("string").alias("amount")
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def _quarantine_json(rejected_at: Column | None) -> Column:
+    source = F.struct("topic", "partition", "offset",
+                      iso_utc(F.col("timestamp")).alias("received_at"))
+    payload, reason, _, rejected = quarantine_fields(rejected_at)
+    return F.to_json(F.struct(payload, reason, source.alias("source"),
+                              iso_utc(rejected).alias("rejected_at")))
+
+
+def _source_key() -> Column:
+    return F.concat_ws(":", "topic", "partition", "offset")
+
+
 def validated_sink(validated: DataFrame, topic: str = VALIDATED_TOPIC) -> DataFrame:
     """Valid events as messages keyed by event ID; source coordinates stay with them."""
-    fields = [F.col(f"event.{n}") for n in (
-        "event_id", "event_type", "customer_id", "occurred_at", "amount", "currency",
-        "document_text", "schema_version")]
-    fields[3] = iso_utc(F.col("event.occurred_at")).alias("occurred_at")
-    fields[4] = F.col("event.amount").cast("string").alias("amount")
     return valid_events(validated).select(
-        F.col("event.event_id").alias("key"),
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
-        F.lit(topic).alias("topic"), "partition", "offset", "timestamp",
-    )
+        F.col("event.event_id").alias("key"), _event_json().alias("value"),
+        F.lit(topic).alias("topic"), "partition", "offset", "timestamp")
 
 
 def quarantine_sink(
     validated: DataFrame, rejected_at: Column | None = None, topic: str = QUARANTINE_TOPIC,
 ) -> DataFrame:
     """Quarantine records as messages keyed by ``topic:partition:offset`` of their source."""
-    record = quarantine_records(validated, rejected_at)
-    source = F.struct(
-        "source.topic", "source.partition", "source.offset",
-        iso_utc(F.col("source.received_at")).alias("received_at"))
-    return record.select(
-        F.concat_ws(":", "source.topic", "source.partition", "source.offset").alias("key"),
-        F.to_json(F.struct("payload", "rejection_reason", source.alias("source"),
-                           iso_utc(F.col("rejected_at")).alias("rejected_at"))).alias("value"),
-        F.lit(topic).alias("topic"), F.col("source.partition").alias("partition"),
-        F.col("source.offset").alias("offset"), F.col("source.received_at").alias("timestamp"),
-    )
+    return rejected_events(validated).select(
+        _source_key().alias("key"), _quarantine_json(rejected_at).alias("value"),
+        F.lit(topic).alias("topic"), "partition", "offset", "timestamp")
+
+
+def route_messages(
+    validated: DataFrame,
+    rejected_at: Column | None = None,
+    valid_topic: str = VALIDATED_TOPIC,
+    quarantine_topic: str = QUARANTINE_TOPIC,
+) -> DataFrame:
+    """Both sinks in one pass: every row becomes one message that names its topic."""
+    valid = F.size("errors") == 0
+    return validated.select(
+        F.when(valid, F.col("event.event_id")).otherwise(_source_key()).alias("key"),
+        F.when(valid, _event_json()).otherwise(_quarantine_json(rejected_at)).alias("value"),
+        F.when(valid, valid_topic).otherwise(quarantine_topic).alias("topic"),
+        "partition", "offset", "timestamp")

@@ -1,4 +1,4 @@
-"""The table of chunks and vectors that retrieval reads."""
+"""The stored index that retrieval reads: chunks, their vectors and their term counts."""
 
 from __future__ import annotations
 
@@ -16,9 +16,10 @@ def vector_table_sink(
 
     ``documents(document_id)`` names what was processed, including documents left without any
     chunk; by default those the chunks belong to. Writing the same chunks again changes nothing.
+    Documents are unique, as event history is, and so are chunk IDs: a first write shuffles nothing.
     """
     spark = chunks.sparkSession
-    fresh = chunks.select(*INDEXED_CHUNK.names).dropDuplicates(["chunk_id"])
+    fresh = chunks.select(*INDEXED_CHUNK.names)
     if current_version(spark, root) is None:
         return write_snapshot(fresh, root, INDEXED_CHUNK)
     processed = (chunks if documents is None else documents).select("document_id").distinct()

@@ -1,57 +1,36 @@
-"""Endless validation: each micro-batch goes to the validated and the quarantine topic."""
+"""Endless validation of raw messages."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidelake.operators.validation import validate_events
-from tidelake.sources.messages import quarantine_sink, validated_sink
-
-Publish = Callable[[DataFrame, int], None]
-
-
-def to_files(root: str) -> Publish:
-    """Publish to one directory per batch, which a repeated batch replaces."""
-
-    def publish(messages: DataFrame, batch_id: int) -> None:
-        messages.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
-
-    return publish
-
-
-def to_kafka(**options: str) -> Publish:
-    """Publish to the topic named in each message; delivery is at least once."""
-
-    def publish(messages: DataFrame, batch_id: int) -> None:
-        messages.select("key", "value", "topic").write.format("kafka").options(**options).save()
-
-    return publish
+from tidelake.sources.messages import route_messages
 
 
 def validate_stream(
     messages: DataFrame,
-    valid: Publish,
-    quarantine: Publish,
     checkpoint: str,
+    sink_format: str = "kafka",
+    path: str | None = None,
     rejected_at: Column | None = None,
     once: bool = True,
+    **options: str,
 ) -> StreamingQuery:
-    """Start the job. Progress is recorded only after both publishes of a batch succeed."""
-
-    def route(batch: DataFrame, batch_id: int) -> None:
-        validated = validate_events(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            valid(validated_sink(validated), batch_id)
-            quarantine(quarantine_sink(validated, rejected_at), batch_id)
-        finally:
-            validated.unpersist()
-
-    writer = messages.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
-    return drained(writer, once).start()
+    """Start routing each message to the validated or the quarantine topic.
+
+    One pass without a shuffle. A broker takes the topic from the row and delivers at least once;
+    files get one directory per topic and hold each message exactly once. Progress is recorded
+    only after a batch is published.
+    """
+    writer = (
+        route_messages(validate_events(messages), rejected_at).writeStream.format(sink_format)
+        .outputMode("append").option("checkpointLocation", checkpoint).options(**options)
+    )
+    if sink_format != "kafka":
+        writer = writer.partitionBy("topic")
+    return drained(writer, once).start(path)
 
 
 def drained(writer: DataStreamWriter, once: bool) -> DataStreamWriter:

@@ -327,6 +327,9 @@ SQL: dict[str, str] = {
         "'%Y-%m-%dT%H:%M:%SZ') || '\"}' AS value FROM judged WHERE broken > 0",
     "bronze_ingest": f"WITH {JUDGED} SELECT {DELIVERY_COLUMNS} FROM accepted",
     "bronze_stream": f"WITH {JUDGED} SELECT {DELIVERY_COLUMNS} FROM accepted",
+    "route_messages": f"WITH {SINK} SELECT topic, key, \"offset\" FROM sink UNION ALL "
+        "SELECT 'quarantine.events', topic || ':' || \"partition\" || ':' || \"offset\", "
+        "\"offset\" FROM judged WHERE broken > 0",
     "validate_stream": f"WITH {SINK} SELECT topic, key, \"offset\" FROM sink UNION ALL "
         "SELECT 'quarantine.events', topic || ':' || \"partition\" || ':' || \"offset\", "
         "\"offset\" FROM judged WHERE broken > 0",

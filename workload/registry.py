@@ -22,16 +22,16 @@ from tidelake.operators import (
     term_index,
     validation,
 )
+from tidelake.plans import refresh
 from tidelake.plans.retrieval import hybrid_retrieve as retrieve
 from tidelake.plans.retrieval import indexable_chunks
-from tidelake.schemas import DELIVERY
+from tidelake.schemas import CHUNK, DELIVERY, VALIDATED_TOPIC
 from tidelake.sizing import fits_broadcast
 from tidelake.sources import messages as message_io
 from tidelake.sources.layers import LakePaths, read_layer
 from tidelake.sources.vector_table import vector_table_sink as write_vectors
 from tidelake.streaming.bronze import bronze_stream as start_bronze
 from tidelake.streaming.silver import silver_stream as start_silver
-from tidelake.streaming.validate import to_files
 from tidelake.streaming.validate import validate_stream as start_validation
 from workload.views import Inputs
 
@@ -212,16 +212,19 @@ def bronze_ingest(i: Inputs) -> DataFrame:
         message_io.validated_sink(_validated(i)), F.col("timestamp")))
 
 
+@query
+def route_messages(i: Inputs) -> DataFrame:
+    return message_io.route_messages(_validated(i), _one_second_later("timestamp")).select(
+        "topic", "key", "offset")
+
+
 @query
 def stage_reconciliation(i: Inputs) -> DataFrame:
-    validated = _validated(i)
-    valid, rejected = validation.split_valid_quarantine(validated)
-    bronze = bronze_ops.bronze_ingest(message_io.validated_sink(validated), F.col("timestamp"))
-    kept = history.silver_history(bronze)
-    return metrics.stage_reconciliation(
-        {"raw": validated, "validated": valid, "quarantine": rejected, "bronze": bronze,
-         "history": kept, "current": history.silver_current(kept)},
-        metrics.gold_daily_metrics(kept))
+    """Raw messages through every stored layer and gate, then the rows of each."""
+    lake = scratch(i.spark)
+    refresh.validate_batch(i.messages().drop("n"), lake)
+    refresh.refresh(i.spark, lake, F.col("timestamp"))
+    return refresh.reconcile(i.spark, lake)
 
 
 # Streams
@@ -238,21 +241,19 @@ def validate_stream(i: Inputs) -> DataFrame:
     lake = scratch(i.spark)
     _staged_messages(i, lake.raw)
     raw = message_io.read_event_stream(i.spark, "parquet", lake.raw, maxFilesPerTrigger="4")
-    start_validation(raw, to_files(lake.validated), to_files(lake.quarantine),
-                     f"{lake.checkpoints}/validate").awaitTermination()
-    columns = ("topic", "key", "offset")
-    return i.spark.read.parquet(lake.validated).select(*columns).unionByName(
-        i.spark.read.parquet(lake.quarantine).select(*columns))
+    start_validation(raw, f"{lake.checkpoints}/validate", "parquet",
+                     lake.topics).awaitTermination()
+    return i.spark.read.parquet(lake.topics).select("topic", "key", "offset")
 
 
 @query
 def bronze_stream(i: Inputs) -> DataFrame:
     lake = scratch(i.spark)
-    message_io.validated_sink(_validated(i)).write.parquet(lake.validated)
-    stream = message_io.read_event_stream(i.spark, "parquet", lake.validated,
-                                          maxFilesPerTrigger="4")
-    start_bronze(stream, lake.bronze, f"{lake.checkpoints}/bronze",
-                 F.col("timestamp")).awaitTermination()
+    refresh.validate_batch(i.messages().drop("n"), lake)
+    stream = message_io.read_event_stream(i.spark, "parquet", lake.topics,
+                                          maxFilesPerTrigger="8")
+    start_bronze(stream.where(F.col("topic") == VALIDATED_TOPIC), lake.bronze,
+                 f"{lake.checkpoints}/bronze", F.col("timestamp")).awaitTermination()
     return shown(i.spark.read.parquet(lake.bronze))
 
 
@@ -386,33 +387,29 @@ def vector_table_sink(i: Inputs) -> DataFrame:
     chunks = indexable_chunks(i.text_events())
     write_vectors(chunks, lake.chunks)
     write_vectors(read_layer(i.spark, lake.chunks), lake.chunks)
-    return read_layer(i.spark, lake.chunks).drop("embedding")
+    return read_layer(i.spark, lake.chunks).select(*CHUNK.names)
 
 
 # Retrieval
 
 
 class Retrieval:
-    """The stored chunks and term counts of all texts, and the questions."""
+    """The stored index of all texts, and the questions."""
 
     def __init__(self, i: Inputs) -> None:
         lake = scratch(i.spark)
         write_vectors(indexable_chunks(i.text_events()), lake.chunks)
-        self.chunks = read_layer(i.spark, lake.chunks)
-        terms = f"{lake.chunks}/terms"
-        term_index.bm25_index(self.chunks).write.parquet(terms)
-        self.index = i.spark.read.parquet(terms)
+        self.index = read_layer(i.spark, lake.chunks)
         self.questions = i.questions()
 
     def dense(self) -> DataFrame:
-        asked = embedding.embed_text(self.questions, "query")
-        return dense.dense_knn(self.chunks, asked)
+        return dense.dense_knn(self.index, embedding.embed_text(self.questions, "query"))
 
     def lexical(self) -> DataFrame:
         return lexical.bm25_search(self.index, self.questions)
 
     def results(self) -> DataFrame:
-        return retrieve(self.chunks, self.questions, index=self.index)
+        return retrieve(self.index, self.questions)
 
 
 @query
