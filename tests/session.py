@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
+from tidelake.session import configure
+
 
 def session(cpus: str = "8", memory: str = "8g") -> SparkSession:
     spark = (
@@ -16,10 +17,7 @@ def session(cpus: str = "8", memory: str = "8g") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidelake-"))
-    return spark
+    return configure(spark)

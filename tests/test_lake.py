@@ -17,7 +17,14 @@ from tidelake.operators.schema_guard import (
 from tidelake.operators.validation import validate_events
 from tidelake.schemas import DAILY_METRICS, DELIVERY
 from tidelake.sources import messages as io
-from tidelake.sources.layers import LakePaths, current_version, read_layer, write_create, write_snapshot
+from tidelake.sources.layers import (
+    LakePaths,
+    current_version,
+    merge_into,
+    read_layer,
+    write_create,
+    write_snapshot,
+)
 
 
 def row(event_id, day, amount, *, customer="customer-001", kind="support_case", currency="SAR",
@@ -217,3 +224,12 @@ def test_json_array_files(spark, tmp_path):
         (path / "x.json").write_text(bad)
         with pytest.raises(Exception, match="JSON array of objects"):
             io.read_json_events(spark, str(path)).collect()
+
+
+def test_merge_in_place_needs_a_table_format(spark, tmp_path):
+    rows = table(spark, row("a", 1, "1.00"))
+    spark.sql("DROP TABLE IF EXISTS plain_history")
+    rows.write.option("path", str(tmp_path / "t")).saveAsTable("plain_history")
+    with pytest.raises(Exception, match="MERGE INTO TABLE"):
+        merge_into(rows, "plain_history")
+    spark.sql("DROP TABLE plain_history")

@@ -142,7 +142,7 @@ def lists(frame, column="chunk_id"):
     return found
 
 
-@pytest.mark.parametrize("query_rows", [2_048, 3])
+@pytest.mark.parametrize("query_rows", [8_192, 3])
 def test_dense_search_both_ways(spark, query_rows):
     rng = np.random.default_rng(5)
     vectors = {f"c{n:04}": rng.integers(-3, 4, 6).astype(float) for n in range(400)}
@@ -186,7 +186,7 @@ def bm25(chunks, asked, k):
     return best
 
 
-@pytest.mark.parametrize("query_rows", [2_048, 2])
+@pytest.mark.parametrize("query_rows", [8_192, 2])
 def test_lexical_search_both_ways(spark, query_rows):
     rng = random.Random(9)
     chunks = {f"c{n:03}": {"title": rng.choice(["the w1", "w2 report", "", "w3"]),

@@ -21,8 +21,8 @@ from pyspark.sql.window import Window
 
 from tidelake.sizing import measure
 
-QUERY_ROWS = 2_048
-QUERY_BYTES = 8 * 1024 * 1024
+QUERY_ROWS = 8_192
+QUERY_BYTES = 16 * 1024 * 1024
 CORPUS_ROWS = 50_000
 SCORE_CELLS = 4_000_000
 DECIMALS = 6
@@ -36,56 +36,54 @@ Score = Callable[[pa.Table, Any], Iterator[tuple[int, np.ndarray]]]
 
 
 class Best:
-    """The k best corpus rows per query seen so far; ties go to the smaller ID."""
+    """The k best corpus rows so far for each query of one block; ties go to the smaller ID."""
 
-    def __init__(self, k: int) -> None:
+    def __init__(self, k: int, queries: int) -> None:
         self.k = k
-        self.query = np.empty(0, np.int64)
+        self.column = np.empty(0, np.int64)
         self.score = np.empty(0, np.float64)
-        self.ids: pa.ChunkedArray | None = None
+        self.ids: pa.Array | None = None
+        self.bar = np.full(queries, -np.inf)
 
-    def add(self, queries: np.ndarray, ids: pa.Array, scores: np.ndarray, floor: float) -> None:
+    def add(self, ids: pa.Array, scores: np.ndarray, floor: float) -> None:
         """Offer a slice of scores, of shape ids by queries; only scores above ``floor`` count."""
+        bar = self.bar
         if len(ids) > self.k:
             place = len(ids) - self.k
-            bar = np.partition(scores, place, axis=0)[place]
-            row, column = np.nonzero((scores >= bar) & (scores > floor))
-        else:
-            row, column = np.nonzero(scores > floor)
-        query = np.concatenate([self.query, queries[column]])
-        score = np.concatenate([self.score, scores[row, column]])
-        found = pa.chunked_array([ids.take(pa.array(row, pa.int64()))])
-        known = found if self.ids is None else pa.chunked_array(self.ids.chunks + found.chunks)
-        names = known.to_numpy()
-        rank = np.unique(names, return_inverse=True)[1]
-        order = np.lexsort((rank, -score, query))
-        first = np.searchsorted(query[order], query[order], side="left")
-        keep = order[np.arange(len(order)) - first < self.k]
-        self.query, self.score = query[keep], score[keep]
-        self.ids = pa.chunked_array([pa.array(names[keep], known.type)])
-
-
-def _scan(tables: Iterator[pa.Table], prepared: Prepared, score: Score, corpus_id: str, k: int,
-          floor: float) -> Best:
-    best = [Best(k) for _ in prepared]
+            bar = np.maximum(bar, np.partition(scores, place, axis=0)[place])
+        row, column = np.nonzero((scores >= bar) & (scores > floor))
+        if not len(row):
+            return
+        column = np.concatenate([self.column, column])
+        score = np.concatenate([self.score, scores[row, column[len(self.column):]]])
+        found = ids.take(pa.array(row, pa.int64()))
+        known = found if self.ids is None else pa.concat_arrays([self.ids, found])
+        rank = np.unique(known.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        order = np.lexsort((rank, -score, column))
+        place = np.arange(len(order)) - np.searchsorted(column[order], column[order], side="left")
+        keep = order[place < self.k]
+        last = order[place == self.k - 1]
+        self.bar[column[last]] = score[last]
+        self.column, self.score = column[keep], score[keep]
+        self.ids = known.take(pa.array(keep))
+
+
+def _scan(
+    tables: Iterator[pa.Table], query_ids: pa.ChunkedArray, prepared: Prepared, score: Score,
+    corpus_id: str, k: int, floor: float, schema: pa.Schema,
+) -> pa.Table:
+    """The best rows of all tables for each prepared query."""
+    best = [Best(k, len(queries)) for queries, _ in prepared]
     for table in tables:
         ids = table.column(corpus_id).combine_chunks()
-        for mine, (queries, block) in zip(best, prepared, strict=True):
+        for mine, (_, block) in zip(best, prepared, strict=True):
             for first, scores in score(table, block):
-                mine.add(queries, ids.slice(first, len(scores)), np.round(scores, DECIMALS), floor)
-    merged = Best(k)
-    merged.query = np.concatenate([b.query for b in best])
-    merged.score = np.concatenate([b.score for b in best])
-    parts = [c for b in best if b.ids is not None for c in b.ids.chunks]
-    merged.ids = pa.chunked_array(parts) if parts else None
-    return merged
-
-
-def _result(best: Best, query_ids: pa.ChunkedArray, schema: pa.Schema) -> pa.Table:
-    if best.ids is None:
-        return schema.empty_table()
-    return pa.table([query_ids.take(pa.array(best.query)), best.ids, pa.array(best.score)],
-                    schema=schema)
+                mine.add(ids.slice(first, len(scores)), np.round(scores, DECIMALS), floor)
+    parts = [
+        pa.table([query_ids.take(pa.array(queries[mine.column])), mine.ids, pa.array(mine.score)],
+                 schema=schema)
+        for mine, (queries, _) in zip(best, prepared, strict=True) if mine.ids is not None]
+    return pa.concat_tables(parts) if parts else schema.empty_table()
 
 
 def top_matches(
@@ -118,21 +116,20 @@ def top_matches(
     if rows <= query_rows and size <= QUERY_BYTES:
         held = queries.toArrow()
         shared = corpus.sparkSession.sparkContext.broadcast(
-            (prepare(held), held.column(query_id)))
+            (held.column(query_id), prepare(held)))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            prepared, names = shared.value
             tables = (pa.Table.from_batches([b]) for b in batches)
-            best = _scan(tables, prepared, score, corpus_id, k, floor)
-            yield from _result(best, names, arrow).to_batches()
+            yield from _scan(tables, *shared.value, score, corpus_id, k, floor,
+                             arrow).to_batches()
 
         found = corpus.mapInArrow(scan, schema)
     else:
         def cell(left: pa.Table, right: pa.Table) -> pa.Table:
             if not left.num_rows or not right.num_rows:
                 return arrow.empty_table()
-            return _result(_scan(iter([left]), prepare(right), score, corpus_id, k, floor),
-                           right.column(query_id), arrow)
+            return _scan(iter([left]), right.column(query_id), prepare(right), score, corpus_id,
+                         k, floor, arrow)
 
         across = 1 + corpus.count() // corpus_rows
         down = max(1 + rows // query_rows, 1 + size // QUERY_BYTES)

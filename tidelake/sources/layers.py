@@ -112,3 +112,19 @@ def write_create(
 ) -> None:
     """First write of a table; an existing target is an error."""
     assert_schema(frame, schema).write.format(table_format).mode("errorifexists").save(path)
+
+
+def merge_into(
+    source: DataFrame, table: str, key: str = "event_id", order_by: str = "ingested_at",
+) -> None:
+    """The same merge as ``merge_upsert``, done in place by a table whose format supports it.
+
+    Only the files that hold matches are rewritten. Plain Parquet tables refuse it.
+    """
+    (
+        source.alias("source")
+        .mergeInto(table, F.col(f"{table}.{key}") == F.col(f"source.{key}"))
+        .whenMatched(F.col(f"source.{order_by}") >= F.col(f"{table}.{order_by}")).updateAll()
+        .whenNotMatched().insertAll()
+        .merge()
+    )

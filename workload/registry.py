@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +25,7 @@ from tidelake.plans import refresh
 from tidelake.plans.retrieval import hybrid_retrieve as retrieve
 from tidelake.plans.retrieval import indexable_chunks
 from tidelake.schemas import CHUNK, DELIVERY, VALIDATED_TOPIC
+from tidelake.session import shared_folder
 from tidelake.sizing import fits_broadcast
 from tidelake.sources import messages as message_io
 from tidelake.sources.layers import LakePaths, read_layer
@@ -46,11 +46,7 @@ def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
 
 
 def scratch(spark: SparkSession) -> LakePaths:
-    """A new folder in the shared place the cluster names for checkpoints."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return LakePaths(f"{base.rstrip('/')}/tidelake-{uuid.uuid4().hex}")
+    return LakePaths(shared_folder(spark))
 
 
 def shown(rows: DataFrame) -> DataFrame:

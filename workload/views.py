@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelake.session import configure
+
 # One row per delivery. Every tenth event is delivered again a day later with another amount.
 DELIVERIES = """
 SELECT 'event-' || lpad(CAST(e.event_id AS STRING), 12, '0') AS event_id,
@@ -143,8 +145,7 @@ class Inputs:
     """The views as DataFrames over one directory of tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.spark = spark
+        self.spark = configure(spark)
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
