@@ -84,7 +84,7 @@ def field_text(wrapped: Column, name: str) -> Column:
 
 def canonical_uuid(text: Column) -> Column:
     """Lower-case hyphenated spelling of an accepted UUID."""
-    digits = F.regexp_replace(F.lower(text), r"\Aurn:uuid:|[{}-]", "")
+    digits = F.translate(F.regexp_replace(text, r"\Aurn:uuid:|[{}-]", ""), "ABCDEF", "abcdef")
     return F.regexp_replace(digits, r"\A(.{8})(.{4})(.{4})(.{4})(.{12})\z", "$1-$2-$3-$4-$5")
 
 
@@ -116,7 +116,7 @@ def check_pattern(pattern: str, shown: str) -> Callable[[Field], Column]:
 
 
 def _decimal_text(text: Column) -> Column:
-    return F.regexp_replace(strip(text), "_", "")
+    return F.translate(strip(text), "_", "")
 
 
 def check_decimal(f: Field) -> Column:
@@ -127,21 +127,22 @@ def check_decimal(f: Field) -> Column:
     text = _decimal_text(f.text)
     whole, fraction = F.regexp_extract(text, DECIMAL, 1), F.regexp_extract(text, DECIMAL, 2)
     exponent = F.coalesce(F.regexp_extract(text, DECIMAL, 3).try_cast("int"), F.lit(0))
-    digits = F.regexp_replace(F.concat(whole, fraction), r"\A0+", "")
-    core = F.regexp_replace(digits, r"0+\z", "")
+    digits = F.ltrim(F.concat(whole, fraction), F.lit("0"))
+    core = F.rtrim(digits, F.lit("0"))
     scale = F.length(fraction) - exponent
-    places = scale - (F.length(digits) - F.length(core))
-    nonzero = core != ""
+    places = scale - F.length(digits) + F.length(core)
+    number = f.is_string() | f.is_number()
     return (F.when(f.is_string() & f.text.rlike(PLAIN_DECIMAL), None)
-            .when(~(f.is_string() | f.is_number()), f.fail(
+            .when(~number, f.fail(
                 "decimal", "Decimal input should be an integer, float or string"))
             .when(~text.rlike(DECIMAL) | text.rlike(r"[eE][+-]?\d{5,}\z"), f.fail(
                 "decimal", "Input should be a valid decimal"))
-            .when(nonzero & text.startswith("-"), f.fail(
+            .when(core == "", None)
+            .when(text.startswith("-"), f.fail(
                 "non_negative", "Input should be greater than or equal to 0"))
-            .when(nonzero & (places > DECIMAL_PLACES), f.fail(
+            .when(places > DECIMAL_PLACES, f.fail(
                 "decimal", f"Decimal input should have no more than {DECIMAL_PLACES} decimal places"))
-            .when(nonzero & (F.length(digits) - scale > WHOLE_DIGITS), f.fail(
+            .when(F.length(digits) - scale > WHOLE_DIGITS, f.fail(
                 "decimal", "Decimal input should have no more than "
                            f"{WHOLE_DIGITS} digits before the decimal point")))
 
@@ -156,12 +157,12 @@ def to_utc(text: Column) -> Column:
     What a cast cannot read is taken apart: texts without seconds, other separators, and offsets
     beyond 18 hours. Epoch numbers are seconds up to a fixed size and milliseconds beyond it.
     """
-    part = lambda n: F.regexp_extract(text, LOCAL_TIME + OFFSET, n)
-    second = F.when(part(4) == "", "00").otherwise(part(4))
-    local = F.concat(part(1), F.lit("T"), part(2), F.lit(":"), part(3), F.lit(":"), second,
-                     F.lit("."), F.rpad(F.substring(part(5), 1, 6), 6, "0"), F.lit("Z"))
-    minutes = F.coalesce(part(7).try_cast("int") * 60 + part(8).try_cast("int"), F.lit(0))
-    signed = F.when(part(6) == "+", -minutes).otherwise(minutes)
+    part = [F.regexp_extract(text, LOCAL_TIME + OFFSET, n) for n in range(9)]
+    second = F.when(part[4] == "", "00").otherwise(part[4])
+    local = F.concat(part[1], F.lit("T"), part[2], F.lit(":"), part[3], F.lit(":"), second,
+                     F.lit("."), F.rpad(F.substring(part[5], 1, 6), 6, "0"), F.lit("Z"))
+    minutes = F.coalesce(part[7].try_cast("int") * 60 + part[8].try_cast("int"), F.lit(0))
+    signed = F.when(part[6] == "+", -minutes).otherwise(minutes)
     stamped = F.coalesce(text.try_cast("timestamp"),
                          local.try_cast("timestamp") + F.make_dt_interval(mins=signed))
     number = text.try_cast("decimal(30,9)")

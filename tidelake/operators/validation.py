@@ -11,16 +11,17 @@ from tidelake.schemas import EVENT
 ERRORS = "array<struct<field:string,rule:string,message:string>>"
 
 
-def _key_errors(keys: Column, rule: str, message: str) -> Column:
-    return F.transform(F.sort_array(keys), lambda k: F.struct(
-        k.alias("field"), F.lit(rule).alias("rule"), F.lit(message).alias("message")))
+def _error(field: Column, rule: str, message: str) -> Column:
+    return F.struct(field.alias("field"), F.lit(rule).alias("rule"),
+                    F.lit(message).alias("message"))
 
 
 def _once(frame: DataFrame, kept: list[str], **columns: Column) -> DataFrame:
     """Add columns through a one-row generator.
 
     The optimizer copies a projected expression into every filter above it; it never moves a
-    filter on generated columns below the generator, so the rules run once per message.
+    filter on generated columns below the generator, so the rules run once per message. Lambda
+    functions would keep the generator out of the generated code.
     """
     return frame.select(*kept, F.inline(F.array(F.struct(
         *[column.alias(name) for name, column in columns.items()]))))
@@ -46,24 +47,30 @@ def validate_events(messages: DataFrame) -> DataFrame:
     read = _once(parsed, parsed.columns, **{
         f"_value_{n}": c.VALUES[n](F.col(f"_text_{n}")) for n in known})
     keys = F.col("_keys")
-    field_errors = [
-        F.when(F.array_contains(keys, n), c.CHECKS[n](c.Field(
-            n, F.col(f"_kind_{n}"), F.col(f"_text_{n}"), F.col(f"_value_{n}"))))
-        for n in known
-    ]
-    errors = F.when(keys.isNull(), F.array(F.struct(
-        F.lit("value").alias("field"), F.lit("json_object").alias("rule"),
-        F.lit("Message should be one JSON object").alias("message"),
-    ))).otherwise(F.concat(
-        F.array_compact(F.array(*field_errors)),
-        _key_errors(F.array_except(F.array(*map(F.lit, c.REQUIRED)), keys),
-                    "missing", "Field required"),
-        _key_errors(F.array_except(keys, F.array(*map(F.lit, known))),
-                    "extra_forbidden", "Extra inputs are not permitted"),
-    ))
+
+    def failure(name: str) -> Column:
+        field = c.Field(name, F.col(f"_kind_{name}"), F.col(f"_text_{name}"),
+                        F.col(f"_value_{name}"))
+        checked = F.when(F.array_contains(keys, name), c.CHECKS[name](field))
+        if name in c.REQUIRED:
+            checked = checked.otherwise(_error(F.lit(name), "missing", "Field required"))
+        return checked
+
+    unreadable = F.array(_error(F.lit("value"), "json_object", "Message should be one JSON object"))
+    failures = F.array(*[failure(n) for n in known]).cast(ERRORS)
+    judged = _once(
+        read, read.columns,
+        _failures=F.when(keys.isNull(), unreadable.cast(ERRORS)).otherwise(
+            F.array_except(failures, F.array(F.lit(None)).cast(ERRORS))),
+        _extra=F.array_except(keys, F.array(*map(F.lit, known))),
+    )
+    errors = F.when(F.size("_extra") > 0, F.concat("_failures", F.transform(
+        F.sort_array("_extra"),
+        lambda k: _error(k, "extra_forbidden", "Extra inputs are not permitted"),
+    ))).otherwise(F.col("_failures"))
     event = F.struct(*[F.col(f"_value_{f.name}").alias(f.name) for f in EVENT.fields])
     return (
-        _once(read, read.columns, errors=errors.cast(ERRORS))
+        judged.withColumn("errors", errors)
         .withColumn("event", F.when(F.size("errors") == 0, event))
         .select(*kept, "errors", "event")
     )

@@ -68,7 +68,7 @@ failures AS (
     'String should have at most 20000 characters' FROM fields
     WHERE is_object AND length(regexp_replace(document_text,
       '^[\t-\r \x85\p{Z}]+|[\t-\r \x85\p{Z}]+$', '', 'g')) > 20000
-  UNION ALL SELECT "offset", 9, 'amount', 'missing', 'Field required' FROM fields
+  UNION ALL SELECT "offset", 5, 'amount', 'missing', 'Field required' FROM fields
     WHERE is_object AND NOT list_contains(keys, 'amount')
   UNION ALL SELECT "offset", 10, 'unexpected_field', 'extra_forbidden',
     'Extra inputs are not permitted' FROM fields
