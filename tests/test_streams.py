@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests import samples
@@ -12,7 +13,8 @@ from tidelake.operators.validation import validate_events
 from tidelake.plans import refresh
 from tidelake.schemas import DELIVERY, QUARANTINE_TOPIC, VALIDATED_TOPIC
 from tidelake.sources import messages as io
-from tidelake.sources.layers import LakePaths, read_layer
+from tidelake.sources.history_table import compact_history, read_history
+from tidelake.sources.layers import LakePaths
 from tidelake.streaming.bronze import bronze_stream
 from tidelake.streaming.silver import silver_stream
 from tidelake.streaming.validate import validate_stream
@@ -24,7 +26,7 @@ def stage(frame, path):
                  "timestamp").repartition(4).write.mode("append").parquet(path)
 
 
-def run_streams(spark, lake):
+def run_streams(spark, lake, compact_every):
     raw = io.read_event_stream(spark, "parquet", lake.raw, maxFilesPerTrigger="1")
     validate_stream(raw, f"{lake.checkpoints}/validate", "parquet", lake.topics,
                     rejected_at=F.col("timestamp")).awaitTermination()
@@ -33,16 +35,17 @@ def run_streams(spark, lake):
     bronze_stream(valid, lake.bronze, f"{lake.checkpoints}/bronze",
                   F.col("timestamp")).awaitTermination()
     rows = spark.readStream.schema(DELIVERY).option("maxFilesPerTrigger", 2).parquet(lake.bronze)
-    silver_stream(rows, lake.silver, f"{lake.checkpoints}/silver").awaitTermination()
+    silver_stream(rows, lake.silver, f"{lake.checkpoints}/silver", compact_every).awaitTermination()
 
 
-def test_streams_equal_batch(spark, tmp_path):
+@pytest.mark.parametrize("compact_every", [2, 100])
+def test_streams_equal_batch(spark, tmp_path, compact_every):
     lake = LakePaths(str(tmp_path))
     everything = samples.messages(spark)
     stage(everything.where("batch in ('valid', 'invalid')"), lake.raw)
-    run_streams(spark, lake)
+    run_streams(spark, lake, compact_every)
     stage(everything.where("batch in ('duplicates', 'late')"), lake.raw)
-    run_streams(spark, lake)  # goes on where the first run stopped
+    run_streams(spark, lake, compact_every)  # goes on where the first run stopped
 
     checked = validate_events(everything)
     topics = spark.read.parquet(lake.topics)
@@ -52,12 +55,14 @@ def test_streams_equal_batch(spark, tmp_path):
          io.quarantine_sink(checked, F.col("timestamp")).select("key", "value", "offset"))
     bronze = bronze_ingest(io.validated_sink(checked), F.col("timestamp"))
     same(spark.read.parquet(lake.bronze), bronze)
-    same(read_layer(spark, lake.silver), silver_history(bronze))
+    same(read_history(spark, lake.silver), silver_history(bronze))
 
     # The same deliveries under a new checkpoint are merged again and change nothing.
     again = spark.readStream.schema(DELIVERY).parquet(lake.bronze)
     silver_stream(again, lake.silver, str(tmp_path / "other")).awaitTermination()
-    same(read_layer(spark, lake.silver), silver_history(bronze))
+    same(read_history(spark, lake.silver), silver_history(bronze))
+    compact_history(spark, lake.silver)
+    same(read_history(spark, lake.silver), silver_history(bronze))
 
 
 def test_sinks(spark):
@@ -80,8 +85,11 @@ def test_sinks(spark):
 def test_refresh_and_reconcile(spark, tmp_path):
     lake = LakePaths(str(tmp_path))
     refresh.validate_batch(samples.messages(spark), lake)
-    for _ in range(2):  # a repeated run leaves the same rows
-        refresh.refresh(spark, lake, F.col("timestamp"))
+    for step in (refresh.refresh, refresh.refresh, None):  # repeating it leaves the same rows
+        if step:
+            step(spark, lake, F.col("timestamp"))
+        else:
+            refresh.remerge_silver(spark, lake)
         counts = {r.stage: r["rows"] for r in refresh.reconcile(spark, lake).collect()}
         assert counts == {"raw": 18, "validated": 14, "quarantine": 4, "bronze": 14,
                           "history": 11, "current": 9, "gold_event_count": 11}

@@ -46,12 +46,12 @@ def merge_upsert(
     target: DataFrame,
     source: DataFrame,
     key: str = "event_id",
-    order_by: str = "ingested_at",
+    order_by: Sequence[str] = ("ingested_at",),
     broadcast_source: bool = False,
 ) -> DataFrame:
     """The target after the merge: source rows replace matches that are not newer, others insert.
 
-    ``source`` holds at most one row per key. Normally this is one full outer join. For a source
+    Ages compare by the ``order_by`` columns, most significant first. ``source`` holds at most one row per key. Normally this is one full outer join. For a source
     measured to fit a broadcast, ``broadcast_source`` leaves the target where it is: rows are
     replaced on the map side, and inserts come from a second, key-only scan of the target.
     """
@@ -71,8 +71,10 @@ def _side(frame: DataFrame, name: str, key: str) -> DataFrame:
     return frame.select(F.col(key).alias("_key"), F.struct(*frame.columns).alias(name))
 
 
-def _chosen(columns: Sequence[str], order_by: str) -> list[Column]:
-    fresher = F.coalesce(F.col(f"s.{order_by}") >= F.col(f"t.{order_by}"), F.lit(False))
+def _chosen(columns: Sequence[str], order_by: Sequence[str]) -> list[Column]:
+    age = [F.struct(*[F.col(f"{side}.{c}") for c in order_by]) for side in ("s", "t")]
+    known = [F.col(f"{side}.{order_by[0]}").isNotNull() for side in ("s", "t")]
+    fresher = known[0] & known[1] & (age[0] >= age[1])
     take_source = F.col("s").isNotNull() & (F.col("t").isNull() | fresher)
     return [F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
             for c in columns]

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.operators.deliveries import bronze_ingest
-from tidelake.operators.history import merge_upsert, silver_current, silver_history
+from tidelake.operators.history import silver_current
 from tidelake.operators.metrics import gold_daily_metrics, stage_reconciliation
 from tidelake.operators.quality import run_gate
-from tidelake.operators.schema_guard import assert_schema, verify_schema_enforcement
+from tidelake.operators.schema_guard import verify_schema_enforcement
 from tidelake.operators.validation import validate_events
 from tidelake.schemas import DAILY_METRICS, DELIVERY, QUARANTINE_TOPIC, VALIDATED_TOPIC
-from tidelake.sizing import fits_broadcast
-from tidelake.sources.layers import LakePaths, current_version, read_layer, write_snapshot
-from tidelake.sources.messages import route_messages
+from tidelake.sources.history_table import append_changes, compact_history, read_history
+from tidelake.sources.layers import LakePaths, read_layer, write_snapshot
+from tidelake.sources.messages import read_event_stream, route_messages
+from tidelake.streaming.bronze import bronze_stream
+from tidelake.streaming.silver import silver_stream
 
 
 def validate_batch(messages: DataFrame, lake: LakePaths, rejected_at: Column | None = None) -> None:
@@ -28,26 +29,31 @@ def read_topic(spark: SparkSession, lake: LakePaths, topic: str) -> DataFrame:
 
 
 def load_bronze(spark: SparkSession, lake: LakePaths, ingested_at: Column | None = None) -> None:
-    """Bronze from the validated topic; the streaming job appends the same rows."""
-    rows = bronze_ingest(read_topic(spark, lake, VALIDATED_TOPIC), ingested_at)
-    assert_schema(rows, DELIVERY).write.mode("overwrite").parquet(lake.bronze)
+    """Append the validated messages that Bronze does not have yet."""
+    arrived = read_event_stream(spark, "parquet", lake.topics).where(
+        F.col("topic") == VALIDATED_TOPIC)
+    bronze_stream(arrived, lake.bronze, f"{lake.checkpoints}/bronze",
+                  ingested_at).awaitTermination()
 
 
 def merge_silver(spark: SparkSession, lake: LakePaths) -> None:
-    """Merge all of Bronze into event history."""
-    source = silver_history(spark.read.parquet(lake.bronze))
-    if current_version(spark, lake.silver) is not None:
-        source = merge_upsert(read_layer(spark, lake.silver), source,
-                              broadcast_source=fits_broadcast(source))
-    write_snapshot(source, lake.silver, DELIVERY)
+    """Bring the deliveries that history does not have yet into it."""
+    arrived = spark.readStream.schema(DELIVERY).parquet(lake.bronze)
+    silver_stream(arrived, lake.silver, f"{lake.checkpoints}/silver").awaitTermination()
+
+
+def remerge_silver(spark: SparkSession, lake: LakePaths) -> None:
+    """Merge all of Bronze into history again, as a repair."""
+    append_changes(spark.read.parquet(lake.bronze), lake.silver)
+    compact_history(spark, lake.silver)
 
 
 def build_current(spark: SparkSession, lake: LakePaths) -> None:
-    write_snapshot(silver_current(read_layer(spark, lake.silver)), lake.silver_current, DELIVERY)
+    write_snapshot(silver_current(read_history(spark, lake.silver)), lake.silver_current, DELIVERY)
 
 
 def build_gold(spark: SparkSession, lake: LakePaths) -> None:
-    write_snapshot(gold_daily_metrics(read_layer(spark, lake.silver)), lake.gold, DAILY_METRICS)
+    write_snapshot(gold_daily_metrics(read_history(spark, lake.silver)), lake.gold, DAILY_METRICS)
 
 
 def refresh(spark: SparkSession, lake: LakePaths, ingested_at: Column | None = None) -> None:
@@ -55,7 +61,7 @@ def refresh(spark: SparkSession, lake: LakePaths, ingested_at: Column | None = N
     load_bronze(spark, lake, ingested_at)
     run_gate(spark.read.parquet(lake.bronze), "bronze")
     merge_silver(spark, lake)
-    history = run_gate(read_layer(spark, lake.silver), "silver")
+    history = run_gate(read_history(spark, lake.silver), "silver")
     verify_schema_enforcement(history, DELIVERY)
     build_current(spark, lake)
     run_gate(read_layer(spark, lake.silver_current), "silver_current")
@@ -71,6 +77,6 @@ def reconcile(spark: SparkSession, lake: LakePaths) -> DataFrame:
         "validated": read_topic(spark, lake, VALIDATED_TOPIC),
         "quarantine": read_topic(spark, lake, QUARANTINE_TOPIC),
         "bronze": spark.read.parquet(lake.bronze),
-        "history": read_layer(spark, lake.silver),
+        "history": read_history(spark, lake.silver),
         "current": read_layer(spark, lake.silver_current),
     }, read_layer(spark, lake.gold))

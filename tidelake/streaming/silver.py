@@ -2,38 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelake.operators.history import merge_upsert, silver_history
-from tidelake.schemas import DELIVERY
-from tidelake.sizing import fits_broadcast
-from tidelake.sources.layers import current_version, read_layer, write_snapshot
+from tidelake.sources.history_table import append_changes, compact_history
 from tidelake.streaming.validate import drained
 
 
 def silver_stream(
-    bronze: DataFrame, root: str, checkpoint: str, once: bool = True,
+    bronze: DataFrame, root: str, checkpoint: str, compact_every: int = 16, once: bool = True,
 ) -> StreamingQuery:
-    """Start the merge of each micro-batch into the history table.
+    """Start adding each micro-batch to the history table.
 
-    Merging a batch twice changes nothing, so a repeated batch needs no bookkeeping. Late facts
-    need no watermark: nothing is dropped. One writer per table.
+    A batch writes its own newest rows; every ``compact_every`` batches the changes are folded into
+    the snapshot. Merging a batch twice changes nothing, so a repeated one needs no bookkeeping.
+    Late facts need no watermark: nothing is dropped.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        source = silver_history(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if current_version(spark, root) is None:
-                snapshot = source
-            else:
-                snapshot = merge_upsert(read_layer(spark, root), source,
-                                        broadcast_source=fits_broadcast(source))
-            write_snapshot(snapshot, root, DELIVERY)
-        finally:
-            source.unpersist()
-
-    writer = bronze.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    def add(batch: DataFrame, batch_id: int) -> None:
+        append_changes(batch, root)
+        if batch_id % compact_every == compact_every - 1:
+            compact_history(batch.sparkSession, root)
+
+    writer = bronze.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return drained(writer, once).start()

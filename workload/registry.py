@@ -28,6 +28,7 @@ from tidelake.schemas import CHUNK, DELIVERY, VALIDATED_TOPIC
 from tidelake.session import shared_folder
 from tidelake.sizing import fits_broadcast
 from tidelake.sources import messages as message_io
+from tidelake.sources.history_table import read_history
 from tidelake.sources.layers import LakePaths, read_layer
 from tidelake.sources.vector_table import vector_table_sink as write_vectors
 from tidelake.streaming.bronze import bronze_stream as start_bronze
@@ -259,8 +260,9 @@ def silver_stream(i: Inputs) -> DataFrame:
     as_deliveries(i).write.parquet(lake.bronze)
     stream = i.spark.readStream.schema(DELIVERY).option("maxFilesPerTrigger", "4").parquet(
         lake.bronze)
-    start_silver(stream, lake.silver, f"{lake.checkpoints}/silver").awaitTermination()
-    return shown(read_layer(i.spark, lake.silver))
+    start_silver(stream, lake.silver, f"{lake.checkpoints}/silver",
+                 compact_every=3).awaitTermination()
+    return shown(read_history(i.spark, lake.silver))
 
 
 # Quality
