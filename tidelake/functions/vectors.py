@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidelake.functions.arrays import let, run_lengths
-from tidelake.functions.text import tokens
+from tidelake.functions.arrays import let
 
 
 def unit_vector(vector: Column) -> Column:
@@ -17,27 +16,3 @@ def unit_vector(vector: Column) -> Column:
         return let(norm, lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(x)))
 
     return let(vector.cast("array<double>"), scaled)
-
-
-def term_bucket(term: Column, dim: int) -> Column:
-    """Bucket of one term: the first eight hex digits of its md5, modulo ``dim``."""
-    return (F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
-
-
-def hashed_term_vector(text: Column, dim: int) -> Column:
-    """Unit vector of term counts per hash bucket.
-
-    Buckets are counted as runs of a sorted array and the gaps filled with zeros, so the work
-    per text is linear in tokens and dimension.
-    """
-    buckets = F.transform(tokens(text), lambda t: term_bucket(t, dim))
-
-    def spread(runs: Column) -> Column:
-        filled = F.flatten(F.transform(runs, lambda run, i: F.concat(
-            F.array_repeat(F.lit(0.0),
-                           run["value"] - F.coalesce(F.get(runs, i - 1)["value"], F.lit(-1)) - 1),
-            F.array(run["length"].cast("double")),
-        )))
-        return let(filled, lambda v: F.concat(v, F.array_repeat(F.lit(0.0), F.lit(dim) - F.size(v))))
-
-    return unit_vector(let(run_lengths(buckets), spread))
