@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import compare, connect
+from workload.oracles import SQL
+from workload.registry import QUERIES
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -15,14 +17,15 @@ def connection():
     return connect(TABLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, connection, name):
     same, note = compare(spark, connection, TABLES, name)
     assert same, note
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 def test_entry(spark):
