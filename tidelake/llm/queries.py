@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import huffman, mixing, packing
+from tidelake.llm import adaptive_rules, huffman, mixing, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,7 +42,14 @@ def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
 
 
+def op9_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adaptive_rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
+
+
 QUERIES: dict[str, Query] = {
+    "op9_adaptive_rules": op9_adaptive_rules,
     "op3_huffman_ids": op3_huffman_ids,
     "op5_pattern_packing": op5_pattern_packing,
     "op2_mix_sources": op2_mix_sources,
