@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import adaptive_rules, huffman, mixing, packing
+from tidelake.llm import adaptive_rules, dart_dedup, huffman, mixing, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +48,13 @@ def op9_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
+def op10_dart_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_dedup.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "class_size", "kept")
+
+
 QUERIES: dict[str, Query] = {
+    "op10_dart_near_duplicates": op10_dart_near_duplicates,
     "op9_adaptive_rules": op9_adaptive_rules,
     "op3_huffman_ids": op3_huffman_ids,
     "op5_pattern_packing": op5_pattern_packing,
