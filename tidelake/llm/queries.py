@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import adaptive_rules, dart_dedup, huffman, mixing, packing
+from tidelake.llm import adaptive_rules, dart_dedup, huffman, mixing, packing, vector_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,7 +53,18 @@ def op10_dart_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "class_id", "class_size", "kept")
 
 
+def op6_sign_hash_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 QUERIES: dict[str, Query] = {
+    "op6_sign_hash_vectors": op6_sign_hash_vectors,
+    "op8_warc_segments": op8_warc_segments,
     "op10_dart_near_duplicates": op10_dart_near_duplicates,
     "op9_adaptive_rules": op9_adaptive_rules,
     "op3_huffman_ids": op3_huffman_ids,
