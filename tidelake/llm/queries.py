@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import adaptive_rules, dart_dedup, huffman, mixing, packing, vector_dedup, warc
+from tidelake.llm import (
+    adaptive_rules,
+    dart_dedup,
+    huffman,
+    mixing,
+    packing,
+    vector_dedup,
+    warc,
+    weak_quality,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.classify(table(spark, sf_dir, "documents")).select(
+        F.col("document.doc_id").alias("doc_id"), "votes", "posterior", "score", "kept")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents"))
     return planned.select(
@@ -63,6 +77,7 @@ def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_weak_quality": op1_weak_quality,
     "op6_sign_hash_vectors": op6_sign_hash_vectors,
     "op8_warc_segments": op8_warc_segments,
     "op10_dart_near_duplicates": op10_dart_near_duplicates,
