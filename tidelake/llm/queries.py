@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.llm import (
@@ -13,6 +13,7 @@ from tidelake.llm import (
     huffman,
     mixing,
     packing,
+    secrets,
     vector_dedup,
     warc,
     weak_quality,
@@ -71,6 +72,17 @@ def op6_sign_hash_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.regexp_count("base", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("document.doc_id").alias("doc_id"), count("assign"), count("access"), count("hex"),
+        F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
@@ -79,6 +91,7 @@ def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_weak_quality": op1_weak_quality,
     "op6_sign_hash_vectors": op6_sign_hash_vectors,
+    "op7_secret_spans": op7_secret_spans,
     "op8_warc_segments": op8_warc_segments,
     "op10_dart_near_duplicates": op10_dart_near_duplicates,
     "op9_adaptive_rules": op9_adaptive_rules,
