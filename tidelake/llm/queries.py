@@ -11,6 +11,7 @@ from tidelake.llm import (
     adaptive_rules,
     dart_dedup,
     huffman,
+    interpolated_lm,
     mixing,
     packing,
     secrets,
@@ -52,6 +53,10 @@ def op3_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op10_dart_near_duplicates": op10_dart_near_duplicates,
     "op9_adaptive_rules": op9_adaptive_rules,
     "op3_huffman_ids": op3_huffman_ids,
+    "op4_interpolated_lm": op4_interpolated_lm,
     "op5_pattern_packing": op5_pattern_packing,
     "op2_mix_sources": op2_mix_sources,
 }
