@@ -74,9 +74,12 @@ def targets(weighted: DataFrame, budget: float = BUDGET,
         "rate", F.when(size > 0, target / size).otherwise(0.0))
 
 
-def draw(key: Column, seed: int = SEED) -> Column:
-    """A number in [0, 1) that depends on the key and the seed alone."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 11) / F.lit(float(1 << 53))
+def draw(key: Column, text: Column, seed: int = SEED) -> Column:
+    """A number in [0, 1) that depends on key, text and seed alone: 52 bits of their checksum."""
+    empty = F.lit("")
+    said = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), empty), F.lit(":"),
+                    F.coalesce(text.cast("string"), empty))
+    return F.conv(F.substring(F.md5(said), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
 def plan_mix(docs: DataFrame, weighted: DataFrame | None = None, budget: float = BUDGET,
@@ -101,11 +104,11 @@ def plan_mix(docs: DataFrame, weighted: DataFrame | None = None, budget: float =
     rows = docs.select(
         F.struct("*").alias("document"), word_count(F.col(text)).alias("size"),
         F.col(source).alias("mix_source"),
-        F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("mix_key"))
+        draw(F.col(key), F.col(text), seed).alias("mix_draw"))
     joined = rows.join(planned.withColumnRenamed("source", "mix_planned"),
                        F.col("mix_source").eqNullSafe(F.col("mix_planned")))
     whole = F.floor("rate")
-    extra = (draw(F.col("mix_key"), seed) < F.col("rate") - whole).cast("long")
+    extra = (F.col("mix_draw") < F.col("rate") - whole).cast("long")
     return joined.select("document", "size", "source_size", "target",
                          (whole + extra).alias("copies"))
 

@@ -19,6 +19,7 @@ from tidelake.llm import (
     warc,
     weak_quality,
 )
+from tidelake.llm.sql import SQL  # noqa: F401  registered with the queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,5 +106,3 @@ QUERIES: dict[str, Query] = {
     "op5_pattern_packing": op5_pattern_packing,
     "op2_mix_sources": op2_mix_sources,
 }
-
-SQL: dict[str, str] = {}
