@@ -29,7 +29,8 @@ def rows() -> list[tuple]:
         (1, base, "en", "a"), (2, base, "en", "b"), (3, near, "en", "a"), (4, None, "en", "a"),
         (5, "", "de", "b"), (6, " \n\t ", None, None), (7, "one", "en", None),
         (8, "two words", None, "a"), (9, prose(2, 30_000), "en", "a"), (10, prose(3, 200), "fr", "c"),
-        (10, prose(4, 90), "fr", "c"), (None, prose(5, 80), "en", "a"), (None, None, None, None),
+        (10, prose(4, 90), "fr", "c"), (None, prose(5, 80), "en", "a"),
+        (None, prose(6, 70), "en", "a"), (None, None, None, None),
         (11, "\U0001f600 née  straße x\n\nline\nline", "de", "b"),
         (12, "x" * 5_000, "en", "b"), (13, "<|endoftext|> a <|endoftext|>", "en", "b"),
         (1, base, "en", "a")]
