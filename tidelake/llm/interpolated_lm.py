@@ -264,6 +264,7 @@ def learn_weights(bucket: np.ndarray, two: np.ndarray, one: np.ndarray, n: np.nd
     out = np.tile(shared, (BUCKETS, 1))
     for b in np.unique(bucket):
         out[b] = run(bucket == b, shared, 100.0)
+    out[0] = [0, *out[0, 1:] / out[0, 1:].sum()]  # an unseen context says nothing
     return out
 
 
@@ -308,6 +309,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str
     cells = fold.applyInArrow(seen, "b long, two long, one long, n long").groupBy(
         "b", "two", "one").agg(F.sum("n").alias("n")).orderBy("b", "two", "one").toPandas()
     weights = learn_weights(*(cells[c].to_numpy() for c in ("b", "two", "one", "n")))
+    if not n:
+        weights[:] = [0, 0, 1]
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         row, chunk, words, (bucket, two, one) = prepared(left, right, "total", n)
