@@ -15,8 +15,9 @@ from tidelake.operators.schema_guard import (
     verify_schema_enforcement,
 )
 from tidelake.operators.validation import validate_events
-from tidelake.schemas import DAILY_METRICS, DELIVERY
+from tidelake.schemas import DAILY_METRICS, DELIVERY, VALIDATED_TOPIC
 from tidelake.sources import messages as io
+from tidelake.sources.history_table import append_changes, read_history
 from tidelake.sources.layers import (
     LakePaths,
     current_version,
@@ -27,11 +28,12 @@ from tidelake.sources.layers import (
 )
 
 
-def row(event_id, day, amount, *, customer="customer-001", kind="support_case", currency="SAR",
+def row(event_id, day, amount, *, customer="acct-z", kind="order_placed", currency="CHF",
         minute=0, offset=0):
-    at = dt.datetime(2026, 8, 5, 10, minute)
-    return (event_id, kind, customer, dt.datetime(2026, 8, day, 8), Decimal(amount), currency,
-            f"Document for {event_id}", "1.0", "validated.events", 0, offset, at, at)
+    """A delivery that arrived a given minute after midnight of the 20th."""
+    arrived = dt.datetime(2025, 3, 20, 0, minute)
+    return (event_id, kind, customer, dt.datetime(2025, 3, day, 17, 30), Decimal(amount), currency,
+            f"{kind} {event_id}", "1.0", VALIDATED_TOPIC, 2, offset, arrived, arrived)
 
 
 def table(spark, *rows):
@@ -55,23 +57,22 @@ def test_sample_lake(spark):
     assert deliveries.bronze_summary(bronze).first() == (14, 11, 3)
     kept = history.silver_history(bronze)
     current = history.silver_current(kept)
-    assert (kept.count(), current.count()) == (11, 9)
-    ids = {r.event_id[-4:] for r in current.collect()}
-    assert "2008" in ids and "2003" in ids and not ids & {"2001", "2201"}
+    assert (kept.count(), current.count()) == (11, 7)
+    assert {int(r.event_id[-12:]) for r in current.collect()} == {2, 3, 4, 5, 6, 7, 8}
     gold = metrics.gold_daily_metrics(kept)
     assert gold.schema.simpleString() == DAILY_METRICS.simpleString()
-    got = {(r.customer_id[-1], r.event_day.date().isoformat(), r.currency):
-           (r.event_count, r.total_amount, r.average_amount) for r in gold.collect()}
-    d = Decimal
+    got = {(r.customer_id[-1], r.event_day.strftime("%m-%d"), r.currency):
+           (r.event_count, str(r.total_amount), str(r.average_amount)) for r in gold.collect()}
     assert got == {
-        ("1", "2026-08-01", "SAR"): (2, d("251.00"), d("125.500000")),
-        ("1", "2026-08-05", "SAR"): (1, d("15.00"), d("15.000000")),
-        ("2", "2026-07-29", "SAR"): (1, d("35.00"), d("35.000000")),
-        ("2", "2026-08-02", "SAR"): (2, d("100.00"), d("50.000000")),
-        ("3", "2026-07-31", "USD"): (1, d("49.99"), d("49.990000")),
-        ("3", "2026-08-03", "USD"): (2, d("49.99"), d("24.995000")),
-        ("4", "2026-08-01", "EUR"): (1, d("5.25"), d("5.250000")),
-        ("4", "2026-08-04", "EUR"): (1, d("75.25"), d("75.250000")),
+        ("a", "03-10", "GBP"): (2, "20.00", "10.000000"),
+        ("a", "03-15", "GBP"): (1, "3.35", "3.350000"),
+        ("b", "03-02", "JPY"): (1, "18.00", "18.000000"),
+        ("b", "03-10", "JPY"): (1, "300.00", "300.000000"),
+        ("b", "03-12", "CHF"): (1, "41.05", "41.050000"),
+        ("c", "03-05", "GBP"): (1, "5.55", "5.550000"),
+        ("c", "03-13", "GBP"): (2, "9.99", "4.995000"),
+        ("d", "03-10", "CHF"): (1, "2.80", "2.800000"),
+        ("d", "03-14", "CHF"): (1, "64.20", "64.200000"),
     }
     late = samples.messages(spark).where("batch = 'late'").select(
         F.get_json_object("value", "$.event_id").alias("event_id"))
@@ -79,17 +80,18 @@ def test_sample_lake(spark):
 
 
 def test_history_keeps_the_newest_copy(spark):
-    bronze = table(spark, row("event-1", 4, "10.00", offset=1),
-                   row("event-1", 4, "12.00", minute=1, offset=2), row("event-2", 4, "20.00"))
-    got = {r.event_id: r.amount for r in history.silver_history(bronze).collect()}
-    assert got == {"event-1": Decimal("12.00"), "event-2": Decimal("20.00")}
+    """A correction that arrives later wins, whatever its offset; other events are left alone."""
+    bronze = table(spark, row("x", 7, "3.10", minute=9, offset=4), row("y", 8, "55.00", minute=1),
+                   row("x", 7, "2.90", minute=31, offset=2), row("x", 7, "3.00", minute=15, offset=8))
+    got = {r.event_id: str(r.amount) for r in history.silver_history(bronze).collect()}
+    assert got == {"x": "2.90", "y": "55.00"}
 
 
 def test_currencies_stay_apart(spark):
-    gold = metrics.gold_daily_metrics(table(
-        spark, row("a", 4, "100.00"), row("b", 4, "25.00", currency="USD")))
-    assert {(r.currency, r.total_amount) for r in gold.collect()} == {
-        ("SAR", Decimal("100.00")), ("USD", Decimal("25.00"))}
+    day = [row("p", 9, "7.25"), row("q", 9, "1900.00", currency="JPY"), row("r", 9, "0.75")]
+    gold = metrics.gold_daily_metrics(table(spark, *day))
+    assert {(r.currency, r.event_count, str(r.total_amount)) for r in gold.collect()} == {
+        ("CHF", 2, "8.00"), ("JPY", 1, "1900.00")}
 
 
 def random_rows(seed, n=300, keys=60):
@@ -186,7 +188,20 @@ def test_schema_guard(spark):
         assert_schema(good.drop("event_id"), DELIVERY)
     with pytest.raises(SchemaError, match="amount is double"):
         assert_schema(good.withColumn("amount", F.col("amount").cast("double")), DELIVERY)
-    verify_schema_enforcement(good, DELIVERY)
+    with pytest.raises(Exception, match="null in required column amount"):
+        assert_schema(good.withColumn("amount", F.lit(None).cast("decimal(16,2)")), DELIVERY).collect()
+
+
+def test_a_writer_refuses_what_does_not_fit(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    good = table(spark, row("s", 3, "1.00"))
+    append_changes(good, root)
+    verify_schema_enforcement(good, lambda rows: append_changes(rows, root))
+    with pytest.raises(Exception, match="null in required column currency"):
+        append_changes(good.withColumn("currency", F.lit(None).cast("string")), root)
+    assert [r.event_id for r in read_history(spark, root).collect()] == ["s"]
+    with pytest.raises(SchemaError, match="the writer took"):
+        verify_schema_enforcement(good, lambda rows: None)
 
 
 def test_layer_tables(spark, tmp_path):

@@ -50,11 +50,11 @@ def windows(text, size, overlap):
 
 
 def test_chunks_of_a_repeated_sentence(spark):
-    text = " ".join(["Invoice policy details."] * 100)
-    first = d.chunk_documents(docs(spark, [text]), 100, 20).orderBy("chunk_number").collect()
+    text = "Lanterns drift past the quiet harbour; " * 70
+    first = d.chunk_documents(docs(spark, [text]), 90, 25).orderBy("chunk_number").collect()
     assert len(first) > 1
     assert [r.chunk_id for r in first] == [r.chunk_id for r in d.chunk_documents(
-        docs(spark, [text]), 100, 20).orderBy("chunk_number").collect()]
+        docs(spark, [text]), 90, 25).orderBy("chunk_number").collect()]
     assert {r.source_uri for r in first} == {"uri/0"}
     digest = hashlib.sha256(f"d000:1:{first[1].text}".encode()).hexdigest()
     assert first[1].chunk_id == digest
@@ -130,7 +130,7 @@ def test_zero_vectors_stay(spark):
 def exact(vectors, asked, k):
     best = {}
     for name, q in asked.items():
-        scored = sorted((-round(float(q @ v), 6), c) for c, v in vectors.items())
+        scored = sorted((-round(float(q @ v), 12), c) for c, v in vectors.items())
         best[name] = [c for _, c in scored[:k]]
     return best
 
@@ -161,6 +161,27 @@ def test_dense_search_both_ways(spark, query_rows):
     assert dense_knn(corpus.limit(0), queries, 7, query_rows=query_rows).count() == 0
 
 
+@pytest.mark.parametrize("query_rows", [8_192, 1])
+def test_near_scores_are_told_apart(spark, query_rows):
+    corpus = spark.createDataFrame(
+        [("a", [0.90000011]), ("b", [0.90000039]), ("c", [0.90000039])],
+        "chunk_id string, embedding array<double>")
+    asked = spark.createDataFrame(
+        [("q", [1.0]), ("z", [-1.0])], "query_id string, embedding array<double>")
+    found = dense_knn(corpus, asked, 2, query_rows=query_rows).where("query_id = 'q'").orderBy(
+        "rank").collect()
+    assert [r.chunk_id for r in found] == ["b", "c"]
+    assert found[0].dense_score == pytest.approx(0.90000039, abs=1e-12)
+
+
+def test_null_vectors_are_refused(spark):
+    corpus = spark.createDataFrame([("a", [1.0]), ("b", None)],
+                                   "chunk_id string, embedding array<double>")
+    asked = spark.createDataFrame([("q", [1.0])], "query_id string, embedding array<double>")
+    with pytest.raises(Exception, match="is null"):
+        dense_knn(corpus, asked, 1).collect()
+
+
 def bm25(chunks, asked, k):
     """Scores by the formula, one chunk and term at a time."""
     counts = {f: {c: Counter(tokens(r[f])) for c, r in chunks.items()} for f in ("title", "text")}
@@ -181,7 +202,7 @@ def bm25(chunks, asked, k):
                             own[t] / (own[t] + norm))
                 fields.append(boost * total)
             if max(fields) > 0:
-                scored.append((-round(max(fields), 6), c))
+                scored.append((-round(max(fields), 12), c))
         best[q] = [c for _, c in sorted(scored)[:k]]
     return best
 

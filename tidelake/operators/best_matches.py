@@ -1,10 +1,12 @@
 """Top-k of every query against every corpus row, by blocks.
 
-Scores are computed as matrix blocks inside tasks and cut to k per query before anything leaves a
-task, so no query-row pair is ever written or shuffled. A small query table, by measurement, goes
-to the corpus partitions, which stay where they are. A larger one meets the corpus in a grid: rows
-of both sides are assigned to blocks by hash and each cell of the grid scores one block pair.
-Both ways are exact.
+Scores are computed in blocks inside tasks and cut to k per query before anything leaves a task, so
+no query-row pair is ever written or shuffled. A small query table, by measurement, goes to the corpus
+partitions, which stay where they are. A larger one meets the corpus in a grid: rows of both sides are
+assigned to blocks by hash and each cell of the grid scores one block pair. Both ways are exact.
+
+Rows are ranked by their scores in double precision. Only the last digits, in which the order of
+summation shows, are cut (TIE_DECIMALS), so that copies of a row tie however their blocks were summed.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ QUERY_ROWS = 8_192
 QUERY_BYTES = 16 * 1024 * 1024
 CORPUS_ROWS = 50_000
 SCORE_CELLS = 4_000_000
-DECIMALS = 6
+TIE_DECIMALS = 12
 
 Prepared = list[tuple[np.ndarray, Any]]
 Prepare = Callable[[pa.Table], Prepared]
@@ -78,7 +80,7 @@ def _scan(
         ids = table.column(corpus_id).combine_chunks()
         for mine, (_, block) in zip(best, prepared, strict=True):
             for first, scores in score(table, block):
-                mine.add(ids.slice(first, len(scores)), np.round(scores, DECIMALS), floor)
+                mine.add(ids.slice(first, len(scores)), np.round(scores, TIE_DECIMALS), floor)
     parts = [
         pa.table([query_ids.take(pa.array(queries[mine.column])), mine.ids, pa.array(mine.score)],
                  schema=schema)
@@ -102,7 +104,8 @@ def top_matches(
 ) -> DataFrame:
     """``(query_id, corpus_id, score, rank)`` of the k best rows per query.
 
-    ``sized_by`` is measured in place of ``queries`` when that costs less and bounds its size.
+    ``sized_by`` is measured first, in place of ``queries``, where that costs less; what is broadcast
+    is measured itself.
     """
     schema = T.StructType([
         T.StructField(query_id, queries.schema[query_id].dataType),
@@ -113,18 +116,20 @@ def top_matches(
         (query_id, _arrow_type(queries, query_id)), (corpus_id, _arrow_type(corpus, corpus_id)),
         (score_name, pa.float64())])
     rows, size = measure(queries if sized_by is None else sized_by)
-    if rows <= query_rows and size <= QUERY_BYTES:
-        held = queries.toArrow()
-        shared = corpus.sparkSession.sparkContext.broadcast(
-            (held.column(query_id), prepare(held)))
+    held = queries.toArrow() if rows <= query_rows and size <= QUERY_BYTES else None
+    if held is not None and held.nbytes <= QUERY_BYTES:
+        # The table as it is goes out; each task makes its blocks.
+        shared = corpus.sparkSession.sparkContext.broadcast(held)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tables = (pa.Table.from_batches([b]) for b in batches)
-            yield from _scan(tables, *shared.value, score, corpus_id, k, floor,
-                             arrow).to_batches()
+            mine = shared.value
+            yield from _scan(tables, mine.column(query_id), prepare(mine), score, corpus_id, k,
+                             floor, arrow).to_batches()
 
         found = corpus.mapInArrow(scan, schema)
     else:
+        size = max(size, held.nbytes if held is not None else 0)
         def cell(left: pa.Table, right: pa.Table) -> pa.Table:
             if not left.num_rows or not right.num_rows:
                 return arrow.empty_table()

@@ -14,8 +14,10 @@ CANDIDATES = 20
 
 
 def _matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Array column to a matrix; every vector must have the same length."""
+    """Array column to a matrix; every vector must have the same length, and none may be null."""
     whole = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    if whole.null_count or whole.flatten().null_count:
+        raise ValueError("a vector, or a component of one, is null: filter such rows out first")
     values = whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return values.reshape(len(whole), -1) if len(whole) else np.empty((0, 0))
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions.text import tokens
-from tidelake.operators.best_matches import rank_matches
+from tidelake.operators.best_matches import TIE_DECIMALS, rank_matches
 from tidelake.operators.dense import CANDIDATES
 
 # Fusion constant and number of final results.
@@ -44,7 +44,7 @@ def hybrid_fuse(
     """The k best chunks of both lists fused, with their rank."""
     return rank_matches(
         rrf_fuse({"dense": dense, "lexical": lexical}, constant).withColumn(
-            "fused_score", F.round("fused_score", 9)), "fused_score", k)
+            "fused_score", F.round("fused_score", TIE_DECIMALS)), "fused_score", k)
 
 
 def term_share(query: Column, text: Column) -> Column:
@@ -65,6 +65,6 @@ def rerank(
     query, text = F.col("query"), F.col("text")
     score = (term_share(query, text) if score_pairs is None
              else F.pandas_udf(score_pairs, "double")(query, text))
-    scored = candidates.withColumn("rerank_score", F.round(score, 9)).withColumn(
+    scored = candidates.withColumn("rerank_score", F.round(score, TIE_DECIMALS)).withColumn(
         "_order", F.struct("rerank_score", "fused_score"))
     return rank_matches(scored.drop("rank"), "_order", k).drop("_order")

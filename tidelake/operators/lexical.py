@@ -25,8 +25,9 @@ BLOCK_QUERIES = 128
 BLOCK_TERMS = 16_384
 
 
-# Queries by terms: a vocabulary and, per field, the weight of each of its terms in each query.
-QueryBlock = tuple[pa.Array, dict[str, np.ndarray]]
+# Queries by terms: a vocabulary, its number of queries, where each term's entries start, and per
+# entry the query and per field the term's weight in it. As long as the queries have words.
+QueryBlock = tuple[pa.Array, int, np.ndarray, np.ndarray, dict[str, np.ndarray]]
 
 
 def query_terms(queries: DataFrame, query: str = "query", query_id: str = "query_id") -> DataFrame:
@@ -86,17 +87,15 @@ def bm25_search(
         return blocks
 
     def score(table: pa.Table, block: QueryBlock) -> Iterator[tuple[int, np.ndarray]]:
-        vocabulary, weights = block
-        width = len(vocabulary)
+        vocabulary, width = block[:2]
         fields = {f: _term_norms(table, f, vocabulary, average.get(f, 1.0)) for f in FIELDS}
-        for start, end in row_slices(table.num_rows, max(width, weights["text"].shape[1])):
-            scores = None
+        for start, end in row_slices(table.num_rows, width):
+            scores = np.zeros((end - start, width))
             for f, (row, term, norm) in fields.items():
                 low, high = np.searchsorted(row, [start, end])
-                weight = np.zeros((end - start, width))
-                weight[row[low:high] - start, term[low:high]] = norm[low:high]
-                mine = BOOST[f] * (weight @ weights[f])
-                scores = mine if scores is None else np.maximum(scores, mine)
+                np.maximum(scores, BOOST[f] * _added(
+                    row[low:high] - start, term[low:high], norm[low:high], f, end - start, block),
+                    out=scores)
             yield start, scores
 
     needed = ["chunk_id", *[f"{f}_{part}" for f in FIELDS for part in ("terms", "length")]]
@@ -110,11 +109,26 @@ def _query_block(terms: pa.ListArray) -> QueryBlock:
     coded = flat.field("term").dictionary_encode()
     code = coded.indices.to_numpy()
     owner = np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy()))
-    weights = {}
-    for f in FIELDS:
-        weights[f] = np.zeros((len(coded.dictionary), len(terms)))
-        weights[f][code, owner] = flat.field(f).to_numpy()
-    return coded.dictionary, weights
+    order = np.argsort(code, kind="stable")
+    starts = np.searchsorted(code[order], np.arange(len(coded.dictionary) + 1))
+    weights = {f: flat.field(f).to_numpy()[order] for f in FIELDS}
+    return coded.dictionary, len(terms), starts, owner[order], weights
+
+
+def _added(row: np.ndarray, term: np.ndarray, norm: np.ndarray, field: str, rows: int,
+           block: QueryBlock) -> np.ndarray:
+    """Scores of rows by queries: each posting adds to the queries that hold its term, no others.
+
+    Every score adds its terms in one order, so copies of a chunk get equal scores.
+    """
+    _, width, starts, owner, weights = block
+    order = np.lexsort((term, row))
+    row, term, norm = row[order], term[order], norm[order]
+    many = starts[term + 1] - starts[term]
+    entry = np.repeat(starts[term] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    return np.bincount(np.repeat(row, many) * width + owner[entry],
+                       np.repeat(norm, many) * weights[field][entry],
+                       rows * width).reshape(rows, width)
 
 
 def _term_norms(table: pa.Table, field: str, vocabulary: pa.Array, average: float,

@@ -10,28 +10,44 @@ from tidelake.operators.metrics import gold_daily_metrics, stage_reconciliation
 from tidelake.operators.quality import run_gate
 from tidelake.operators.schema_guard import verify_schema_enforcement
 from tidelake.operators.validation import validate_events
-from tidelake.schemas import DAILY_METRICS, DELIVERY, QUARANTINE_TOPIC, VALIDATED_TOPIC
+from tidelake.schemas import DAILY_METRICS, DELIVERY, MESSAGE, QUARANTINE_TOPIC, VALIDATED_TOPIC
 from tidelake.sources.history_table import append_changes, compact_history, read_history
-from tidelake.sources.layers import LakePaths, read_layer, write_snapshot
+from tidelake.sources.layers import LakePaths, ensure_folder, read_layer, write_snapshot
 from tidelake.sources.messages import read_event_stream, route_messages
 from tidelake.streaming.bronze import bronze_stream
 from tidelake.streaming.silver import silver_stream
 
 
 def validate_batch(messages: DataFrame, lake: LakePaths, rejected_at: Column | None = None) -> None:
-    """Append a batch of raw messages to the validated and quarantine topics, in one pass."""
+    """Append a batch of raw messages to the validated and quarantine topics, in one pass.
+
+    A batch has a folder of its own beside that of the validation stream; `published` reads both.
+    """
     route_messages(validate_events(messages), rejected_at).write.mode("append").partitionBy(
-        "topic").parquet(lake.topics)
+        "topic").parquet(lake.batch_topics)
+
+
+def published(spark: SparkSession, lake: LakePaths) -> DataFrame:
+    """All messages of all topics, whoever wrote them."""
+    both = [spark.read.schema(MESSAGE).parquet(ensure_folder(spark, path))
+            for path in (lake.topics, lake.batch_topics)]
+    return both[0].unionByName(both[1])
 
 
 def read_topic(spark: SparkSession, lake: LakePaths, topic: str) -> DataFrame:
-    return spark.read.parquet(lake.topics).where(F.col("topic") == topic)
+    return published(spark, lake).where(F.col("topic") == topic)
+
+
+def published_stream(spark: SparkSession, lake: LakePaths) -> DataFrame:
+    """The messages of `published` as they arrive."""
+    both = [read_event_stream(spark, "parquet", ensure_folder(spark, path))
+            for path in (lake.topics, lake.batch_topics)]
+    return both[0].unionByName(both[1])
 
 
 def load_bronze(spark: SparkSession, lake: LakePaths, ingested_at: Column | None = None) -> None:
     """Append the validated messages that Bronze does not have yet."""
-    arrived = read_event_stream(spark, "parquet", lake.topics).where(
-        F.col("topic") == VALIDATED_TOPIC)
+    arrived = published_stream(spark, lake).where(F.col("topic") == VALIDATED_TOPIC)
     bronze_stream(arrived, lake.bronze, f"{lake.checkpoints}/bronze",
                   ingested_at).awaitTermination()
 
@@ -61,8 +77,9 @@ def refresh(spark: SparkSession, lake: LakePaths, ingested_at: Column | None = N
     load_bronze(spark, lake, ingested_at)
     run_gate(spark.read.parquet(lake.bronze), "bronze")
     merge_silver(spark, lake)
-    history = run_gate(read_history(spark, lake.silver), "silver")
-    verify_schema_enforcement(history, DELIVERY)
+    verify_schema_enforcement(
+        spark.read.parquet(lake.bronze), lambda rows: append_changes(rows, lake.silver))
+    run_gate(read_history(spark, lake.silver), "silver")
     build_current(spark, lake)
     run_gate(read_layer(spark, lake.silver_current), "silver_current")
     build_gold(spark, lake)
@@ -71,9 +88,8 @@ def refresh(spark: SparkSession, lake: LakePaths, ingested_at: Column | None = N
 
 def reconcile(spark: SparkSession, lake: LakePaths) -> DataFrame:
     """Rows per stored stage."""
-    topics = spark.read.parquet(lake.topics)
     return stage_reconciliation({
-        "raw": topics,
+        "raw": published(spark, lake),
         "validated": read_topic(spark, lake, VALIDATED_TOPIC),
         "quarantine": read_topic(spark, lake, QUARANTINE_TOPIC),
         "bronze": spark.read.parquet(lake.bronze),

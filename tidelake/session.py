@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Of a key that a JSON object repeats the last value counts, as JSON readers have it.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -32,9 +32,18 @@ class LakePaths:
 
     @property
     def topics(self) -> str:
-        """Published messages, one directory per topic."""
+        """Messages published by the validation stream, one directory per topic.
+
+        Readers of a stream's files follow its log and see nothing else, so no batch job may write
+        here.
+        """
         return self._at("topics")
 
+    @property
+    def batch_topics(self) -> str:
+        """Messages published by batch jobs, one directory per topic."""
+        return self._at("topics_batch")
+
     @property
     def bronze(self) -> str:
         return self._at("bronze")
@@ -60,6 +69,13 @@ class LakePaths:
         return self._at("checkpoints")
 
 
+def ensure_folder(spark: SparkSession, path: str) -> str:
+    """Make a folder that a reader may look into before anything is written there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return path
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
     """Newest published version; None before the first one."""
     try:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelake.operators.deliveries import bronze_ingest
+from tidelake.operators.schema_guard import assert_schema
+from tidelake.schemas import DELIVERY
 from tidelake.streaming.validate import drained
 
 
@@ -19,7 +21,7 @@ def bronze_stream(
 ) -> StreamingQuery:
     """Start the append; every delivery is kept, replays included."""
     writer = (
-        bronze_ingest(messages, ingested_at).writeStream.format(table_format)
+        assert_schema(bronze_ingest(messages, ingested_at), DELIVERY).writeStream.format(table_format)
         .outputMode("append").option("checkpointLocation", checkpoint)
     )
     return drained(writer, once).start(path)

@@ -113,6 +113,21 @@ SINK = JUDGED + r""", sink AS (
     kafka_topic AS topic, kafka_partition AS "partition", kafka_offset AS "offset",
     kafka_timestamp AS "timestamp" FROM accepted)"""
 
+REFUSED = JUDGED + """, refused AS (
+  SELECT topic || ':' || "partition" || ':' || "offset" AS key, 'quarantine.events' AS topic,
+    "partition", "offset", "timestamp",
+    '{"payload":' || CAST(to_json(value) AS VARCHAR) || ',"rejection_reason":'
+      || CAST(to_json(reason) AS VARCHAR) || ',"source":{"topic":"' || topic
+      || '","partition":' || "partition" || ',"offset":' || "offset"
+      || ',"received_at":"' || strftime("timestamp", '%Y-%m-%dT%H:%M:%SZ')
+      || '"},"rejected_at":"' || strftime("timestamp" + INTERVAL '1' SECOND, '%Y-%m-%dT%H:%M:%SZ')
+      || '"}' AS value
+  FROM judged WHERE broken > 0)"""
+
+ROUTED = SINK + REFUSED.removeprefix(JUDGED) + """, routed AS (
+  SELECT 'validated.events' AS topic, key, value, "offset" FROM sink
+  UNION ALL SELECT topic, key, value, "offset" FROM refused)"""
+
 CHUNKS = cte("text_events") + r""", normal AS (
   SELECT event_id AS document_id, 'delta://silver/customer_events/' || event_id AS source_uri,
     event_type || ' event for customer ' || customer_id AS title,
@@ -189,7 +204,7 @@ by_field AS (
   JOIN frequencies f ON f.field = p.field AND f.term = p.term
   GROUP BY a.query_id, p.chunk_id, p.field),
 lexical_scores AS (
-  SELECT query_id, chunk_id, round(max(CASE field WHEN 'title' THEN 2 * score ELSE score END), 6)
+  SELECT query_id, chunk_id, round(max(CASE field WHEN 'title' THEN 2 * score ELSE score END), 12)
     AS lexical_score FROM by_field GROUP BY query_id, chunk_id)""" + ranked(
     "lexical", "lexical_scores", "lexical_score", 20)
 
@@ -197,14 +212,14 @@ DENSE_PARTS = (
     vectors("chunk_vectors", "chunks", "chunk_id", "text")
     + vectors("question_vectors", "questions", "query_id", "query")
     + """, dense_scores AS (
-  SELECT q.query_id, c.chunk_id, round(list_dot_product(q.embedding, c.embedding), 6) AS dense_score
+  SELECT q.query_id, c.chunk_id, round(list_dot_product(q.embedding, c.embedding), 12) AS dense_score
   FROM question_vectors q CROSS JOIN chunk_vectors c)"""
     + ranked("dense", "dense_scores", "dense_score", 20))
 
 DENSE = CHUNKS + ", " + cte("questions") + DENSE_PARTS
 
 FUSED = LEXICAL + DENSE_PARTS + """, fused_scores AS (
-  SELECT query_id, chunk_id, round(sum(1.0 / (60 + rank)), 9) AS fused_score,
+  SELECT query_id, chunk_id, round(sum(1.0 / (60 + rank)), 12) AS fused_score,
     coalesce(max(dense_score), 0.0) AS dense_score,
     coalesce(max(lexical_score), 0.0) AS lexical_score
   FROM (SELECT query_id, chunk_id, rank, dense_score, NULL AS lexical_score FROM dense
@@ -218,7 +233,7 @@ RERANKED = FUSED + f""", pairs AS (
   FROM fused f JOIN chunks c ON c.chunk_id = f.chunk_id JOIN questions q
     ON q.query_id = f.query_id),
 rated AS (
-  SELECT * EXCLUDE (wanted, present), round(len(list_intersect(wanted, present)) / len(wanted), 9)
+  SELECT * EXCLUDE (wanted, present), round(len(list_intersect(wanted, present)) / len(wanted), 12)
     AS rerank_score FROM pairs),
 best AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id
@@ -265,7 +280,7 @@ changes AS (
   SELECT * REPLACE (
     CASE WHEN kafka_partition = 1 THEN CAST(0 AS DECIMAL(16,2)) ELSE amount END AS amount,
     CASE WHEN kafka_partition = 1 THEN ingested_at - INTERVAL '1' HOUR ELSE ingested_at END
-      AS ingested_at) FROM deliveries WHERE batch <> 'late'),
+      AS ingested_at) FROM deliveries WHERE batch <> 'late' OR kafka_partition = 2),
 source AS (
   SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY event_id
     ORDER BY ingested_at DESC, kafka_timestamp DESC, kafka_partition DESC, kafka_offset DESC)
@@ -317,22 +332,11 @@ SQL: dict[str, str] = {
     "quarantine_field_summary": f"WITH {JUDGED} SELECT field, rule, count(*) AS failures "
         "FROM failures GROUP BY field, rule",
     "validated_sink": f"WITH {SINK} SELECT * FROM sink",
-    "quarantine_sink": f"WITH {JUDGED} SELECT topic || ':' || \"partition\" || ':' || \"offset\" "
-        "AS key, 'quarantine.events' AS topic, \"partition\", \"offset\", \"timestamp\", "
-        "'{\"payload\":' || CAST(to_json(value) AS VARCHAR) || ',\"rejection_reason\":' "
-        "|| CAST(to_json(reason) AS VARCHAR) || ',\"source\":{\"topic\":\"' || topic "
-        "|| '\",\"partition\":' || \"partition\" || ',\"offset\":' || \"offset\" "
-        "|| ',\"received_at\":\"' || strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%SZ') "
-        "|| '\"},\"rejected_at\":\"' || strftime(\"timestamp\" + INTERVAL '1' SECOND, "
-        "'%Y-%m-%dT%H:%M:%SZ') || '\"}' AS value FROM judged WHERE broken > 0",
+    "quarantine_sink": f"WITH {REFUSED} SELECT * FROM refused",
     "bronze_ingest": f"WITH {JUDGED} SELECT {DELIVERY_COLUMNS} FROM accepted",
     "bronze_stream": f"WITH {JUDGED} SELECT {DELIVERY_COLUMNS} FROM accepted",
-    "route_messages": f"WITH {SINK} SELECT topic, key, \"offset\" FROM sink UNION ALL "
-        "SELECT 'quarantine.events', topic || ':' || \"partition\" || ':' || \"offset\", "
-        "\"offset\" FROM judged WHERE broken > 0",
-    "validate_stream": f"WITH {SINK} SELECT topic, key, \"offset\" FROM sink UNION ALL "
-        "SELECT 'quarantine.events', topic || ':' || \"partition\" || ':' || \"offset\", "
-        "\"offset\" FROM judged WHERE broken > 0",
+    "route_messages": f"WITH {ROUTED} SELECT * FROM routed",
+    "validate_stream": f"WITH {ROUTED} SELECT * FROM routed",
     "silver_stream": f"WITH {HISTORY} SELECT {DELIVERY_COLUMNS} FROM history",
     "stage_reconciliation": f"""WITH {JUDGED}, kept AS (SELECT event_id, customer_id, event_type
         FROM accepted GROUP BY ALL)
@@ -387,7 +391,7 @@ SQL: dict[str, str] = {
     "vector_table_sink": f"WITH {CHUNKS} SELECT {CHUNK_COLUMNS} FROM chunks",
     "embed_text": f"WITH {CHUNKS}{vectors('v', 'chunks', 'chunk_id', 'text')} SELECT chunk_id, "
         "CAST(i AS INT) AS dimension, round(embedding[i + 1], 6) AS weight "
-        "FROM v CROSS JOIN (SELECT range AS i FROM range(64)) WHERE embedding[i + 1] > 0",
+        "FROM v CROSS JOIN (SELECT range AS i FROM range(64))",
     "normalize_vectors": """SELECT vec_id, CAST(i AS INT) AS dimension,
         round(CAST(embedding[i + 1] AS DOUBLE) / sqrt(list_dot_product(
           CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS weight
@@ -396,29 +400,30 @@ SQL: dict[str, str] = {
           lambda x: x / sqrt(list_dot_product(CAST(embedding AS DOUBLE[]),
             CAST(embedding AS DOUBLE[])))) AS v FROM embeddings),
       scored AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-        round(list_dot_product(q.v, c.v), 6) AS dense_score FROM unit q CROSS JOIN unit c)
-      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id
-        ORDER BY dense_score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20""",
-    "topk_dense": f"WITH {DENSE} SELECT query_id, chunk_id, dense_score, rank FROM dense",
+        round(list_dot_product(q.v, c.v), 12) AS dense_score FROM unit q CROSS JOIN unit c)
+      SELECT * REPLACE (round(dense_score, 6) AS dense_score) FROM (SELECT *, row_number() OVER (
+        PARTITION BY query_id ORDER BY dense_score DESC, vec_id) AS rank FROM scored)
+      WHERE rank <= 20""",
+    "topk_dense": f"WITH {DENSE} SELECT query_id, chunk_id, round(dense_score, 6) AS dense_score, rank FROM dense",
     "bm25_index": f"WITH {POSTINGS} SELECT chunk_id, field, term, tf FROM postings",
     "corpus_stats": f"WITH {POSTINGS} SELECT field, chunks, round(average_length, 6) "
         "AS average_length FROM field_stats",
     "document_frequencies": f"WITH {POSTINGS} SELECT field, term, document_frequency "
         "FROM frequencies",
-    "bm25_search": f"WITH {LEXICAL} SELECT query_id, chunk_id, lexical_score FROM lexical",
+    "bm25_search": f"WITH {LEXICAL} SELECT query_id, chunk_id, round(lexical_score, 6) AS lexical_score FROM lexical",
     "topk_lexical": f"WITH {LEXICAL} SELECT query_id, chunk_id, rank FROM lexical",
     "retrieval_rank": f"WITH {LEXICAL}{DENSE_PARTS} SELECT query_id, 'dense' AS retriever, "
         "chunk_id, rank FROM dense UNION ALL SELECT query_id, 'lexical', chunk_id, rank "
         "FROM lexical",
-    "rrf_fuse": f"WITH {FUSED} SELECT query_id, chunk_id, fused_score, dense_score, "
-        "lexical_score FROM fused_scores",
-    "hybrid_fuse": f"WITH {FUSED} SELECT query_id, chunk_id, fused_score, dense_score, "
-        "lexical_score, rank FROM fused",
+    "rrf_fuse": f"WITH {FUSED} SELECT query_id, chunk_id, round(fused_score, 6) AS fused_score, round(dense_score, 6) AS dense_score, "
+        "round(lexical_score, 6) AS lexical_score FROM fused_scores",
+    "hybrid_fuse": f"WITH {FUSED} SELECT query_id, chunk_id, round(fused_score, 6) AS fused_score, round(dense_score, 6) AS dense_score, "
+        "round(lexical_score, 6) AS lexical_score, rank FROM fused",
     "rrf_topk": f"WITH {FUSED} SELECT query_id, chunk_id, rank FROM fused",
-    "rerank": f"WITH {RERANKED} SELECT query_id, chunk_id, rerank_score FROM best",
+    "rerank": f"WITH {RERANKED} SELECT query_id, chunk_id, round(rerank_score, 6) AS rerank_score FROM best",
     "rerank_topk": f"WITH {RERANKED} SELECT query_id, chunk_id, rank FROM best",
-    "hybrid_retrieve": f"WITH {RERANKED} SELECT query_id, rank, {CHUNK_COLUMNS}, dense_score, "
-        "lexical_score, fused_score, rerank_score FROM best",
+    "hybrid_retrieve": f"WITH {RERANKED} SELECT query_id, rank, {CHUNK_COLUMNS}, round(dense_score, 6) AS dense_score, "
+        "round(lexical_score, 6) AS lexical_score, round(fused_score, 6) AS fused_score, round(rerank_score, 6) AS rerank_score FROM best",
     "grounded_context": f"WITH {RERANKED} SELECT q.query_id, coalesce(string_agg('[' || b.rank "
         "|| '] ' || b.text, chr(10) || chr(10) ORDER BY b.rank), "
         "'Insufficient context to answer the question.') AS context FROM questions q "
@@ -426,3 +431,5 @@ SQL: dict[str, str] = {
     "citations": f"WITH {RERANKED} SELECT query_id, rank AS place, document_id, chunk_id, "
         "source_uri, title FROM best",
 }
+SQL["dense_knn_grid"] = SQL["dense_knn"]
+SQL["bm25_search_grid"] = SQL["bm25_search"]

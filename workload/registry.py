@@ -127,10 +127,13 @@ def new_ids(i: Inputs) -> DataFrame:
 
 
 def _merge_sides(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    """A target without one partition, and changes that are newer, stale or new."""
+    """A target without one partition, and changes that are newer, stale or new.
+
+    Late events of that partition are among the changes, so every event is on a side.
+    """
     d = i.deliveries()
     stale = F.col("kafka_partition") == 1
-    changes = d.where("batch <> 'late'").withColumns({
+    changes = d.where("batch <> 'late' OR kafka_partition = 2").withColumns({
         "amount": F.when(stale, F.lit(0).cast("decimal(16,2)")).otherwise(F.col("amount")),
         "ingested_at": F.when(stale, F.expr("ingested_at - INTERVAL '1' HOUR")).otherwise(
             F.col("ingested_at")),
@@ -212,7 +215,7 @@ def bronze_ingest(i: Inputs) -> DataFrame:
 @query
 def route_messages(i: Inputs) -> DataFrame:
     return message_io.route_messages(_validated(i), _one_second_later("timestamp")).select(
-        "topic", "key", "offset")
+        "topic", "key", "value", "offset")
 
 
 @query
@@ -239,15 +242,15 @@ def validate_stream(i: Inputs) -> DataFrame:
     _staged_messages(i, lake.raw)
     raw = message_io.read_event_stream(i.spark, "parquet", lake.raw, maxFilesPerTrigger="4")
     start_validation(raw, f"{lake.checkpoints}/validate", "parquet",
-                     lake.topics).awaitTermination()
-    return i.spark.read.parquet(lake.topics).select("topic", "key", "offset")
+                     lake.topics, _one_second_later("timestamp")).awaitTermination()
+    return refresh.published(i.spark, lake).select("topic", "key", "value", "offset")
 
 
 @query
 def bronze_stream(i: Inputs) -> DataFrame:
     lake = scratch(i.spark)
     refresh.validate_batch(i.messages().drop("n"), lake)
-    stream = message_io.read_event_stream(i.spark, "parquet", lake.topics,
+    stream = message_io.read_event_stream(i.spark, "parquet", lake.batch_topics,
                                           maxFilesPerTrigger="8")
     start_bronze(stream.where(F.col("topic") == VALIDATED_TOPIC), lake.bronze,
                  f"{lake.checkpoints}/bronze", F.col("timestamp")).awaitTermination()
@@ -370,7 +373,7 @@ def _components(frame: DataFrame, key: str) -> DataFrame:
 
 @query
 def embed_text(i: Inputs) -> DataFrame:
-    return _components(embedding.embed_text(_chunks(i)), "chunk_id").where("weight > 0")
+    return _components(embedding.embed_text(_chunks(i)), "chunk_id")
 
 
 @query
@@ -391,6 +394,11 @@ def vector_table_sink(i: Inputs) -> DataFrame:
 # Retrieval
 
 
+def rounded(frame: DataFrame) -> DataFrame:
+    """Scores as both engines print them; ranks come from the scores before that."""
+    return frame.withColumns({c: F.round(c, 6) for c in frame.columns if c.endswith("_score")})
+
+
 class Retrieval:
     """The stored index of all texts, and the questions."""
 
@@ -414,13 +422,22 @@ class Retrieval:
 def dense_knn(i: Inputs) -> DataFrame:
     """Every vector of the given table against all of them."""
     vectors = embedding.normalize_vectors(i.table("embeddings"))
-    return dense.dense_knn(
-        vectors, vectors.withColumnRenamed("vec_id", "query_id"), corpus_id="vec_id")
+    return rounded(dense.dense_knn(
+        vectors, vectors.withColumnRenamed("vec_id", "query_id"), corpus_id="vec_id"))
+
+
+@query
+def dense_knn_grid(i: Inputs) -> DataFrame:
+    """The same by the path that a large table of queries takes."""
+    vectors = embedding.normalize_vectors(i.table("embeddings"))
+    return rounded(dense.dense_knn(
+        vectors, vectors.withColumnRenamed("vec_id", "query_id"), corpus_id="vec_id",
+        query_rows=150, corpus_rows=200))
 
 
 @query
 def topk_dense(i: Inputs) -> DataFrame:
-    return Retrieval(i).dense()
+    return rounded(Retrieval(i).dense())
 
 
 @query
@@ -441,7 +458,15 @@ def document_frequencies(i: Inputs) -> DataFrame:
 
 @query
 def bm25_search(i: Inputs) -> DataFrame:
-    return Retrieval(i).lexical().drop("rank")
+    return rounded(Retrieval(i).lexical().drop("rank"))
+
+
+@query
+def bm25_search_grid(i: Inputs) -> DataFrame:
+    """The same by the path that a large table of questions takes."""
+    r = Retrieval(i)
+    return rounded(lexical.bm25_search(
+        r.index, r.questions, query_rows=15, corpus_rows=1000).drop("rank"))
 
 
 @query
@@ -460,14 +485,13 @@ def retrieval_rank(i: Inputs) -> DataFrame:
 @query
 def rrf_fuse(i: Inputs) -> DataFrame:
     r = Retrieval(i)
-    return fusion.rrf_fuse({"dense": r.dense(), "lexical": r.lexical()}).withColumn(
-        "fused_score", F.round("fused_score", 9))
+    return rounded(fusion.rrf_fuse({"dense": r.dense(), "lexical": r.lexical()}))
 
 
 @query
 def hybrid_fuse(i: Inputs) -> DataFrame:
     r = Retrieval(i)
-    return fusion.hybrid_fuse(r.dense(), r.lexical())
+    return rounded(fusion.hybrid_fuse(r.dense(), r.lexical()))
 
 
 @query
@@ -478,7 +502,7 @@ def rrf_topk(i: Inputs) -> DataFrame:
 
 @query
 def rerank(i: Inputs) -> DataFrame:
-    return Retrieval(i).results().select("query_id", "chunk_id", "rerank_score")
+    return rounded(Retrieval(i).results().select("query_id", "chunk_id", "rerank_score"))
 
 
 @query
@@ -488,7 +512,7 @@ def rerank_topk(i: Inputs) -> DataFrame:
 
 @query
 def hybrid_retrieve(i: Inputs) -> DataFrame:
-    return Retrieval(i).results().drop("query")
+    return rounded(Retrieval(i).results().drop("query"))
 
 
 @query

@@ -30,8 +30,9 @@ SELECT 'event-' || lpad(CAST(e.event_id AS STRING), 12, '0') AS event_id,
            AS ingested_at,
        CASE WHEN e.copy = 1 THEN 'duplicates' WHEN e.event_id % 7 = 3 THEN 'late' ELSE 'valid' END
            AS batch
-FROM (SELECT *, CAST(0 AS BIGINT) AS copy FROM {events}
-      UNION ALL SELECT *, CAST(1 AS BIGINT) AS copy FROM {events} WHERE event_id % 10 = 0) e
+FROM (SELECT a.*, c.copy FROM {events} a
+      JOIN (SELECT CAST(0 AS BIGINT) AS copy, 1 AS every UNION ALL SELECT 1, 10) c
+        ON a.event_id % c.every = 0) e
 LEFT JOIN {documents} d ON d.doc_id = e.event_id
 """
 
@@ -92,7 +93,9 @@ SELECT n, kafka_offset, kafka_timestamp,
        || ',' || chr(34) || 'schema_version' || chr(34) || ':' || chr(34)
        || CASE n % 20 WHEN 8 THEN '2.0' ELSE '1.0' END || chr(34)
        || CASE n % 20 WHEN 9 THEN ',' || chr(34) || 'unexpected_field' || chr(34) || ':'
-            || chr(34) || 'must be rejected' || chr(34) ELSE '' END
+            || chr(34) || 'must be rejected' || chr(34)
+            WHEN 19 THEN ',' || chr(34) || 'schema_version' || chr(34) || ':' || chr(34) || '1.0'
+            || chr(34) ELSE '' END
        || '}' AS body
 FROM (SELECT kafka_offset % 1000000000 AS n, kafka_offset, kafka_timestamp, event_type,
              customer_id, currency, document_text,
@@ -149,10 +152,7 @@ class Inputs:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        """A given table; one too small to occupy every core at once is spread out first."""
-        frame = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        return frame.repartition(cores) if len(frame.inputFiles()) < cores else frame
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _sql(self, text: str, **frames: DataFrame) -> DataFrame:
         for name in frames:
