@@ -17,10 +17,11 @@ from tidelake.operators.schema_guard import (
 from tidelake.operators.validation import validate_events
 from tidelake.schemas import DAILY_METRICS, DELIVERY, VALIDATED_TOPIC
 from tidelake.sources import messages as io
-from tidelake.sources.history_table import append_changes, read_history
+from tidelake.sources.history_table import append_changes, compact_history, read_history
 from tidelake.sources.layers import (
     LakePaths,
     current_version,
+    expire_versions,
     merge_into,
     read_layer,
     write_create,
@@ -223,6 +224,20 @@ def test_layer_tables(spark, tmp_path):
     assert LakePaths("/x/").silver == "/x/silver"
 
 
+def test_old_versions_expire_only_when_asked(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    for n in range(4):
+        append_changes(table(spark, row(f"e{n}", 1 + n, "1.00")), root)
+        compact_history(spark, root)
+    assert current_version(spark, root) == 3
+    assert expire_versions(spark, root, retain=2) == [
+        "changes-0000000000", "changes-0000000001", "changes-first",
+        "version-0000000000", "version-0000000001"]
+    assert {r.event_id for r in read_history(spark, root).collect()} == {"e0", "e1", "e2", "e3"}
+    with pytest.raises(ValueError):
+        expire_versions(spark, root, retain=0)
+
+
 def test_json_array_files(spark, tmp_path):
     import json
 

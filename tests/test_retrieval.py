@@ -20,8 +20,8 @@ from tidelake.operators.lexical import bm25_search
 from tidelake.operators.term_index import bm25_index
 from tidelake.plans.retrieval import hybrid_retrieve, indexable_chunks
 from tidelake.schemas import CHUNK
-from tidelake.sources.layers import read_layer
-from tidelake.sources.vector_table import vector_table_sink
+from tidelake.plans.indexing import update_index
+from tidelake.sources.vector_table import compact_index, read_index, vector_table_sink
 
 WORDS = [f"w{n}" for n in range(60)] + ["the"] * 30
 
@@ -269,7 +269,7 @@ def test_questions_to_cited_context(spark, tmp_path):
         "event_id string, customer_id string, event_type string, document_text string")
     root = str(tmp_path / "index")
     vector_table_sink(indexable_chunks(events, size=120, overlap=20), root)
-    index = read_layer(spark, root)
+    index = read_index(spark, root)
     questions = spark.createDataFrame(
         [("q1", "w1 w2 w3"), ("q2", "support case for customer c2")],
         "query_id string, query string")
@@ -298,11 +298,58 @@ def test_changed_documents_replace_their_chunks(spark, tmp_path):
         return indexable_chunks(events, size=20, overlap=5)
 
     vector_table_sink(chunks(("a", "one two three four five six"), ("b", "other text")), root)
-    before = read_layer(spark, root)
+    before = read_index(spark, root)
     assert before.select(*CHUNK.names).where("document_id = 'a'").count() > 1
     vector_table_sink(chunks(("a", "short")), root)
-    after = {(r.document_id, r.text) for r in read_layer(spark, root).collect()}
+    after = {(r.document_id, r.text) for r in read_index(spark, root).collect()}
     assert after == {("a", "short"), ("b", "other text")}
     gone = spark.createDataFrame([("b",)], "document_id string")
     vector_table_sink(chunks(("a", "short")).limit(0), root, documents=gone)
-    assert {r.document_id for r in read_layer(spark, root).collect()} == {"a"}
+    assert {r.document_id for r in read_index(spark, root).collect()} == {"a"}
+    compact_index(spark, root)
+    assert {r.document_id for r in read_index(spark, root).collect()} == {"a"}
+    vector_table_sink(chunks(("b", "again")), root)
+    assert {(r.document_id, r.text) for r in read_index(spark, root).collect()} == {
+        ("a", "short"), ("b", "again")}
+
+
+def test_an_update_writes_only_what_changed(spark, tmp_path):
+    root = str(tmp_path / "index")
+    schema = "event_id string, customer_id string, event_type string, document_text string"
+
+    def events(*rows):
+        return spark.createDataFrame([(e, "c", "kind", t) for e, t in rows], schema)
+
+    def files():
+        return {p.relative_to(tmp_path).as_posix(): p.stat().st_mtime_ns
+                for p in tmp_path.rglob("part-*")}
+
+    update_index(events(("a", "one"), ("b", "two"), ("c", "three")), root)
+    first = files()
+    update_index(events(("a", "one"), ("b", "deux"), ("d", "four")), root)
+    assert {k: v for k, v in files().items() if k in first} == first
+    written = spark.read.parquet(f"{root}/changes-{0:010d}")
+    assert sorted(r.text for r in written.collect()) == ["deux", "four"]
+    assert sorted(r.text for r in read_index(spark, root).collect()) == ["deux", "four", "one"]
+    before = files()
+    update_index(events(("a", "one"), ("b", "deux"), ("d", "four")), root)
+    assert spark.read.parquet(f"{root}/changes-{0:010d}").count() == 2
+    assert set(before) <= set(files())
+
+
+def test_the_flow_of_the_readme(spark, tmp_path):
+    from tests import samples
+    from tidelake.plans import refresh
+    from tidelake.plans.indexing import refresh_index
+    from tidelake.sources.layers import LakePaths
+
+    lake, everything = LakePaths(str(tmp_path)), samples.messages(spark)
+    questions = spark.createDataFrame([("q", "note on a visit_booked")],
+                                      "query_id string, query string")
+    for batch, documents in (("batch = 'valid'", 8), ("batch <> 'valid'", 11)):
+        refresh.validate_batch(everything.where(batch), lake)
+        refresh.refresh(spark, lake)
+        refresh_index(spark, lake)
+        index = read_index(spark, lake.chunks)
+        assert index.select("document_id").distinct().count() == documents
+        assert hybrid_retrieve(index, questions).count() == 5

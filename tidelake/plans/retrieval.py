@@ -33,7 +33,17 @@ def indexable_chunks(
     overlap: int = OVERLAP,
 ) -> DataFrame:
     """Chunks with vectors and term counts, ready to be stored; map-only from the scan on."""
-    documents = document_metadata(documents_with_text(history))
+    return index_chunks(document_metadata(documents_with_text(history)), encode, dim, size, overlap)
+
+
+def index_chunks(
+    documents: DataFrame,
+    encode: Encoder | None = None,
+    dim: int = DIMENSION,
+    size: int = CHUNK_SIZE,
+    overlap: int = OVERLAP,
+) -> DataFrame:
+    """The same from documents."""
     chunks = chunk_documents(documents, size, overlap).drop("char_start", "char_end")
     return with_terms(embed_text(chunks, encode=encode, dim=dim))
 

@@ -7,6 +7,7 @@ transactions (``delta``, ``iceberg``) are passed through by name.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -123,6 +124,29 @@ def write_snapshot(
     return _version_path(root, version)
 
 
+def expire_versions(spark: SparkSession, root: str, retain: int = 2) -> list[str]:
+    """Delete what belongs to versions older than the newest ``retain`` ones; returns what went.
+
+    Snapshots, changes and states carry their version in their name. Nothing is deleted unless this
+    is called: readers of an older version must have ended. Changes from before the first version
+    count as older than it.
+    """
+    newest = current_version(spark, root)
+    if retain < 1 or newest is None:
+        raise ValueError("at least the current version stays, and there must be one")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files, gone = folder.getFileSystem(spark._jsc.hadoopConfiguration()), []
+    for entry in files.listStatus(folder):
+        name = entry.getPath().getName()
+        kind, _, number = name.rpartition("-")
+        if kind not in ("version", "changes", "state"):
+            continue
+        if number == "first" or (number.isdigit() and int(number) <= newest - retain):
+            files.delete(entry.getPath(), True)
+            gone.append(name)
+    return sorted(gone)
+
+
 def write_create(
     frame: DataFrame, path: str, schema: T.StructType, table_format: str = "parquet",
 ) -> None:
@@ -131,16 +155,20 @@ def write_create(
 
 
 def merge_into(
-    source: DataFrame, table: str, key: str = "event_id", order_by: str = "ingested_at",
+    source: DataFrame, table: str, key: str = "event_id",
+    order_by: Sequence[str] = ("ingested_at",),
 ) -> None:
     """The same merge as ``merge_upsert``, done in place by a table whose format supports it.
 
-    Only the files that hold matches are rewritten. Plain Parquet tables refuse it.
+    Only the files that hold matches are rewritten. Plain Parquet tables refuse it; no format that
+    supports it is at hand here, so that a merge succeeds is untested.
     """
+    source_age, table_age = (F.struct(*[F.col(f"{side}.{c}") for c in order_by])
+                             for side in ("source", table))
     (
         source.alias("source")
         .mergeInto(table, F.col(f"{table}.{key}") == F.col(f"source.{key}"))
-        .whenMatched(F.col(f"source.{order_by}") >= F.col(f"{table}.{order_by}")).updateAll()
+        .whenMatched(source_age >= table_age).updateAll()
         .whenNotMatched().insertAll()
         .merge()
     )

@@ -184,6 +184,21 @@ frequencies AS (SELECT field, term, count(*) AS document_frequency FROM postings
   GROUP BY field, term)"""
 
 
+LISTED = """coalesce(string_agg(term || ':' || tf, ',' ORDER BY term || ':' || tf)
+      FILTER (field = '{0}'), '')"""
+INDEXED = POSTINGS + vectors("v", "chunks", "chunk_id", "text") + f""", listed AS (
+  SELECT chunk_id, md5({LISTED.format("title")}) AS title_terms,
+    md5({LISTED.format("text")}) AS text_terms,
+    coalesce(sum(tf) FILTER (field = 'title'), 0)::INT AS title_length,
+    coalesce(sum(tf) FILTER (field = 'text'), 0)::INT AS text_length
+  FROM postings GROUP BY chunk_id),
+summed AS (
+  SELECT chunk_id, round(list_sum(list_transform(embedding, lambda x, n: x * n)), 4) AS vector FROM v),
+indexed AS (
+  SELECT c.*, coalesce(s.vector, 0.0) AS vector, l.* EXCLUDE (chunk_id) FROM chunks c
+  JOIN listed l ON l.chunk_id = c.chunk_id LEFT JOIN summed s ON s.chunk_id = c.chunk_id)"""
+
+
 def ranked(name: str, source: str, score: str, k: int) -> str:
     return f""", {name} AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {score} DESC, chunk_id)
@@ -388,7 +403,8 @@ SQL: dict[str, str] = {
         "CAST(sum(length(text)) AS BIGINT) AS characters FROM chunks GROUP BY document_id",
     "chunk_total": f"WITH {CHUNKS} SELECT count(*) AS indexed_chunks, "
         "count(DISTINCT document_id) AS documents FROM chunks",
-    "vector_table_sink": f"WITH {CHUNKS} SELECT {CHUNK_COLUMNS} FROM chunks",
+    "vector_table_sink": f"WITH {INDEXED} SELECT * FROM indexed",
+    "refresh_index": f"WITH {INDEXED} SELECT * FROM indexed",
     "embed_text": f"WITH {CHUNKS}{vectors('v', 'chunks', 'chunk_id', 'text')} SELECT chunk_id, "
         "CAST(i AS INT) AS dimension, round(embedding[i + 1], 6) AS weight "
         "FROM v CROSS JOIN (SELECT range AS i FROM range(64))",

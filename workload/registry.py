@@ -22,6 +22,7 @@ from tidelake.operators import (
     validation,
 )
 from tidelake.plans import refresh
+from tidelake.plans.indexing import update_index
 from tidelake.plans.retrieval import hybrid_retrieve as retrieve
 from tidelake.plans.retrieval import indexable_chunks
 from tidelake.schemas import CHUNK, DELIVERY, VALIDATED_TOPIC
@@ -29,7 +30,8 @@ from tidelake.session import shared_folder
 from tidelake.sizing import fits_broadcast
 from tidelake.sources import messages as message_io
 from tidelake.sources.history_table import read_history
-from tidelake.sources.layers import LakePaths, read_layer
+from tidelake.sources.layers import LakePaths
+from tidelake.sources.vector_table import compact_index, read_index
 from tidelake.sources.vector_table import vector_table_sink as write_vectors
 from tidelake.streaming.bronze import bronze_stream as start_bronze
 from tidelake.streaming.silver import silver_stream as start_silver
@@ -387,8 +389,36 @@ def vector_table_sink(i: Inputs) -> DataFrame:
     lake = scratch(i.spark)
     chunks = indexable_chunks(i.text_events())
     write_vectors(chunks, lake.chunks)
-    write_vectors(read_layer(i.spark, lake.chunks), lake.chunks)
-    return read_layer(i.spark, lake.chunks).select(*CHUNK.names)
+    write_vectors(read_index(i.spark, lake.chunks), lake.chunks)
+    return indexed(read_index(i.spark, lake.chunks))
+
+
+def indexed(index: DataFrame) -> DataFrame:
+    """Every column of the index; vectors and term lists as numbers that show any change."""
+    place = F.sequence(F.lit(1), F.size("embedding"))
+    weighted = F.zip_with("embedding", place, lambda x, n: x.cast("double") * n)
+    listed = {f"{f}_terms": F.md5(F.array_join(F.array_sort(F.transform(
+        f"{f}_terms", lambda t: F.concat(t["term"], F.lit(":"), t["tf"].cast("string")))), ","))
+        for f in term_index.FIELDS}
+    return index.select(
+        *CHUNK.names, F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 4).alias("vector"),
+        *[c.alias(n) for n, c in listed.items()], "title_length", "text_length")
+
+
+@query
+def refresh_index(i: Inputs) -> DataFrame:
+    """Index an earlier state, then what changed since: texts that were others, absent or extra."""
+    lake, events = scratch(i.spark), i.text_events()
+    number = F.crc32("event_id") % 5
+    before = events.withColumn("document_text", F.when(number == 0, F.lit("an older text"))
+                               .when(number == 1, F.lit(None)).otherwise(F.col("document_text")))
+    gone = events.where(number == 2).withColumn("event_id", F.concat(F.lit("gone-"), "event_id"))
+    update_index(before.unionByName(gone), lake.chunks)
+    update_index(events, lake.chunks)
+    compact_index(i.spark, lake.chunks)
+    update_index(events.where(number != 3), lake.chunks)
+    update_index(events, lake.chunks)
+    return indexed(read_index(i.spark, lake.chunks))
 
 
 # Retrieval
@@ -405,7 +435,7 @@ class Retrieval:
     def __init__(self, i: Inputs) -> None:
         lake = scratch(i.spark)
         write_vectors(indexable_chunks(i.text_events()), lake.chunks)
-        self.index = read_layer(i.spark, lake.chunks)
+        self.index = read_index(i.spark, lake.chunks)
         self.questions = i.questions()
 
     def dense(self) -> DataFrame:
