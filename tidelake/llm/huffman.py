@@ -28,7 +28,7 @@ from tidelake.session import shared_folder
 STRIDE = 256
 BLOCK_TOKENS = 1 << 16
 LONGEST_CODE = 18
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text",
@@ -54,9 +54,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int, key: str = "doc_id",
         coder = encoder(path)
         for batch in batches:
             for part in text_slices(batch):
-                ids, starts = coder.encode(part.column("text"))
-                ids = np.insert(ids, starts[1:], end_id).astype("<u4")
-                starts = starts + np.arange(len(starts))
+                ids, starts = coder.encode(part.column("text"), end_id)
                 raw = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(part),
                     [None, pa.py_buffer(starts * 4), pa.py_buffer(ids.tobytes())])

@@ -48,9 +48,7 @@ def cut_documents(docs: DataFrame, path: str, end_id: int, capacity: int = CAPAC
             capacity + 1, np.int64)
         for whole in batches:
             for batch in text_slices(whole):
-                ids, starts = coder.encode(batch.column("text"))
-                ids = np.insert(ids, starts[1:], end_id).astype("<u4")
-                starts = starts + np.arange(len(starts))
+                ids, starts = coder.encode(batch.column("text"), end_id)
                 size = np.diff(starts)
                 many = -(-size // capacity)
                 row = np.repeat(np.arange(len(size)), many)

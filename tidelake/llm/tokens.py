@@ -8,8 +8,10 @@ whole text for a fraction of the work; tests/llm/test_tokens.py holds it against
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +20,7 @@ import pyarrow.compute as pc
 # Two neighbouring white-space characters in any script; the text is then cut by _LONE_SPACE.
 _UNEVEN = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}"
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_TOGETHER = 400  # words that are handed to the tokenizer as one text
-CACHED_PIECES = 700_000
+CACHED_PIECES = 900_000
 CACHED_LENGTH = 32
 
 
@@ -36,89 +37,128 @@ def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         [[0], np.cumsum(pc.list_value_length(parts).to_numpy())]).astype(np.int64)
 
 
+def _letters() -> list[str]:
+    """The visible character that stands for each byte in a byte-level vocabulary: printable Latin-1
+    characters stand for themselves, the others are numbered from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [n for n in range(256) if n not in shown]
+    return [chr(n if n in shown else 256 + hidden.index(n)) for n in range(256)]
+
+
 class PieceEncoder:
-    """Encodes texts piece by piece and remembers short pieces, up to a fixed number."""
+    """Encodes texts piece by piece and remembers short pieces, up to a fixed number.
+
+    A word of letters alone, with or without a comma or full stop after it, is one unit of the
+    vocabulary's pattern: its ids come from the tokenizer's model at once. All other pieces go
+    through the whole tokenizer.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        vocabulary = self._tokenizer.get_vocab()
-        self._by_end = any(word.endswith("</w>") for word in vocabulary)
-        self._edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        for word, number in vocabulary.items():
-            self._edge[number] = word.endswith("</w>") if self._by_end else word.startswith("Ġ")
-        self._known: dict[str, bytes] = {}
-
-    def _one_by_one(self, texts: list[str]) -> list[bytes]:
+        self._model = self._tokenizer.model
+        self._normal = self._tokenizer.normalizer
+        self._lower = self._normal is not None and self._normal.normalize_str("A") == "a"
+        spaced = self._tokenizer.encode(" a", add_special_tokens=False).tokens[0]
+        self._space = spaced[:1] if spaced.startswith("Ġ") else ""
+        self._letters = _letters()
+        self._known: dict[str, int] = {}
+        self._ids = array("I")  # ids of all known pieces, one after the other
+        self._ends = array("q", [0])  # of piece n: from place n to place n + 1
+        self._tail = {c: self._plain([c])[0] for c in ".,"}
+
+    def _plain(self, texts: list[str]) -> list[list[int]]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, each with a space before it, many words to a text."""
-        out: list[bytes] = []
-        groups = [words[n:n + _TOGETHER] for n in range(0, len(words), _TOGETHER)]
-        texts = [" " + " ".join(g) for g in groups]
-        for group, found in zip(
-                groups, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False),
-                strict=True):
-            ids = np.array(found.ids, dtype="<u4")
-            at = np.flatnonzero(self._edge[ids])
-            if len(at) != len(group):
-                out += self._one_by_one([" " + w for w in group])
-                continue
-            ends = (at + 1 if self._by_end else np.append(at[1:], len(ids))) * 4
-            raw, start = ids.tobytes(), 0
-            for end in ends.tolist():
-                out.append(raw[start:end])
-                start = end
-        return out
-
-    def _look_up(self, texts: list[str]) -> list[bytes]:
-        """Ids of distinct pieces, each with the space before it."""
-        known = self._known
-        new = [p for p in texts if p not in known]
-        bare = {p: p[:-1] if p[-1:] in (".", ",") and p[-2:-1].isalpha() else p for p in new}
-        words = list({b for b in bare.values()
-                      if b not in known and b.isalpha() and b.lower().isalpha()})
-        fresh = dict(zip(words, self._words(words), strict=True))
-        others = [p for p, b in bare.items() if b not in fresh and b not in known]
-        fresh.update(zip(others, self._one_by_one([" " + p for p in others]), strict=True))
-        marks = dict(zip(",.", self._one_by_one([",", "."]), strict=True)) if new else {}
-        for p, b in bare.items():
-            if p not in fresh:
-                fresh[p] = (fresh[b] if b in fresh else known[b]) + marks[p[-1]]
-        ids = [known[p] if p in known else fresh[p] for p in texts]
-        if len(known) < CACHED_PIECES:
-            known.update((p, i) for p, i in fresh.items() if len(p) <= CACHED_LENGTH)
-        return ids
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in order, and where each text's ids start. Nulls have none."""
+        return [e.ids for e in found]
+
+    def _word(self, word: str) -> list[int] | None:
+        """Ids of a word with a space before it, or None if it isn't a word of letters alone."""
+        if not word.isalpha():
+            return None
+        if word.isascii():
+            unit = word.lower() if self._lower else word
+        else:
+            unit = self._normal.normalize_str(word) if self._normal else word
+            if not unit.isalpha():
+                return None
+            unit = "".join([self._letters[b] for b in unit.encode()])
+        return [t.id for t in self._model.tokenize(self._space + unit)]
+
+    def _add(self, pieces: list[str]) -> range:
+        """Append the ids of new pieces, each with the space before it; their numbers."""
+        first, others, found = len(self._ends) - 1, [], []
+        for p in pieces:
+            tail = self._tail.get(p[-1:]) if p[-2:-1].isalpha() else None
+            ids = self._word(p[:-1] if tail else p)
+            if ids is None:
+                others.append(p)
+            elif tail:
+                ids += tail
+            found.append(ids)
+        whole = iter(self._plain([" " + p for p in others]))
+        for ids in found:
+            self._ids.extend(next(whole) if ids is None else ids)
+            self._ends.append(len(self._ids))
+        return range(first, len(self._ends) - 1)
+
+    def _look_up(self, texts: list[str]) -> np.ndarray:
+        """Numbers of distinct pieces. Those beyond the limit are forgotten by `_forget`."""
+        rows = list(map(self._known.get, texts))
+        new = [n for n, row in enumerate(rows) if row is None]
+        for n, row in zip(new, self._add([texts[n] for n in new]), strict=True):
+            rows[n] = row
+        if len(self._known) < CACHED_PIECES:
+            self._known.update((texts[n], rows[n]) for n in new if len(texts[n]) <= CACHED_LENGTH)
+            self._keep = len(self._ends)
+        return np.fromiter(rows, np.int64, len(rows))
+
+    def _forget(self) -> None:
+        del self._ends[self._keep:]
+        del self._ids[self._ends[-1]:]
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in order, and where each text's ids start. Nulls have none.
+
+        With end_id, that id follows the ids of each text.
+        """
         if len(texts) == 0:
             return np.empty(0, "<u4"), np.zeros(1, np.int64)
+        collecting = gc.isenabled()
+        gc.disable()  # millions of short-lived objects and no cycles among them
+        try:
+            return self._encode(texts, end_id)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         flat, starts = _cut(pc.fill_null(texts.cast(pa.string()), ""))
         coded = flat.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        piece = coded.indices.to_numpy().astype(np.int64)
         heads = flat.take(pa.array(starts[:-1])).dictionary_encode()
-        first = heads.dictionary.to_pylist()
-        piece[starts[:-1]] = heads.indices.to_numpy() + len(distinct)
-        used = np.bincount(piece, minlength=len(distinct) + len(first))[:len(distinct)] > 0
-        needed = [p for p, u in zip(distinct, used.tolist(), strict=True) if u]
-        table = np.full(len(distinct) + len(first), b"", dtype=object)
-        table[:len(distinct)][used] = np.fromiter(self._look_up(needed), object, len(needed))
-        table[len(distinct):] = np.fromiter(self._one_by_one(first), object, len(first))
-        size = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        pool = np.frombuffer(b"".join(table), dtype="<u4")
-        at = np.cumsum(size) - size
-        length = size[piece]
-        ends = np.cumsum(length)
-        source = np.repeat(at[piece] - (ends - length), length)
-        source += np.arange(len(source))
-        before = np.append(0, ends)
-        return pool[source], before[starts]
+        rows = self._look_up(coded.dictionary.to_pylist())
+        rest = len(self._ends) - 1
+        last = [] if end_id is None else [[end_id]]
+        for ids in self._plain(heads.dictionary.to_pylist()) + last:  # no space before these
+            self._ids.extend(ids)
+            self._ends.append(len(self._ids))
+        row = rows[coded.indices.to_numpy()]
+        row[starts[:-1]] = heads.indices.to_numpy() + rest
+        if last:
+            row = np.insert(row, starts[1:], len(self._ends) - 2)
+            starts = starts + np.arange(len(starts))
+        ends = np.frombuffer(self._ends, np.int64)
+        pool = np.frombuffer(self._ids, np.uint32)
+        length = np.diff(ends)[row]
+        after = np.cumsum(length)
+        kind = np.int32 if max(len(pool), after[-1]) < 1 << 31 else np.int64
+        source = np.repeat((ends[row] - (after - length)).astype(kind), length)
+        source += np.arange(len(source), dtype=kind)
+        out = pool[source].astype("<u4", copy=False)
+        del ends, pool  # the arrays below them are about to shrink
+        self._forget()
+        return out, np.append(0, after)[starts]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
