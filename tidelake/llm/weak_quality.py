@@ -223,7 +223,8 @@ class Model:
 def learn(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) -> Model:
     """Vote on all rows, weigh the heuristics, and fit the scorer to a sample drawn by hash.
 
-    To the driver come a row per pattern of votes and the features of about `train_rows` rows.
+    To the driver come a row per pattern of votes and the features of about `train_rows` texts at
+    most.
     """
     counted = docs.select(vote_column(F.col(text)).alias("p")).groupBy("p").count().orderBy(
         "p").collect()
@@ -246,12 +247,12 @@ def learn(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) ->
         return pa.array(rows, pa.struct([("feature", pa.list_(pa.int32())),
                                          ("value", pa.list_(pa.float64()))]))
 
-    # Equal texts draw the same number; one of them is enough to learn from, more do no harm.
-    share = F.pmod(F.xxhash64(F.lit(SEED), F.monotonically_increasing_id(), F.col(text)),
-                   F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = docs.select(F.col(text).alias("t"), share.alias("u")).where(
-        F.col("u") < train_rows / total).select(
-        vote_column(F.col("t")).alias("p"), seen(F.col("t")).alias("x")).collect()
+    # Texts are drawn by their hash, so the sample depends on nothing else, and copies count once:
+    # each task passes on one of them.
+    drawn = docs.select(F.col(text).alias("t"), F.xxhash64(F.lit(SEED), F.col(text)).alias("h")).where(
+        F.pmod("h", F.lit(1 << 30)) < (1 << 30) * (train_rows / total))
+    sample = drawn.groupBy("h").agg(F.first("t").alias("t")).select(
+        "h", vote_column(F.col("t")).alias("p"), seen(F.col("t")).alias("x")).orderBy("h").collect()
     size = [len(r["x"]["feature"]) for r in sample]
     doc = np.repeat(np.arange(len(sample)), size)
     feature = np.array([f for r in sample for f in r["x"]["feature"]], np.int64)
