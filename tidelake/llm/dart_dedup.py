@@ -7,7 +7,8 @@ coordinate, the earliest dart that hits one of the document's cells. Two documen
 coordinate with the probability of their weighted Jaccard similarity. About T * (log T + 4) darts are
 looked at for a document of any length, where plain minwise hashing needs T hashes for every shingle.
 
-Bands of coordinates propose links; the exact similarity of the whole texts decides; connected
+Bands of coordinates propose links. A proposal whose signatures agree far too seldom for the wanted
+similarity goes no further; for the others the exact similarity of the whole texts decides. Connected
 components are the classes. Equal texts are one node from the start.
 """
 
@@ -23,13 +24,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidelake.llm.common import mixed, stored, unit
+from tidelake.llm.common import SPACES, mixed, stored, unit
 from tidelake.llm.components import components
 from tidelake.session import shared_folder
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 6  # a pair at 0.8 shares a band with probability 0.9998, one at 0.4 with 0.11
+# A proposal needs this much agreement of the whole signatures to be compared in full. It is five
+# standard deviations below what a pair at the wanted similarity shows: one in three million is lost.
+DEVIATIONS = 5.0
+LEADERS = 4
 SLICE_BYTES = 8 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
@@ -116,25 +121,39 @@ def signatures(cell: np.ndarray, starts: np.ndarray, coordinates: int) -> np.nda
     return out
 
 
-def text_bands(texts: pa.Array, bands: int = BANDS, rows: int = ROWS,
+def text_signs(texts: pa.Array, bands: int = BANDS, rows: int = ROWS,
                words: int = WORDS) -> pa.Array:
-    """A list of band hashes for each text; an empty list if it has no words."""
-    out = []
+    """bands: a hash per band, none for a text without words; sketch: a byte per coordinate."""
+    found, sketches = [], []
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(lengths) // SLICE_BYTES
     for g in np.unique(group):
         at = np.flatnonzero(group == g)
         cell, starts = cells(texts.slice(at[0], len(at)), words)
-        sign = signatures(cell, starts, bands * rows).reshape(len(at), bands, rows)
+        sign = signatures(cell, starts, bands * rows)
+        sketches += [s.tobytes() for s in sign.astype(np.uint8)]
+        sign = sign.reshape(len(at), bands, rows)
         with np.errstate(over="ignore"):
             value = np.zeros((len(at), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
             for r in range(rows):
                 value = mixed(value * _BASE + sign[:, :, r])
         full = np.diff(starts) > 0
         edges = np.append(0, np.cumsum(np.where(full, bands, 0))).astype(np.int32)
-        out.append(pa.ListArray.from_arrays(
+        found.append(pa.ListArray.from_arrays(
             pa.array(edges), pa.array(value[full].ravel().view(np.int64))))
-    return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int64()))
+    lists = pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int64()))
+    return pa.StructArray.from_arrays([lists, pa.array(sketches, pa.binary())], ["bands", "sketch"])
+
+
+def agreement(left: pa.Array, right: pa.Array, coordinates: int) -> pa.Array:
+    """The share of coordinates in which sketches agree."""
+    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, coordinates)
+            for x in (left, right))
+    return pa.array((a == b).mean(axis=1) if len(a) else np.zeros(0))
+
+
+def least_agreement(similarity: float, coordinates: int) -> float:
+    return similarity - DEVIATIONS * math.sqrt(similarity * (1 - similarity) / coordinates)
 
 
 def weighted_similarity(left: pa.Array, right: pa.Array, words: int = WORDS) -> pa.Array:
@@ -153,21 +172,37 @@ def weighted_similarity(left: pa.Array, right: pa.Array, words: int = WORDS) ->
 
 def sign(docs: DataFrame, key: str = "doc_id", text: str = "text", bands: int = BANDS,
          rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """doc_id, node (a 64-bit hash of the text; equal texts share it), bands. Map-only."""
-    @F.arrow_udf("array<long>")
-    def banded(texts: pa.Array) -> pa.Array:
-        return text_bands(texts, bands, rows, words)
+    """doc_id, node (a 64-bit hash of the text; equal texts share it), bands, sketch. Map-only."""
+    @F.arrow_udf("struct<bands:array<long>,sketch:binary>")
+    def signed(texts: pa.Array) -> pa.Array:
+        return text_signs(texts, bands, rows, words)
 
-    return docs.select(F.col(key).alias("doc_id"), node_of(text), banded(F.col(text)).alias("bands"))
+    return docs.select(F.col(key).alias("doc_id"), node_of(text), signed(F.col(text)).alias("s")
+                       ).select("doc_id", "node", "s.bands", "s.sketch")
 
 
 def node_of(text: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node")
+    """A 64-bit hash of the text; texts without words are one node."""
+    blank = F.btrim(F.col(text), F.lit(SPACES)) == ""
+    return F.xxhash64(F.when(F.col(text).isNull() | blank, F.lit("")).otherwise(F.col(text))).alias(
+        "node")
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame, similarity: float, coordinates: int) -> DataFrame:
+    """The pairs whose sketches agree as often as those of similar texts do."""
+    @F.arrow_udf("double")
+    def agree(left: pa.Array, right: pa.Array) -> pa.Array:
+        return agreement(left, right, coordinates)
+
+    both = pairs.join(nodes.select(F.col("node").alias("b"), F.col("sketch").alias("right")), "b")
+    both = both.join(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("left")), "a")
+    return both.where(agree("left", "right") >= least_agreement(similarity, coordinates)).select(
+        "a", "b")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, text: str, similarity: float,
               words: int) -> DataFrame:
-    """The pairs a, b whose texts are similar enough. Only texts that take part in a pair move."""
+    """The pairs a, b whose whole texts are similar enough."""
     @F.arrow_udf("double")
     def alike(left: pa.Array, right: pa.Array) -> pa.Array:
         return weighted_similarity(left, right, words)
@@ -181,21 +216,24 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, similarity: float,
 
 
 def link_nodes(signed: DataFrame, docs: DataFrame, folder: str, text: str = "text",
-               similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
+               similarity: float = SIMILARITY, words: int = WORDS,
+               coordinates: int = BANDS * ROWS) -> DataFrame:
     """node, component for the nodes that have links.
 
     In every band bucket that holds several nodes one is drawn as its leader and all others are
     compared with it: a bucket of m nodes costs m - 1 comparisons. Buckets whose nodes are still in
-    different components then draw a new leader, from round to round until a round finds no link,
-    so that nodes that are like each other but not like the first leader meet as well.
+    different components then draw about LEADERS leaders, in the next round LEADERS**2, and so on, and
+    compare them with the nodes of other components, until a round finds no link or all have led. So
+    nodes that are like each other but not like the first leader meet as well.
     """
     spark = docs.sparkSession
-    # Copies say the same: of each node the bands are taken once per task and bucket.
-    members = stored(signed.select("node", F.explode("bands").alias("band")).distinct(),
-                     "members", folder)
+    # Copies say the same: each task passes on a node once.
+    nodes = stored(signed.groupBy("node").agg(F.first(F.struct("bands", "sketch")).alias("s")).select(
+        "node", "s.bands", "s.sketch"), "nodes", folder)
+    members = nodes.select("node", F.explode("bands").alias("band"))
     several = members.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y")).where(
         "x < y").select("band")
-    members = stored(members.join(several, "band", "left_semi"), "buckets", folder)
+    members = stored(members.join(several, "band", "left_semi"), "members", folder)
     links = spark.createDataFrame([], "a long, b long")
     tested, found, turn = None, None, 0
     while True:
@@ -203,17 +241,25 @@ def link_nodes(signed: DataFrame, docs: DataFrame, folder: str, text: str = "tex
             found.select("node", "component"), "node", "left")
         own = F.col("node") if found is None else F.coalesce("component", "node")
         rows = rows.select("band", "node", own.alias("component"))
-        drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
-        leaders = rows.groupBy("band").agg(
+        drawn = F.struct(F.xxhash64("node", F.lit(0)).alias("h"), "node", "component")
+        open_ = rows.groupBy("band").agg(
             F.min(drawn).alias("leader"), F.min("component").alias("x"),
-            F.max("component").alias("y")).where("x < y").select("band", "leader")
-        pairs = rows.join(leaders, "band").where(
-            F.col("component") != F.col("leader.component")).select(
-            F.least("node", "leader.node").alias("a"),
-            F.greatest("node", "leader.node").alias("b")).distinct()
+            F.max("component").alias("y"), F.count("*").alias("n")).where("x < y")
+        if turn == 0:
+            leaders = open_.select("band", "leader.node", "leader.component")
+        else:
+            # The same nodes lead in all their buckets, so that their pairs are few.
+            share = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20)) / (1 << 20)
+            leaders = rows.join(open_.select("band", "n"), "band").where(
+                share < F.lit(LEADERS ** turn) / F.col("n")).select("band", "node", "component")
+        pairs = rows.join(leaders.toDF("band", "leader", "led"), "band").where(
+            "component <> led").select(
+            F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"pairs-{turn}", folder)
+        pairs = stored(_likely(pairs, nodes, similarity, coordinates), f"pairs-{turn}", folder)
+        if pairs.isEmpty():
+            break
         fresh = stored(_verified(pairs, docs, text, similarity, words), f"links-{turn}", folder)
         if fresh.isEmpty():
             break
@@ -221,20 +267,20 @@ def link_nodes(signed: DataFrame, docs: DataFrame, folder: str, text: str = "tex
         links = links.union(fresh)
         turn += 1
         found = stored(components(links, f"{folder}/round-{turn}"), f"components-{turn}", folder)
-    return found if found is not None else links.select("a", F.col("b").alias("component")).toDF(
-        "node", "component")
+    return found if found is not None else links.toDF("node", "component")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     similarity: float = SIMILARITY, words: int = WORDS,
                     folder: str | None = None) -> DataFrame:
-    """doc_id, node, class_id, class_size, kept: a row per row of the input.
+    """doc_id, node, component, class_id, class_size, kept: a row per row of the input.
 
     class_id is the smallest key of all documents linked to a document, directly or by way of
     others; class_size counts their rows. kept marks the documents whose key that is. Equal texts
     are always one class; null texts count as empty, and empty texts are equal. Null keys are never
     a class_id unless a class has no other. Long texts are compared whole. Documents of fewer than
-    five words are near duplicates only of the same words.
+    five words are near duplicates only of the same words. component tells classes apart that have
+    no class_id.
     """
     folder = folder or shared_folder(docs.sparkSession)
     signed = stored(sign(docs, key, text, words=words), "signed", folder)
@@ -244,7 +290,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes = rows.groupBy("component").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     return rows.join(classes, "component").select(
-        "doc_id", "node", "class_id", "class_size",
+        "doc_id", "node", "component", "class_id", "class_size",
         F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
@@ -257,7 +303,7 @@ def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     folder = folder or shared_folder(docs.sparkSession)
     marked = near_duplicates(docs, key, text, folder=folder)
-    chosen = marked.where("kept").groupBy("class_id").agg(
+    chosen = marked.where("kept").groupBy("component", "class_id").agg(
         F.min("node").alias("node")).select(F.col("class_id").alias("k"), F.col("node").alias("n"))
     chosen = stored(chosen, "chosen", folder)
     rows = docs.select(F.struct("*").alias("document"), F.col(key).alias("k"),
