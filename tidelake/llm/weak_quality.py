@@ -261,21 +261,24 @@ def learn(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) ->
     return Model(posterior, table, fit(doc, feature, value, target))
 
 
-def score_column(text: Column, model: Model, docs: DataFrame) -> Column:
-    """Probability of being good; 0 for a text without words."""
+def judged_column(text: Column, model: Model, docs: DataFrame, voting: bool = True) -> Column:
+    """struct: votes if asked for, and score, the probability of being good; 0 without words."""
     shared = docs.sparkSession.sparkContext.broadcast(model.weights)  # FEATURES numbers
 
-    @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        weights, out = shared.value, []
+    @F.arrow_udf("struct<votes:int,score:double>")
+    def judge(texts: pa.Array) -> pa.Array:
+        weights, cast, out = shared.value, [np.zeros(0, np.int32)], [np.zeros(0)]
         for part in slices(texts):
             words = words_of(part)
             doc, feature, value = features(words)
             z = np.bincount(doc, weights[feature] * value, len(part)) + weights[-1]
+            cast.append(pattern(votes(words)).astype(np.int32) if voting
+                        else np.zeros(len(part), np.int32))
             out.append(np.where(words.count > 0, 1 / (1 + np.exp(-np.clip(z, -30, 30))), 0.0))
-        return pa.array(np.concatenate(out) if out else np.zeros(0))
+        return pa.StructArray.from_arrays(
+            [pa.array(np.concatenate(cast)), pa.array(np.concatenate(out))], ["votes", "score"])
 
-    return score(text)
+    return judge(text)
 
 
 def classify(docs: DataFrame, text: str = "text", keep: float = KEEP,
@@ -286,8 +289,8 @@ def classify(docs: DataFrame, text: str = "text", keep: float = KEEP,
     Equal texts get equal scores, repeated rows stay repeated, an empty table stays empty.
     """
     model = model or learn(docs, text)
-    rows = docs.select(F.struct("*").alias("document"), vote_column(F.col(text)).alias("votes"),
-                       score_column(F.col(text), model, docs).alias("score"))
+    rows = docs.select(F.struct("*").alias("document"), judged_column(
+        F.col(text), model, docs).alias("j")).select("document", "j.votes", "j.score")
     known = docs.sparkSession.createDataFrame(
         [(p, g) for p, g in sorted(model.posterior.items())] or [(-1, 0.5)],
         "p int, posterior double")  # at most 3**8 rows
@@ -298,5 +301,5 @@ def classify(docs: DataFrame, text: str = "text", keep: float = KEEP,
 
 def good_documents(docs: DataFrame, text: str = "text", keep: float = KEEP) -> DataFrame:
     """The rows the scorer keeps, with all their columns."""
-    score = score_column(F.col(text), learn(docs, text), docs)
-    return docs.where(score >= keep)
+    return docs.where(judged_column(F.col(text), learn(docs, text), docs, voting=False)[
+        "score"] >= keep)
