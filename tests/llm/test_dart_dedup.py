@@ -98,6 +98,25 @@ def test_large_groups_of_near_copies(spark):
     assert sorted((tuple(r) for r in got), key=str) == classes(found)
 
 
+def test_few_pairs_in_a_large_family_just_below(spark):
+    """2,000 texts of one template at 0.78 to each other, six pairs among them above 0.8."""
+    template, found = prose(70, 200), []
+    for n in range(2_000):
+        own = [f"w{n}x{k}" for k in range(28)]
+        if n >= 1_994:
+            own = found[n - 1_994][1].split(" ")[200:220] + own[20:]
+        found.append((n, " ".join([template, *own])))
+    number: dict[tuple, int] = {}
+    bags = [{number.setdefault(x, len(number)) for x in shingles(t)} for _, t in found]
+    alike_ = {(m, n) for n in range(len(bags)) for m in range(n)
+              if (c := len(bags[m] & bags[n])) >= 0.8 * (len(bags[m]) + len(bags[n]) - c)}
+    assert alike_ == {(n, n + 1_994) for n in range(6)}
+    assert len(bags[7] & bags[8]) > 0.77 * len(bags[7] | bags[8])
+    frame = spark.createDataFrame(found, "doc_id long, text string").repartition(4)
+    got = dart_dedup.near_duplicates(frame).where("class_size > 1").collect()
+    assert {(r["class_id"], r["doc_id"]) for r in got if not r["kept"]} == alike_
+
+
 def test_one_per_class_keeps_rows_whole(spark):
     docs = documents(spark)
     kept = dart_dedup.one_per_class(docs)

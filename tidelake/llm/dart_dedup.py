@@ -7,9 +7,11 @@ coordinate, the earliest dart that hits one of the document's cells. Two documen
 coordinate with the probability of their weighted Jaccard similarity. About T * (log T + 4) darts are
 looked at for a document of any length, where plain minwise hashing needs T hashes for every shingle.
 
-Bands of coordinates propose links. A proposal whose signatures agree far too seldom for the wanted
-similarity goes no further; for the others the exact similarity of the whole texts decides. Connected
-components are the classes. Equal texts are one node from the start.
+Bands of coordinates propose links. First every bucket's nodes are compared with a few leaders, which
+joins the groups of near copies; a proposal whose signatures agree far too seldom for the wanted
+similarity goes no further, and for the others the exact similarity of the whole texts decides. In the
+buckets that still hold several components all other pairs are compared, whole texts, inside tasks.
+Connected components are the classes. Equal texts are one node from the start.
 """
 
 from __future__ import annotations
@@ -35,6 +37,9 @@ BANDS, ROWS = 28, 6  # a pair at 0.8 shares a band with probability 0.9998, one
 # standard deviations below what a pair at the wanted similarity shows: one in three million is lost.
 DEVIATIONS = 5.0
 LEADERS = 4
+ROUNDS = 2  # of leaders, before the buckets that are still open are compared whole
+# Nodes, and bytes of text, that one block of an open bucket has about.
+BLOCK, BLOCK_BYTES = 512, 8 << 20
 SLICE_BYTES = 8 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
@@ -172,13 +177,15 @@ def weighted_similarity(left: pa.Array, right: pa.Array, words: int = WORDS) ->
 
 def sign(docs: DataFrame, key: str = "doc_id", text: str = "text", bands: int = BANDS,
          rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """doc_id, node (a 64-bit hash of the text; equal texts share it), bands, sketch. Map-only."""
+    """doc_id, node (a 64-bit hash of the text; equal texts share it), bands, sketch, bytes of the
+    text. Map-only."""
     @F.arrow_udf("struct<bands:array<long>,sketch:binary>")
     def signed(texts: pa.Array) -> pa.Array:
         return text_signs(texts, bands, rows, words)
 
-    return docs.select(F.col(key).alias("doc_id"), node_of(text), signed(F.col(text)).alias("s")
-                       ).select("doc_id", "node", "s.bands", "s.sketch")
+    return docs.select(F.col(key).alias("doc_id"), node_of(text), signed(F.col(text)).alias("s"),
+                       F.octet_length(text).cast("long").alias("bytes")
+                       ).select("doc_id", "node", "s.bands", "s.sketch", "bytes")
 
 
 def node_of(text: str) -> Column:
@@ -200,6 +207,13 @@ def _likely(pairs: DataFrame, nodes: DataFrame, similarity: float, coordinates:
         "a", "b")
 
 
+def _texts(docs: DataFrame, text: str, needed: DataFrame) -> DataFrame:
+    """node, body for the nodes that are needed."""
+    texts = docs.select(node_of(text), F.col(text).alias("body")).join(
+        needed.distinct(), "node", "left_semi")
+    return texts.groupBy("node").agg(F.first("body").alias("body"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, text: str, similarity: float,
               words: int) -> DataFrame:
     """The pairs a, b whose whole texts are similar enough."""
@@ -207,9 +221,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, similarity: float,
     def alike(left: pa.Array, right: pa.Array) -> pa.Array:
         return weighted_similarity(left, right, words)
 
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = docs.select(node_of(text), F.col(text).alias("body")).join(needed, "node", "left_semi")
-    texts = texts.groupBy("node").agg(F.first("body").alias("body"))
+    texts = _texts(docs, text, pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
     members = pairs.join(texts.select(F.col("node").alias("b"), F.col("body").alias("right")), "b")
     whole = members.join(texts.select(F.col("node").alias("a"), F.col("body").alias("left")), "a")
     return whole.where(alike("left", "right") >= similarity).select("a", "b")
@@ -222,25 +234,22 @@ def link_nodes(signed: DataFrame, docs: DataFrame, folder: str, text: str = "tex
 
     In every band bucket that holds several nodes one is drawn as its leader and all others are
     compared with it: a bucket of m nodes costs m - 1 comparisons. Buckets whose nodes are still in
-    different components then draw about LEADERS leaders, in the next round LEADERS**2, and so on, and
-    compare them with the nodes of other components, until a round finds no link or all have led. So
-    nodes that are like each other but not like the first leader meet as well.
+    different components then draw about LEADERS leaders. What is still open after that is compared
+    whole, each bucket for itself, so every two nodes of a bucket end in one component or have been
+    compared.
     """
     spark = docs.sparkSession
     # Copies say the same: each task passes on a node once.
-    nodes = stored(signed.groupBy("node").agg(F.first(F.struct("bands", "sketch")).alias("s")).select(
-        "node", "s.bands", "s.sketch"), "nodes", folder)
-    members = nodes.select("node", F.explode("bands").alias("band"))
+    nodes = stored(signed.groupBy("node").agg(F.first(F.struct("bands", "sketch", "bytes")).alias(
+        "s")).select("node", "s.bands", "s.sketch", "s.bytes"), "nodes", folder)
+    members = nodes.select("node", "bytes", F.explode("bands").alias("band"))
     several = members.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y")).where(
         "x < y").select("band")
     members = stored(members.join(several, "band", "left_semi"), "members", folder)
     links = spark.createDataFrame([], "a long, b long")
-    tested, found, turn = None, None, 0
-    while True:
-        rows = members if found is None else members.join(
-            found.select("node", "component"), "node", "left")
-        own = F.col("node") if found is None else F.coalesce("component", "node")
-        rows = rows.select("band", "node", own.alias("component"))
+    tested = found = None
+    for turn in range(ROUNDS):
+        rows = _placed(members, found)
         drawn = F.struct(F.xxhash64("node", F.lit(0)).alias("h"), "node", "component")
         open_ = rows.groupBy("band").agg(
             F.min(drawn).alias("leader"), F.min("component").alias("x"),
@@ -258,18 +267,90 @@ def link_nodes(signed: DataFrame, docs: DataFrame, folder: str, text: str = "tex
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(_likely(pairs, nodes, similarity, coordinates), f"pairs-{turn}", folder)
-        if pairs.isEmpty():
-            break
         fresh = stored(_verified(pairs, docs, text, similarity, words), f"links-{turn}", folder)
         if fresh.isEmpty():
             break
         tested = pairs if tested is None else tested.union(pairs)
         links = links.union(fresh)
-        turn += 1
         found = stored(components(links, f"{folder}/round-{turn}"), f"components-{turn}", folder)
+    rest = stored(_rest(_placed(members, found), docs, folder, text, similarity, words), "links-rest",
+                  folder)
+    if not rest.isEmpty():
+        found = stored(components(links.union(rest), f"{folder}/round-rest"), "components-rest",
+                       folder)
     return found if found is not None else links.toDF("node", "component")
 
 
+def _placed(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """band, node, bytes, component: a node without links is its own component."""
+    if found is None:
+        return members.select("band", "node", "bytes", F.col("node").alias("component"))
+    return members.join(found.select("node", "component"), "node", "left").select(
+        "band", "node", "bytes", F.coalesce("component", "node").alias("component"))
+
+
+def _rest(rows: DataFrame, docs: DataFrame, folder: str, text: str, similarity: float,
+          words: int) -> DataFrame:
+    """Links a, b that join what is alike in the buckets that hold several components.
+
+    A bucket is cut into blocks by hash, and each two blocks meet in one task with their texts, so no
+    pair is a row: a task passes on the links that join its components. Of buckets with the same
+    nodes one is enough; two nodes alone were compared when one of them led.
+    """
+    open_ = rows.groupBy("band").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"),
+        F.sum("bytes").alias("size"), F.bit_xor(F.xxhash64("node", F.lit(2))).alias("p"),
+        F.bit_xor(F.xxhash64("node", F.lit(3))).alias("q")).where("x < y and n > 2")
+    open_ = open_.groupBy("n", "size", "p", "q").agg(F.min("band").alias("band"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("size") / BLOCK_BYTES), F.lit(1))
+    held = rows.join(open_.select("band", blocks.cast("int").alias("g")), "band").select(
+        "band", "node", "component", "g",
+        F.pmod(F.xxhash64("node", F.lit(4)), F.col("g")).cast("int").alias("block"))
+    held = stored(held, "open", folder)
+    whole = held.join(_texts(docs, text, held.select("node")), "node")
+    other = F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")
+    tiles = whole.select("band", "node", "component", "body", "block", other).select(
+        "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "node", "component", "block", "body")
+
+    def linked(tile: pa.Table) -> pa.Table:
+        return joining(tile, similarity, words)
+
+    return tiles.groupBy("band", "i", "j").applyInArrow(linked, "a long, b long")
+
+
+def joining(tile: pa.Table, similarity: float = SIMILARITY, words: int = WORDS) -> pa.Table:
+    """Links between nodes of block i and of block j that join components, from all their pairs.
+
+    Pairs of one component, also one joined here before, need no comparison, nor do pairs whose
+    sizes alone rule the similarity out.
+    """
+    i, j = tile["i"][0].as_py(), tile["j"][0].as_py()
+    node, block = tile["node"].to_numpy(), tile["block"].to_numpy()
+    label = np.unique(tile["component"].to_numpy(), return_inverse=True)[1]
+    cell, starts = cells(tile["body"].combine_chunks(), words)
+    size, cell = np.diff(starts), np.unique(cell, return_inverse=True)[1]
+    mark = np.zeros(len(cell) + 1, bool)
+    a, b, right = [], [], np.flatnonzero(block == j)
+    for x in np.flatnonzero(block == i):
+        near = np.minimum(size[right], size[x]) >= similarity * np.maximum(size[right], size[x]) - 1
+        y = right[near & (label[right] != label[x]) & ((right > x) | (i != j))]
+        if not len(y):
+            continue
+        own, n = cell[starts[x]:starts[x + 1]], size[y]
+        mark[own] = True
+        first = np.cumsum(n) - n
+        at = np.repeat(starts[y] - first, n) + np.arange(int(n.sum()))
+        common = np.add.reduceat(mark[cell[at]], first, dtype=np.int64)
+        mark[own] = False
+        for z in y[common / (size[x] + n - common) >= similarity]:
+            if label[z] != label[x]:
+                label[label == label[z]] = label[x]
+                a.append(min(node[x], node[z]))
+                b.append(max(node[x], node[z]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     similarity: float = SIMILARITY, words: int = WORDS,
                     folder: str | None = None) -> DataFrame:
