@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import numpy as np
 import pytest
@@ -155,3 +156,14 @@ def test_empty(spark):
     small = secrets.learn(empty, sample=100)
     assert secrets.find_secrets(empty, net=small).collect() == []
     assert secrets.mask_secrets(empty, net=small).collect() == []
+
+
+@pytest.mark.parametrize("mark", ["-", "_", "=", ".", "/", "a-", "-1"])
+def test_long_runs_of_marks_end(mark):
+    for text in ("a1" + mark * 100_000 + "+b", "v1" + mark * 100_000, mark * 100_000):
+        started = time.perf_counter()
+        for start, end in secrets.candidates(text, []):
+            secrets._HARMLESS.fullmatch(text, start, end)
+        assert time.perf_counter() - started < 1
+    assert secrets._HARMLESS.fullmatch("v1" + "=" * 30 + "name_2.txt")
+    assert not secrets._HARMLESS.fullmatch("a1" + "-" * 30 + "+b")

@@ -45,8 +45,10 @@ _RUN = re.compile(r"[A-Za-z0-9+/_.=-]*")
 _RUN_CHARACTERS = frozenset(
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
 # Harmless forms: numbers, dotted or dashed numbers, names of hosts and files, words with a number.
+# No part gives back what it took, so that a run is judged in one pass however long it is.
 _HARMLESS = re.compile(
-    r"[0-9]+|[0-9]+([./_-][0-9]+)+|[A-Za-z][a-z]*[0-9]{0,4}([._/=-]+[A-Za-z]?[a-z]*[0-9]{0,4})*")
+    r"[0-9]++([./_-][0-9]++)*+|"
+    r"[A-Za-z][a-z]*+[0-9]{0,4}+([._/=-]++[A-Za-z]?+[a-z]*+[0-9]{0,4}+)*+")
 
 Span = tuple[int, int, int]  # start, end, kind
 
