@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -30,3 +33,19 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_entry_without_the_optional_operators():
+    """The other queries are there when the training-data operators are not installed."""
+    code = """
+import importlib.abc, sys
+class Hidden(importlib.abc.MetaPathFinder):
+    def find_spec(self, name, path=None, target=None):
+        if name == "tidelake.llm" or name.startswith("tidelake.llm."):
+            raise ModuleNotFoundError(name)
+sys.meta_path.insert(0, Hidden())
+import __spark_entry__ as e
+from workload.registry import QUERIES
+assert set(e.queries()) == set(QUERIES) == set(e.oracle_sql())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
