@@ -14,6 +14,7 @@ from tidelake.llm import (
     interpolated_lm,
     mixing,
     packing,
+    prefix_trie,
     secrets,
     vector_dedup,
     warc,
@@ -94,7 +95,12 @@ def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
+    "op13_prefix_trie": op13_prefix_trie,
     "op1_weak_quality": op1_weak_quality,
     "op6_sign_hash_vectors": op6_sign_hash_vectors,
     "op7_secret_spans": op7_secret_spans,

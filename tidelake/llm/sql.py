@@ -165,7 +165,54 @@ SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id)::BIGINT AS class_
 FROM classes
 """
 
+# Every prefix of every rebuilt conversation, then every node under each of its prefixes. The checksum
+# is the polynomial division of CRC-32, byte by byte and bit by bit.
+TRIE = """
+WITH said AS (
+  SELECT conv_id, turn, coalesce(text, '') AS body,
+         strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '') AS key
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'k': key, 'n': length(body)} ORDER BY turn NULLS FIRST, md5(key)) AS t
+  FROM said GROUP BY conv_id),
+summed AS (
+  SELECT conv_id, t, xor(list_reduce(list_concat([4294967295::BIGINT],
+      list_transform(range(1, length(conv_id::VARCHAR) + 1),
+                     lambda i: ord(substr(conv_id::VARCHAR, i, 1))::BIGINT)),
+      lambda a, b: list_reduce(list_concat([xor(a, b)], range(0, 8)),
+                               lambda r, i: xor(r >> 1, 3988292384::BIGINT * (r & 1)))),
+    4294967295::BIGINT) % 6 AS h
+  FROM own),
+whole AS (
+  SELECT s.conv_id, list_concat(CASE WHEN s.h > 0 THEN coalesce(b.t[1:s.h], []) ELSE [] END,
+                                s.t[s.h + 1:]) AS t
+  FROM summed s LEFT JOIN own b ON b.conv_id = s.conv_id - s.conv_id % 100),
+listed AS (
+  SELECT conv_id, list_transform(t, lambda x: x.k) AS ks, list_transform(t, lambda x: x.n) AS ns
+  FROM whole),
+prefixes AS (
+  SELECT conv_id, ks[1:d] AS p, d, d = len(ks) AS ends,
+         CASE WHEN d > 0 THEN ns[d] ELSE 0 END AS own_tokens
+  FROM (SELECT *, unnest(range(0, len(ks) + 1)) AS d FROM listed)),
+nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n, max(own_tokens) AS own_tokens,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends
+  FROM prefixes GROUP BY p, d),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+above AS (
+  SELECT v.p[1:j] AS p, sum((v.n - 1) * v.own_tokens) AS saved,
+         count(*) FILTER (WHERE k.n IS NULL) AS leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM nodes) v LEFT JOIN kids k ON k.p = v.p
+  GROUP BY 1)
+SELECT v.conv_id, v.d::BIGINT AS depth, u.conv_id AS parent_conv_id, v.n::BIGINT AS n_convs,
+       coalesce(k.n, 0)::BIGINT AS n_children, a.leaves::BIGINT AS n_leaves,
+       a.saved::BIGINT AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM nodes v LEFT JOIN nodes u ON v.d > 0 AND u.p = v.p[1:v.d - 1]
+  LEFT JOIN kids k ON k.p = v.p JOIN above a ON a.p = v.p
+"""
+
 SQL: dict[str, str] = {
+    "op13_prefix_trie": TRIE,
     "op2_mix_sources": MIX,
     "op6_sign_hash_vectors": VECTORS,
     "op8_warc_segments": WARC,
