@@ -16,9 +16,11 @@ from tidelake.llm import (
     packing,
     prefix_trie,
     secrets,
+    token_alignment,
     vector_dedup,
     warc,
     weak_quality,
+    weighted_sampling,
 )
 from tidelake.llm.sql import SQL  # noqa: F401  registered with the queries
 
@@ -95,11 +97,22 @@ def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"),
+                                 vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op12_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
 QUERIES: dict[str, Query] = {
+    "op11_token_alignment": op11_token_alignment,
+    "op12_weighted_fingerprints": op12_weighted_fingerprints,
     "op13_prefix_trie": op13_prefix_trie,
     "op1_weak_quality": op1_weak_quality,
     "op6_sign_hash_vectors": op6_sign_hash_vectors,
