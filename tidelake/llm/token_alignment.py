@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +33,9 @@ from tidelake.sizing import BROADCAST_BYTES
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _UNEVEN = rf"^{_SPACE}|{_SPACE}{{2}}|{_SPACE}\z"
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-KEPT_PIECES = 400_000
+KEPT_PIECES = 300_000
 KEPT_LENGTH = 32
-TEXT_BYTES = 8 << 20  # of texts that are worked on at a time
+TEXT_BYTES = 1 << 20  # of texts that are worked on at a time
 PAIRS_KEPT = 1 << 20  # counted in a task before they are passed on
 WIDE = 1 << 12  # links of a group from which equal ids are counted before they are paired
 
@@ -100,11 +101,35 @@ class Pieces:
         self._long_b = np.array([len(b) for b in self._bytes_b], np.int64)
         self._known: dict[str, int] = {}
         # Per piece: tokens of a and b, groups, links; -1 tokens if the bytes differ.
-        self.figures = np.zeros((0, 4), np.int64)
+        self._figures = array("q")
         self.groups: list[str] = []
-        self.starts = np.zeros(1, np.int64)  # of a piece's pairs
-        self.pairs = np.zeros(0, np.int64)
-        self.times = np.zeros(0, np.int64)
+        self._starts = array("q", [0])  # of a piece's pairs
+        self._pairs = array("q")
+        self._times = array("q")
+
+    # Views; none may be held when pieces are added.
+    @property
+    def figures(self) -> np.ndarray:
+        return np.frombuffer(self._figures, np.int64).reshape(-1, 4)
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.frombuffer(self._starts, np.int64)
+
+    @property
+    def pairs(self) -> np.ndarray:
+        return np.frombuffer(self._pairs, np.int64)
+
+    @property
+    def times(self) -> np.ndarray:
+        return np.frombuffer(self._times, np.int64)
+
+    def _append(self, figures: np.ndarray, counts: np.ndarray, pairs: np.ndarray,
+                times: np.ndarray) -> None:
+        ends = self._starts[-1] + np.cumsum(counts)
+        for held, new in ((self._figures, figures), (self._starts, ends), (self._pairs, pairs),
+                          (self._times, times)):
+            held.frombytes(np.ascontiguousarray(new, np.int64).tobytes())
 
     def rows(self, texts: list[str]) -> np.ndarray:
         """Numbers of distinct pieces; those that `forget` drops hold until then."""
@@ -127,14 +152,14 @@ class Pieces:
         """Keep of the newest pieces only those that are worth it."""
         first, kept = self._new
         index = np.array(kept, np.int64) + first
-        spans = self.starts[index + 1] - self.starts[index]
-        take = np.repeat(self.starts[index], spans) + _spread(spans)
-        end = self.starts[first]
-        self.figures = np.concatenate([self.figures[:first], self.figures[index]])
+        begin = self.starts[index]
+        spans = self.starts[index + 1] - begin
+        take = np.repeat(begin, spans) + _spread(spans)
+        figures, pairs, times = self.figures[index], self.pairs[take], self.times[take]
         self.groups[first:] = [self.groups[n] for n in index.tolist()]
-        self.pairs = np.concatenate([self.pairs[:end], self.pairs[take]])
-        self.times = np.concatenate([self.times[:end], self.times[take]])
-        self.starts = np.concatenate([self.starts[:first + 1], end + np.cumsum(spans)])
+        end = self._starts[first]
+        del self._figures[4 * first:], self._starts[first + 1:], self._pairs[end:], self._times[end:]
+        self._append(figures, spans, pairs, times)
         self._known.update((name, first + n) for n, name in enumerate(self._names))
         self._new, self._names = (len(self.groups), []), []
 
@@ -174,11 +199,8 @@ class Pieces:
         owner, pair, times = self._linked(a, b, cut_a, cut_b, many_a, many_b, piece)
         counts = np.zeros(len(texts), np.int64)
         counts[right] = np.bincount(owner, minlength=len(right))
-        self.figures = np.concatenate([self.figures, figures])
         self.groups += named
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
-        self.pairs = np.concatenate([self.pairs, pair])
-        self.times = np.concatenate([self.times, times])
+        self._append(figures, counts, pair, times)
 
     def _linked(self, a, b, cut_a, cut_b, many_a, many_b, piece) -> tuple[np.ndarray, ...]:
         """Piece, pair and number of links for every distinct pair of a piece, in that order."""
@@ -298,7 +320,7 @@ def _written(path_a: str, path_b: str):
                 # Differences compress well; times are small.
                 named["pairs"] = pa.array(
                     [np.diff(f[5], prepend=0).tobytes() for f in found], pa.binary())
-                named["times"] = pa.array([f[6].tobytes() for f in found], pa.binary())
+                named["times"] = pa.array([f[6].astype(np.uint32).tobytes() for f in found], pa.binary())
                 at += len(part)
                 yield pa.RecordBatch.from_pydict(named)
     return write
@@ -355,7 +377,7 @@ def _by_lookup(found: DataFrame, counts: DataFrame) -> DataFrame:
             out = []
             for cell, often in zip(batch.column("pairs"), batch.column("times"), strict=True):
                 at = np.searchsorted(pairs, _pairs_of(cell))
-                times = np.frombuffer(often.as_py(), np.int64)
+                times = np.frombuffer(often.as_py(), np.uint32).astype(np.int64)
                 out.append((int(times[best[at]].sum()), int((times * n[at]).sum())))
             kept = batch.drop_columns(["pairs", "times"])
             yield pa.RecordBatch.from_arrays(
@@ -377,7 +399,7 @@ def _by_join(found: DataFrame, counts: DataFrame) -> DataFrame:
                 pairs = _pairs_of(cell)
                 yield pa.RecordBatch.from_pydict({
                     "row": pa.array(np.full(len(pairs), row.as_py())), "pair": pa.array(pairs),
-                    "times": pa.array(np.frombuffer(often.as_py(), np.int64))})
+                    "times": pa.array(np.frombuffer(often.as_py(), np.uint32).astype(np.int64))})
 
     links = found.select("row", "pairs", "times").mapInArrow(
         listed, "row long, pair long, times long")
