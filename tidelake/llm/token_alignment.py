@@ -170,10 +170,10 @@ class Pieces:
         figures = np.full((len(texts), 4), -1, np.int64)
         named = [""] * len(texts)
         right = []
+        said_a, said_b = self._bytes_a.__getitem__, self._bytes_b.__getitem__
         for n, text in enumerate(texts):
             said = b" " + text.encode()
-            if b"".join(map(self._bytes_a.__getitem__, in_a[n])) == said \
-                    and b"".join(map(self._bytes_b.__getitem__, in_b[n])) == said:
+            if b"".join(map(said_a, in_a[n])) == said == b"".join(map(said_b, in_b[n])):
                 right.append(n)
         a = np.fromiter((i for n in right for i in in_a[n]), np.int64)
         b = np.fromiter((i for n in right for i in in_b[n]), np.int64)
@@ -223,12 +223,21 @@ class Pieces:
 
 def _summed(owner: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
     """Equal owner and pair once, sorted, with the sum of times."""
-    order = np.lexsort((pair, owner))
-    owner, pair, times = owner[order], pair[order], times[order]
     if not len(owner):
         return owner, pair, times
-    new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])])
-    return owner[new], pair[new], np.add.reduceat(times, np.flatnonzero(new))
+    width = int(pair.max()) + 1
+    if int(owner.max()) < (1 << 62) // width:  # both in one number
+        both = owner.astype(np.int64) * width + pair
+        order = np.argsort(both)
+        both, times = both[order], times[order]
+        new = np.concatenate([[True], both[1:] != both[:-1]])
+        owner, pair = np.divmod(both[new], width)
+    else:
+        order = np.lexsort((pair, owner))
+        owner, pair, times = owner[order], pair[order], times[order]
+        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])])
+        owner, pair = owner[new], pair[new]
+    return owner, pair, np.add.reduceat(times, np.flatnonzero(new))
 
 
 def _byte_letters() -> list[str]:
@@ -285,11 +294,12 @@ def aligned(texts: pa.Array, known: Pieces) -> Iterator[tuple]:
     owner, pair, times = _summed(np.repeat(text, spans), known.pairs[take],
                                  known.times[take] * np.repeat(many, spans))
     bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+    shown_as, listed = known.groups.__getitem__, rows.tolist()
     for n in range(len(texts)):
         if wrong[n]:
             yield 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
             continue
-        shown = ";".join([known.groups[r] for r in rows[starts[n]:starts[n + 1]].tolist()])
+        shown = ";".join(map(shown_as, listed[starts[n]:starts[n + 1]]))
         yield (*sums[n].tolist(), hashlib.sha256(shown.encode()).hexdigest(),
                pair[bounds[n]:bounds[n + 1]], times[bounds[n]:bounds[n + 1]])
     known.forget()
