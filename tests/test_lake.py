@@ -17,7 +17,7 @@ from tidelake.operators.schema_guard import (
 from tidelake.operators.validation import validate_events
 from tidelake.schemas import DAILY_METRICS, DELIVERY, VALIDATED_TOPIC
 from tidelake.sources import messages as io
-from tidelake.sources.history_table import append_changes, compact_history, read_history
+from tidelake.sources.history_table import merge_history, read_history
 from tidelake.sources.layers import (
     LakePaths,
     current_version,
@@ -196,10 +196,10 @@ def test_schema_guard(spark):
 def test_a_writer_refuses_what_does_not_fit(spark, tmp_path):
     root = str(tmp_path / "silver")
     good = table(spark, row("s", 3, "1.00"))
-    append_changes(good, root)
-    verify_schema_enforcement(good, lambda rows: append_changes(rows, root))
+    merge_history(good, root)
+    verify_schema_enforcement(good, lambda rows: merge_history(rows, root))
     with pytest.raises(Exception, match="null in required column currency"):
-        append_changes(good.withColumn("currency", F.lit(None).cast("string")), root)
+        merge_history(good.withColumn("currency", F.lit(None).cast("string")), root)
     assert [r.event_id for r in read_history(spark, root).collect()] == ["s"]
     with pytest.raises(SchemaError, match="the writer took"):
         verify_schema_enforcement(good, lambda rows: None)
@@ -225,15 +225,12 @@ def test_layer_tables(spark, tmp_path):
 
 
 def test_old_versions_expire_only_when_asked(spark, tmp_path):
-    root = str(tmp_path / "silver")
+    root = str(tmp_path / "table")
     for n in range(4):
-        append_changes(table(spark, row(f"e{n}", 1 + n, "1.00")), root)
-        compact_history(spark, root)
+        write_snapshot(table(spark, row(f"e{n}", 1 + n, "1.00")), root, DELIVERY)
     assert current_version(spark, root) == 3
-    assert expire_versions(spark, root, retain=2) == [
-        "changes-0000000000", "changes-0000000001", "changes-first",
-        "version-0000000000", "version-0000000001"]
-    assert {r.event_id for r in read_history(spark, root).collect()} == {"e0", "e1", "e2", "e3"}
+    assert expire_versions(spark, root, retain=2) == ["version-0000000000", "version-0000000001"]
+    assert [r.event_id for r in read_layer(spark, root).collect()] == ["e3"]
     with pytest.raises(ValueError):
         expire_versions(spark, root, retain=0)
 

@@ -3,21 +3,25 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tests import samples
-from tests.test_lake import same
+from tests.test_lake import random_rows, row, same, table
 from tidelake.operators.deliveries import bronze_ingest
-from tidelake.operators.history import silver_history
+from tidelake.operators.history import silver_current, silver_history
+from tidelake.operators.metrics import gold_daily_metrics, lost_between_stages
 from tidelake.operators.validation import validate_events
 from tidelake.plans import refresh
 from tidelake.schemas import DELIVERY, QUARANTINE_TOPIC, VALIDATED_TOPIC
 from tidelake.sources import messages as io
-from tidelake.sources.history_table import compact_history, read_history
+from tidelake.sources.derived_tables import read_current, read_gold
+from tidelake.sources.history_table import merge_history, read_changes, read_history
 from tidelake.sources.layers import LakePaths
+from tidelake.streaming import silver
 from tidelake.streaming.bronze import bronze_stream
 from tidelake.streaming.silver import silver_stream
-from tidelake.streaming.validate import validate_stream
+from tidelake.streaming.validate import observed_rows, validate_stream
 
 
 def stage(frame, path):
@@ -26,26 +30,33 @@ def stage(frame, path):
                  "timestamp").repartition(4).write.mode("append").parquet(path)
 
 
-def run_streams(spark, lake, compact_every):
+def stream_history(spark, lake, checkpoint=None):
+    rows = spark.readStream.schema(DELIVERY).option("maxFilesPerTrigger", 2).parquet(lake.bronze)
+    silver_stream(rows, lake.silver, lake.silver_changes, checkpoint or f"{lake.checkpoints}/silver",
+                  buckets=8).awaitTermination()
+
+
+def run_streams(spark, lake):
     raw = io.read_event_stream(spark, "parquet", lake.raw, maxFilesPerTrigger="1")
-    validate_stream(raw, f"{lake.checkpoints}/validate", "parquet", lake.topics,
-                    rejected_at=F.col("timestamp")).awaitTermination()
+    routing = validate_stream(raw, f"{lake.checkpoints}/validate", "parquet", lake.topics,
+                              rejected_at=F.col("timestamp"))
+    routing.awaitTermination()
     valid = io.read_event_stream(spark, "parquet", lake.topics, maxFilesPerTrigger="2").where(
         F.col("topic") == VALIDATED_TOPIC)
     bronze_stream(valid, lake.bronze, f"{lake.checkpoints}/bronze",
                   F.col("timestamp")).awaitTermination()
-    rows = spark.readStream.schema(DELIVERY).option("maxFilesPerTrigger", 2).parquet(lake.bronze)
-    silver_stream(rows, lake.silver, f"{lake.checkpoints}/silver", compact_every).awaitTermination()
+    stream_history(spark, lake)
+    return observed_rows(routing)
 
 
-@pytest.mark.parametrize("compact_every", [2, 100])
-def test_streams_equal_batch(spark, tmp_path, compact_every):
+def test_streams_equal_batch(spark, tmp_path):
     lake = LakePaths(str(tmp_path))
     everything = samples.messages(spark)
     stage(everything.where("batch in ('valid', 'invalid')"), lake.raw)
-    run_streams(spark, lake, compact_every)
+    assert run_streams(spark, lake) == {"raw": 12, "validated": 8, "quarantine": 4}
     stage(everything.where("batch in ('duplicates', 'late')"), lake.raw)
-    run_streams(spark, lake, compact_every)  # goes on where the first run stopped
+    # The streams go on where the first run stopped.
+    assert run_streams(spark, lake) == {"raw": 6, "validated": 6, "quarantine": 0}
 
     checked = validate_events(everything)
     topics = spark.read.parquet(lake.topics)
@@ -56,13 +67,58 @@ def test_streams_equal_batch(spark, tmp_path, compact_every):
     bronze = bronze_ingest(io.validated_sink(checked), F.col("timestamp"))
     same(spark.read.parquet(lake.bronze), bronze)
     same(read_history(spark, lake.silver), silver_history(bronze))
+    changed = read_changes(spark, lake.silver_changes).count()
+    assert changed == 14  # eleven events, three of them delivered again
 
     # The same deliveries under a new checkpoint are merged again and change nothing.
-    again = spark.readStream.schema(DELIVERY).parquet(lake.bronze)
-    silver_stream(again, lake.silver, str(tmp_path / "other")).awaitTermination()
-    same(read_history(spark, lake.silver), silver_history(bronze))
-    compact_history(spark, lake.silver)
+    stream_history(spark, lake, str(tmp_path / "other"))
     same(read_history(spark, lake.silver), silver_history(bronze))
+    assert read_changes(spark, lake.silver_changes).count() == changed
+
+
+def test_keyed_state_passes_on_what_changes(spark, tmp_path):
+    """Older copies and replays that come in later batches don't reach history."""
+    lake = LakePaths(str(tmp_path))
+    newer = table(spark, row("x", 7, "2.00", minute=30, offset=5), row("y", 8, "1.00", minute=2))
+    older = table(spark, row("x", 7, "9.00", minute=3, offset=1), row("y", 8, "1.00", minute=2),
+                  row("z", 9, "3.00", minute=4))
+    for rows in (newer, older, newer):
+        rows.write.mode("append").parquet(lake.bronze)
+        stream_history(spark, lake)  # each run starts from the checkpoint of the one before
+    changes = read_changes(spark, lake.silver_changes)
+    assert sorted(r.event_id for r in changes.collect()) == ["x", "y", "z"]
+    assert changes.where("before IS NOT NULL").count() == 0
+    same(read_history(spark, lake.silver), silver_history(newer.unionByName(older)))
+
+
+def test_a_batch_that_fails_half_way_is_repeated(spark, tmp_path, monkeypatch):
+    """The stream fails once its changes are published and before history has them."""
+    lake = LakePaths(str(tmp_path))
+    rows = [table(spark, row("x", 7, "2.00", offset=1), row("y", 8, "1.00")),
+            table(spark, row("x", 9, "5.00", minute=5, offset=2))]
+    rows[0].write.parquet(lake.bronze)
+    stream_history(spark, lake)
+    rows[1].write.mode("append").parquet(lake.bronze)
+    from tidelake.sources import partitioned
+    put = partitioned.replace_partitions
+
+    def fail(frame, root, partition):
+        put(frame.limit(0) if partition == "bucket" else frame, root, partition)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(partitioned, "replace_partitions", fail)
+    with pytest.raises(StreamingQueryException):
+        stream_history(spark, lake)
+    monkeypatch.setattr(partitioned, "replace_partitions", put)
+    stream_history(spark, lake)
+    same(read_history(spark, lake.silver), silver_history(rows[0].unionByName(rows[1])))
+    changes = read_changes(spark, lake.silver_changes).where("before IS NOT NULL").collect()
+    assert [(r.event_id, str(r.before.amount), str(r.after.amount)) for r in changes] == [
+        ("x", "2.00", "5.00")]
+
+
+def test_age_of_a_delivery():
+    assert silver._AGE.count("long") == 4 and "kafka_offset long" in silver._AGE
 
 
 def test_sinks(spark):
@@ -90,9 +146,93 @@ def test_refresh_and_reconcile(spark, tmp_path):
             step(spark, lake, F.col("timestamp"))
         else:
             refresh.remerge_silver(spark, lake)
-        counts = {r.stage: r["rows"] for r in refresh.reconcile(spark, lake).collect()}
+            refresh.follow_changes(spark, lake)
+            refresh.rebuild(spark, lake)
+        report = refresh.reconcile(spark, lake)
+        counts = {r.stage: r["rows"] for r in report.collect()}
         assert counts == {"raw": 18, "validated": 14, "quarantine": 4, "bronze": 14,
                           "history": 11, "current": 7, "gold_event_count": 11}
+        same(report, refresh.recount(spark, lake))  # reading every stage gives the same
+        assert lost_between_stages(report).collect() == []
+
+
+def test_a_lost_message_shows(spark, tmp_path, monkeypatch):
+    """One message vanishes between raw and the topics, one delivery between topics and Bronze."""
+    lake, route = LakePaths(str(tmp_path)), refresh.route_messages
+    monkeypatch.setattr(refresh, "route_messages",
+                        lambda *a: route(*a).where("NOT (offset <=> 3)"))
+    refresh.validate_batch(samples.messages(spark), lake)
+    monkeypatch.setattr(refresh, "route_messages", route)
+    report = refresh.reconcile(spark, lake)
+    assert [tuple(r) for r in lost_between_stages(report).collect() if r.stage == "raw"] == [
+        ("raw", 18, 17, 1)]
+    assert refresh.published(spark, lake).count() == 17
+    monkeypatch.setattr(refresh, "published_stream", lambda spark, lake: io.read_event_stream(
+        spark, "parquet", lake.batch_topics).where("offset <> 1"))
+    refresh.load_bronze(spark, lake, F.col("timestamp"))
+    lost = lost_between_stages(refresh.reconcile(spark, lake)).collect()
+    assert [tuple(r) for r in lost] == [("raw", 18, 17, 1), ("validated", 13, 12, 1)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_followers_equal_a_rebuild(spark, tmp_path, seed):
+    """Random deliveries move events between customers, types, days and currencies, and back."""
+    lake, everything = LakePaths(str(tmp_path)), None
+    for part in range(3):
+        rows = [(*r[:1], ("order_placed", "visit_booked")[r[10] % 2], *r[2:5],
+                 ("CHF", "JPY")[r[10] % 3 % 2], *r[6:])
+                for r in random_rows(10 * seed + part, n=60, keys=25)]
+        arrived = table(spark, *rows)
+        everything = arrived if everything is None else everything.unionByName(arrived)
+        merge_history(arrived, lake.silver, lake.silver_changes, f"part-{part}", buckets=4)
+        if part != 1:  # two steps are followed at once
+            refresh.follow_changes(spark, lake)
+    kept = silver_history(everything)
+    same(read_history(spark, lake.silver), kept)
+    same(read_gold(spark, lake.gold), gold_daily_metrics(kept))
+    same(read_current(spark, lake.silver_current), silver_current(kept))
+
+
+def test_late_correction_moves_an_event_to_another_day(spark, tmp_path):
+    """The day it leaves has no other event; its group and its day go empty."""
+    lake = LakePaths(str(tmp_path))
+    first = table(spark, row("a", 7, "1.00", offset=1), row("b", 9, "4.00", customer="acct-q"))
+    moved = table(spark, row("a", 9, "2.00", customer="acct-q", minute=5, offset=2))
+    for arrived in (first, moved):
+        merge_history(arrived, lake.silver, lake.silver_changes)
+        refresh.follow_changes(spark, lake)
+    got = read_gold(spark, lake.gold).collect()
+    assert [(r.customer_id, r.event_day.day, r.event_count, str(r.total_amount)) for r in got] == [
+        ("acct-q", 9, 2, "6.00")]
+    kept = silver_history(first.unionByName(moved))
+    same(read_current(spark, lake.silver_current), silver_current(kept))
+
+
+def files_of(root):
+    return {p.relative_to(root).as_posix(): p.stat().st_mtime_ns
+            for p in root.rglob("*.parquet")}
+
+
+def test_a_change_rewrites_its_bucket_only(spark, tmp_path):
+    lake = LakePaths(str(tmp_path))
+    rows = [row(f"event-{n}", 1 + n % 28, "1.00", offset=n) for n in range(400)]
+    merge_history(table(spark, *rows), lake.silver, buckets=16)
+    before = files_of(tmp_path / "silver")
+    by_bucket: dict = {}
+    for r in spark.read.parquet(lake.silver).select("event_id", "bucket").collect():
+        by_bucket.setdefault(r.bucket, []).append(r.event_id)
+    bucket = sorted(by_bucket)[3]
+    changed = by_bucket[bucket][:4]  # one percent of the keys
+    merge_history(table(spark, *[row(k, 3, "7.00", minute=9, offset=900) for k in changed]),
+                  lake.silver, buckets=16)
+    after = files_of(tmp_path / "silver")
+    kept = {k: v for k, v in before.items() if not k.startswith(f"bucket={bucket}/")}
+    assert {k: v for k, v in after.items() if not k.startswith(f"bucket={bucket}/")} == kept
+    assert not set(after) & set(before) - set(kept)
+    assert len([k for k in after if k.startswith(f"bucket={bucket}/")]) == 1
+    assert spark.read.parquet(lake.silver).where("amount = 7").count() == 4
+    with pytest.raises(ValueError, match="not buckets of 32"):
+        merge_history(table(spark, *rows[:1]), lake.silver, buckets=32)
 
 
 def test_batch_and_stream_both_reach_the_topics(spark, tmp_path):

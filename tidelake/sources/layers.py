@@ -53,6 +53,16 @@ class LakePaths:
     def silver(self) -> str:
         return self._at("silver")
 
+    @property
+    def silver_changes(self) -> str:
+        """Which events changed in history, one directory per step."""
+        return self._at("silver_changes")
+
+    @property
+    def ledger(self) -> str:
+        """Rows that each stage counted while it wrote them, one directory per step."""
+        return self._at("ledger")
+
     @property
     def silver_current(self) -> str:
         return self._at("silver_current")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelake.operators.deliveries import bronze_ingest
 from tidelake.operators.schema_guard import assert_schema
 from tidelake.schemas import DELIVERY
-from tidelake.streaming.validate import drained
+from tidelake.streaming.validate import EVERY_BATCH, drained, settings
 
 
 def bronze_stream(
@@ -19,9 +20,12 @@ def bronze_stream(
     table_format: str = "parquet",
     once: bool = True,
 ) -> StreamingQuery:
-    """Start the append; every delivery is kept, replays included."""
+    """Start the append; every delivery is kept, replays included, and counted as `bronze`."""
+    rows = assert_schema(bronze_ingest(messages, ingested_at), DELIVERY).observe(
+        "appended", F.count(F.lit(1)).alias("bronze"))
     writer = (
-        assert_schema(bronze_ingest(messages, ingested_at), DELIVERY).writeStream.format(table_format)
+        rows.writeStream.format(table_format)
         .outputMode("append").option("checkpointLocation", checkpoint)
     )
-    return drained(writer, once).start(path)
+    with settings(messages.sparkSession, EVERY_BATCH):
+        return drained(writer, once).start(path)

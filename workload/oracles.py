@@ -333,6 +333,7 @@ SQL: dict[str, str] = {
         "WHERE batch = 'duplicates' EXCEPT SELECT event_id FROM deliveries WHERE batch = 'valid'",
     "merge_upsert": f"WITH {MERGED} SELECT {DELIVERY_COLUMNS} FROM merged",
     "merge_upsert_small_source": f"WITH {MERGED} SELECT {DELIVERY_COLUMNS} FROM merged",
+    "merge_upsert_buckets": f"WITH {MERGED} SELECT {DELIVERY_COLUMNS} FROM merged",
 
     "validate_events": f"WITH {JUDGED} SELECT \"offset\", broken = 0 AS valid, "
         "coalesce(rules, '') AS rules FROM judged",
@@ -449,3 +450,7 @@ SQL: dict[str, str] = {
 }
 SQL["dense_knn_grid"] = SQL["dense_knn"]
 SQL["bm25_search_grid"] = SQL["bm25_search"]
+
+# What is kept up to date by changes equals what the whole history gives.
+SQL["gold_incremental"] = SQL["gold_daily_metrics"]
+SQL["silver_current_incremental"] = SQL["silver_current"]

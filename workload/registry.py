@@ -29,7 +29,8 @@ from tidelake.schemas import CHUNK, DELIVERY, VALIDATED_TOPIC
 from tidelake.session import shared_folder
 from tidelake.sizing import fits_broadcast
 from tidelake.sources import messages as message_io
-from tidelake.sources.history_table import read_history
+from tidelake.sources.derived_tables import read_current, read_gold
+from tidelake.sources.history_table import merge_history, read_history
 from tidelake.sources.layers import LakePaths
 from tidelake.sources.vector_table import compact_index, read_index
 from tidelake.sources.vector_table import vector_table_sink as write_vectors
@@ -259,17 +260,53 @@ def bronze_stream(i: Inputs) -> DataFrame:
     return shown(i.spark.read.parquet(lake.bronze))
 
 
+def _streamed_history(i: Inputs) -> LakePaths:
+    """Bronze in two parts, history after each: late and corrected events come in the second."""
+    lake = scratch(i.spark)
+    rows = i.deliveries()
+    for part in ("batch = 'valid'", "batch <> 'valid'"):
+        rows.where(part).select(*DELIVERY.names).write.mode("append").parquet(lake.bronze)
+        refresh.merge_silver(i.spark, lake)
+        refresh.follow_changes(i.spark, lake)
+    return lake
+
+
 @query
 def silver_stream(i: Inputs) -> DataFrame:
+    """Bronze through keyed state into history; the same deliveries again change nothing."""
     lake = scratch(i.spark)
     as_deliveries(i).write.parquet(lake.bronze)
     stream = i.spark.readStream.schema(DELIVERY).option("maxFilesPerTrigger", "4").parquet(
         lake.bronze)
-    start_silver(stream, lake.silver, f"{lake.checkpoints}/silver",
-                 compact_every=3).awaitTermination()
+    start_silver(stream, lake.silver, lake.silver_changes,
+                 f"{lake.checkpoints}/silver").awaitTermination()
     return shown(read_history(i.spark, lake.silver))
 
 
+@query
+def merge_upsert_buckets(i: Inputs) -> DataFrame:
+    """The merge into a stored history, bucket by bucket."""
+    lake = scratch(i.spark)
+    for side in _merge_sides(i):
+        merge_history(side, lake.silver)
+    return shown(read_history(i.spark, lake.silver))
+
+
+@query
+def gold_incremental(i: Inputs) -> DataFrame:
+    """Daily metrics as they stand after two rounds of changes."""
+    return read_gold(i.spark, _streamed_history(i).gold).select(
+        "customer_id", "event_day", "currency", "event_count",
+        F.col("total_amount").cast("double").alias("total_amount"),
+        F.col("average_amount").cast("double").alias("average_amount"))
+
+
+@query
+def silver_current_incremental(i: Inputs) -> DataFrame:
+    """The current state as it stands after two rounds of changes."""
+    return shown(read_current(i.spark, _streamed_history(i).silver_current))
+
+
 # Quality
 
 
