@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidelake.llm.common import SPACES, mixed, stored, unit
+from tidelake.llm.common import SPACES, mixed, sieve, stored, unit
 from tidelake.llm.components import components
 from tidelake.session import shared_folder
 
@@ -208,9 +208,13 @@ def _likely(pairs: DataFrame, nodes: DataFrame, similarity: float, coordinates:
 
 
 def _texts(docs: DataFrame, text: str, needed: DataFrame) -> DataFrame:
-    """node, body for the nodes that are needed."""
-    texts = docs.select(node_of(text), F.col(text).alias("body")).join(
-        needed.distinct(), "node", "left_semi")
+    """node, body for the nodes that are needed.
+
+    They are few and lie anywhere, so a sieve of their hashes keeps the other texts where they are.
+    """
+    needed = needed.distinct()
+    texts = docs.select(node_of(text), F.col(text).alias("body"))
+    texts = texts.where(sieve(needed)(F.col("node"))).join(needed, "node", "left_semi")
     return texts.groupBy("node").agg(F.first("body").alias("body"))
 
 
