@@ -11,21 +11,3 @@ from pyspark.sql import functions as F
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use the result several times in ``body``."""
     return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def run_lengths(values: Column) -> Column:
-    """Distinct array elements in order with their number of occurrences.
-
-    Sorting makes equal elements adjacent, so a count is the gap between two run starts:
-    no explode, no shuffle and no quadratic comparison.
-    """
-
-    def runs(ordered: Column) -> Column:
-        starts = F.array_compact(F.transform(
-            ordered, lambda x, i: F.when(~x.eqNullSafe(F.get(ordered, i - 1)), i)))
-        return let(starts, lambda at: F.transform(at, lambda p, j: F.struct(
-            F.get(ordered, p).alias("value"),
-            (F.coalesce(F.get(at, j + 1), F.size(ordered)) - p).alias("length"),
-        )))
-
-    return let(F.sort_array(values), runs)

@@ -21,6 +21,7 @@ from tidelake.operators import (
     term_index,
     validation,
 )
+from tidelake.operators.posting_search import posting_search
 from tidelake.plans import refresh
 from tidelake.plans.indexing import update_index
 from tidelake.plans.retrieval import hybrid_retrieve as retrieve
@@ -32,6 +33,7 @@ from tidelake.sources import messages as message_io
 from tidelake.sources.derived_tables import read_current, read_gold
 from tidelake.sources.history_table import merge_history, read_history
 from tidelake.sources.layers import LakePaths
+from tidelake.sources.postings_table import read_postings, write_postings
 from tidelake.sources.vector_table import compact_index, read_index
 from tidelake.sources.vector_table import vector_table_sink as write_vectors
 from tidelake.streaming.bronze import bronze_stream as start_bronze
@@ -536,6 +538,16 @@ def bm25_search_grid(i: Inputs) -> DataFrame:
         r.index, r.questions, query_rows=15, corpus_rows=1000).drop("rank"))
 
 
+@query
+def bm25_search_blocks(i: Inputs) -> DataFrame:
+    """The same over stored postings, of which the blocks that can matter are read."""
+    lake = scratch(i.spark)
+    term_index.bm25_index(_chunks(i)).write.parquet(lake.chunks)
+    postings = f"{lake.chunks}_postings"
+    write_postings(i.spark.read.parquet(lake.chunks), postings)
+    return rounded(posting_search(read_postings(i.spark, postings), i.questions()).drop("rank"))
+
+
 @query
 def topk_lexical(i: Inputs) -> DataFrame:
     return Retrieval(i).lexical().drop("lexical_score")
