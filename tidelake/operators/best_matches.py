@@ -70,7 +70,7 @@ class Best:
         self.ids = known.take(pa.array(keep))
 
 
-def _scan(
+def scan(
     tables: Iterator[pa.Table], query_ids: pa.ChunkedArray, prepared: Prepared, score: Score,
     corpus_id: str, k: int, floor: float, schema: pa.Schema,
 ) -> pa.Table:
@@ -113,7 +113,7 @@ def top_matches(
         T.StructField(score_name, T.DoubleType()),
     ])
     arrow = pa.schema([
-        (query_id, _arrow_type(queries, query_id)), (corpus_id, _arrow_type(corpus, corpus_id)),
+        (query_id, arrow_type(queries, query_id)), (corpus_id, arrow_type(corpus, corpus_id)),
         (score_name, pa.float64())])
     rows, size = measure(queries if sized_by is None else sized_by)
     held = queries.toArrow() if rows <= query_rows and size <= QUERY_BYTES else None
@@ -121,19 +121,19 @@ def top_matches(
         # The table as it is goes out; each task makes its blocks.
         shared = corpus.sparkSession.sparkContext.broadcast(held)
 
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def scan_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tables = (pa.Table.from_batches([b]) for b in batches)
             mine = shared.value
-            yield from _scan(tables, mine.column(query_id), prepare(mine), score, corpus_id, k,
+            yield from scan(tables, mine.column(query_id), prepare(mine), score, corpus_id, k,
                              floor, arrow).to_batches()
 
-        found = corpus.mapInArrow(scan, schema)
+        found = corpus.mapInArrow(scan_all, schema)
     else:
         size = max(size, held.nbytes if held is not None else 0)
         def cell(left: pa.Table, right: pa.Table) -> pa.Table:
             if not left.num_rows or not right.num_rows:
                 return arrow.empty_table()
-            return _scan(iter([left]), right.column(query_id), prepare(right), score, corpus_id,
+            return scan(iter([left]), right.column(query_id), prepare(right), score, corpus_id,
                          k, floor, arrow)
 
         across = 1 + corpus.count() // corpus_rows
@@ -145,7 +145,7 @@ def top_matches(
     return rank_matches(found, score_name, k, query_id, corpus_id)
 
 
-def _arrow_type(frame: DataFrame, column: str) -> pa.DataType:
+def arrow_type(frame: DataFrame, column: str) -> pa.DataType:
     return pa.int64() if isinstance(frame.schema[column].dataType, T.LongType) else pa.string()
 
 

@@ -8,12 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidelake.operators.best_matches import QUERY_ROWS, Prepared, row_slices, top_matches
+from tidelake.operators.best_matches import QUERY_ROWS, Prepared, Score, row_slices, top_matches
 
 CANDIDATES = 20
 
 
-def _matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
+def matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Array column to a matrix; every vector must have the same length, and none may be null."""
     whole = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
     if whole.null_count or whole.flatten().null_count:
@@ -22,6 +22,24 @@ def _matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return values.reshape(len(whole), -1) if len(whole) else np.empty((0, 0))
 
 
+def dot_blocks(vectors: pa.ChunkedArray) -> Prepared:
+    """Query vectors as blocks of columns."""
+    whole = matrix(vectors)
+    return [(np.arange(start, min(start + 512, len(whole))), whole[start:start + 512].T)
+            for start in range(0, len(whole), 512)]
+
+
+def dot_scores(embedding: str) -> Score:
+    """Dot products of a table's vectors with a block, by slices."""
+
+    def score(table: pa.Table, block: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        vectors = matrix(table.column(embedding))
+        for start, end in row_slices(len(vectors), block.shape[1]):
+            yield start, vectors[start:end] @ block
+
+    return score
+
+
 def dense_knn(
     corpus: DataFrame,
     queries: DataFrame,
@@ -36,19 +54,9 @@ def dense_knn(
 
     For unit vectors the dot product ranks like cosine similarity and like Euclidean distance.
     """
-
-    def prepare(table: pa.Table) -> Prepared:
-        vectors = _matrix(table.column(embedding))
-        return [(np.arange(start, min(start + 512, len(vectors))), vectors[start:start + 512].T)
-                for start in range(0, len(vectors), 512)]
-
-    def score(table: pa.Table, block: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        vectors = _matrix(table.column(embedding))
-        for start, end in row_slices(len(vectors), block.shape[1]):
-            yield start, vectors[start:end] @ block
-
     return top_matches(
         corpus.select(corpus_id, embedding), queries.select(query_id, embedding),
-        prepare, score, k, corpus_id, query_id, "dense_score",
+        lambda table: dot_blocks(table.column(embedding)), dot_scores(embedding), k, corpus_id,
+        query_id, "dense_score",
         sized_by=queries.select(query_id),  # all vectors have one length: rows bound the bytes
         query_rows=query_rows, **sizes)

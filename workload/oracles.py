@@ -450,6 +450,7 @@ SQL: dict[str, str] = {
 }
 SQL["dense_knn_grid"] = SQL["dense_knn"]
 SQL["bm25_search_grid"] = SQL["bm25_search"]
+SQL["dense_knn_cells"] = SQL["dense_knn"]
 SQL["bm25_search_blocks"] = SQL["bm25_search"]
 
 # What is kept up to date by changes equals what the whole history gives.

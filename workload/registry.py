@@ -22,6 +22,7 @@ from tidelake.operators import (
     validation,
 )
 from tidelake.operators.posting_search import posting_search
+from tidelake.operators.pruned_knn import pruned_knn
 from tidelake.plans import refresh
 from tidelake.plans.indexing import update_index
 from tidelake.plans.retrieval import hybrid_retrieve as retrieve
@@ -34,6 +35,7 @@ from tidelake.sources.derived_tables import read_current, read_gold
 from tidelake.sources.history_table import merge_history, read_history
 from tidelake.sources.layers import LakePaths
 from tidelake.sources.postings_table import read_postings, write_postings
+from tidelake.sources.vector_cells import read_cells, write_cells
 from tidelake.sources.vector_table import compact_index, read_index
 from tidelake.sources.vector_table import vector_table_sink as write_vectors
 from tidelake.streaming.bronze import bronze_stream as start_bronze
@@ -504,6 +506,18 @@ def dense_knn_grid(i: Inputs) -> DataFrame:
         query_rows=150, corpus_rows=200))
 
 
+@query
+def dense_knn_cells(i: Inputs) -> DataFrame:
+    """The same over stored cells, of which those that can hold a near vector are scored."""
+    lake = scratch(i.spark)
+    embedding.normalize_vectors(i.table("embeddings")).write.parquet(lake.chunks)
+    vectors, cells = i.spark.read.parquet(lake.chunks), f"{lake.chunks}_cells"
+    write_cells(vectors, cells, "vec_id")
+    return rounded(pruned_knn(
+        read_cells(i.spark, cells), vectors.withColumnRenamed("vec_id", "query_id"),
+        corpus_id="vec_id"))
+
+
 @query
 def topk_dense(i: Inputs) -> DataFrame:
     return rounded(Retrieval(i).dense())
