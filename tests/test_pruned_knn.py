@@ -61,3 +61,14 @@ def test_one_vector_and_no_question(spark, tmp_path):
     asked = table(spark, clustered(5, 2), "query_id")
     assert shown(pruned_knn(cells, asked, 3)) == shown(dense_knn(rows, asked, 3))
     assert pruned_knn(cells, asked.limit(0), 3).collect() == []
+
+
+def test_many_bytes_of_few_questions_are_not_collected(spark, monkeypatch):
+    """Six questions with long vectors: more bytes than may be broadcast, so they meet in a grid."""
+    from tidelake.operators import best_matches
+
+    rows, asked = table(spark, clustered(6, 40)), table(spark, clustered(7, 6), "query_id")
+    small = shown(dense_knn(rows, asked, 3))
+    monkeypatch.setattr(best_matches, "QUERY_BYTES", 300)
+    monkeypatch.setattr(type(asked), "toArrow", lambda self: pytest.fail("collected"))
+    assert shown(dense_knn(rows, asked, 3)) == small

@@ -99,13 +99,15 @@ def top_matches(
     score_name: str = "score",
     floor: float = -np.inf,
     sized_by: DataFrame | None = None,
+    row_bytes: int = 0,
     query_rows: int = QUERY_ROWS,
     corpus_rows: int = CORPUS_ROWS,
 ) -> DataFrame:
     """``(query_id, corpus_id, score, rank)`` of the k best rows per query.
 
-    ``sized_by`` is measured first, in place of ``queries``, where that costs less; what is broadcast
-    is measured itself.
+    ``sized_by`` is measured first, in place of ``queries``, where that costs less; ``row_bytes`` is
+    what a query has besides. Nothing is collected before that fits; what is broadcast is measured
+    itself.
     """
     schema = T.StructType([
         T.StructField(query_id, queries.schema[query_id].dataType),
@@ -116,6 +118,7 @@ def top_matches(
         (query_id, arrow_type(queries, query_id)), (corpus_id, arrow_type(corpus, corpus_id)),
         (score_name, pa.float64())])
     rows, size = measure(queries if sized_by is None else sized_by)
+    size += rows * row_bytes
     held = queries.toArrow() if rows <= query_rows and size <= QUERY_BYTES else None
     if held is not None and held.nbytes <= QUERY_BYTES:
         # The table as it is goes out; each task makes its blocks.

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidelake.operators.best_matches import QUERY_ROWS, Prepared, Score, row_slices, top_matches
 
@@ -54,9 +55,11 @@ def dense_knn(
 
     For unit vectors the dot product ranks like cosine similarity and like Euclidean distance.
     """
+    # All vectors have one length: that of the first and the rows bound the bytes.
+    first = queries.select(F.size(embedding)).first()
     return top_matches(
         corpus.select(corpus_id, embedding), queries.select(query_id, embedding),
         lambda table: dot_blocks(table.column(embedding)), dot_scores(embedding), k, corpus_id,
         query_id, "dense_score",
-        sized_by=queries.select(query_id),  # all vectors have one length: rows bound the bytes
+        sized_by=queries.select(query_id), row_bytes=8 * max(first[0], 0) if first else 0,
         query_rows=query_rows, **sizes)
