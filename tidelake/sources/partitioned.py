@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,12 +37,9 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def read_partitioned(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The table; empty before its first change."""
-    try:
-        return spark.read.schema(schema).parquet(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, root):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(root)
 
 
 def bucket_of(buckets: int, *columns: str) -> Column:
