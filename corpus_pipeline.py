@@ -51,8 +51,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("pack", pack),
 ]
 
-# EM, dart signatures and trained networks have no SQL; tests/llm/test_pipeline.py compares run()
-# with a brute-force version of every stage.
+# EM, dart signatures and trained networks have no SQL; tests/llm/test_pipeline.py checks what each
+# stage must and must not do, and the operators' own tests hold them against brute force.
 ORACLE_SQL: str | None = None
 
 
