@@ -14,7 +14,7 @@ from tidelake.llm.tokens import PieceEncoder, encoder
 FILES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 BITS = st.lists(st.sampled_from([
     " ", "  ", "\n", "\t", "a", "it's", "é", "<|endoftext|>", "\x1c", "x1", " '", "́", "ΑΣ", "!",
-    "İ a", ",", ".", "ab, ", " ", "\x85", "ſ", "１", "\U0001f600", "Word", "don't"]), max_size=25)
+    "İ a", ",", ".", "ab, ", " ", "\x85", "ſ", "１", "\U0001f600", "Word", "don't", "end.\nThe", "$$$", "_"]), max_size=25)
 
 
 def whole(path: str, texts: list[str]) -> list[list[int]]:

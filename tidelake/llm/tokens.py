@@ -11,6 +11,7 @@ from __future__ import annotations
 import gc
 import os
 import re
+import string
 from array import array
 
 import numpy as np
@@ -22,6 +23,10 @@ _UNEVEN = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}"
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 CACHED_PIECES = 900_000
 CACHED_LENGTH = 32
+# Signs that form one unit with each other and none with the letters before them. An apostrophe does.
+SIGNS = string.punctuation.replace("'", "")
+CACHED_WORDS = 400_000
+CACHED_TAILS = 10_000
 
 
 def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -48,9 +53,9 @@ def _letters() -> list[str]:
 class PieceEncoder:
     """Encodes texts piece by piece and remembers short pieces, up to a fixed number.
 
-    A word of letters alone, with or without a comma or full stop after it, is one unit of the
-    vocabulary's pattern: its ids come from the tokenizer's model at once. All other pieces go
-    through the whole tokenizer.
+    A word of letters alone is one unit of the vocabulary's pattern, and the signs after it are
+    another: a new word's ids come from the tokenizer's model at once; words and signs are remembered
+    too, within limits. All other pieces go through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -67,35 +72,67 @@ class PieceEncoder:
         self._known: dict[str, int] = {}
         self._ids = array("I")  # ids of all known pieces, one after the other
         self._ends = array("q", [0])  # of piece n: from place n to place n + 1
-        self._tail = {c: self._plain([c])[0] for c in ".,"}
+        self._break = self._plain(["\n"])[0]
+        self._words: dict[str, dict[str, list[int]]] = {self._space: {}, "": {}}
+        self._tails: dict[str, list[int]] = {}
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [e.ids for e in found]
 
-    def _word(self, word: str) -> list[int] | None:
-        """Ids of a word with a space before it, or None if it isn't a word of letters alone."""
-        if not word.isalpha():
-            return None
-        if word.isascii():
-            unit = word.lower() if self._lower else word
-        else:
+    def _word(self, word: str, space: str) -> list[int] | None:
+        """Ids of a word, with `space` for what is before it, or None if it isn't letters alone."""
+        if self._lower and word.isascii():
+            word = word.lower()
+        known = self._words[space]
+        ids = known.get(word)
+        if ids is None and word.isalpha():
+            ids = self._unit(word, space)
+            if ids and len(known) < CACHED_WORDS and len(word) <= CACHED_LENGTH:
+                known[word] = ids
+        return ids
+
+    def _unit(self, word: str, space: str) -> list[int] | None:
+        """Ids of letters that are one unit, or None if they are not when normalised."""
+        unit = word
+        if not word.isascii():
             unit = self._normal.normalize_str(word) if self._normal else word
             if not unit.isalpha():
                 return None
             unit = "".join([self._letters[b] for b in unit.encode()])
-        return [t.id for t in self._model.tokenize(self._space + unit)]
+        return [t.id for t in self._model.tokenize(space + unit)]
+
+    def _signed(self, piece: str, space: str) -> list[int] | None:
+        """Ids of a word of letters with signs after it, or None if it is something else."""
+        word = piece.rstrip(SIGNS)
+        ids = self._word(word, space)
+        if ids is None or len(word) == len(piece):
+            return ids
+        tail = piece[len(word):]
+        more = self._tails.get(tail)
+        if more is None:
+            more = self._plain([tail])[0]
+            if len(self._tails) < CACHED_TAILS and len(tail) <= CACHED_LENGTH:
+                self._tails[tail] = more
+        return ids + more
+
+    def _lines(self, piece: str) -> list[int] | None:
+        """Ids of such words on lines of their own; a lone line break is a unit by itself."""
+        out: list[int] = []
+        for n, line in enumerate(piece.split("\n")):
+            ids = self._signed(line, "" if n else self._space)
+            if ids is None:
+                return None
+            out += self._break + ids if n else ids
+        return out
 
     def _add(self, pieces: list[str]) -> range:
         """Append the ids of new pieces, each with the space before it; their numbers."""
         first, others, found = len(self._ends) - 1, [], []
         for p in pieces:
-            tail = self._tail.get(p[-1:]) if p[-2:-1].isalpha() else None
-            ids = self._word(p[:-1] if tail else p)
+            ids = self._lines(p) if "\n" in p else self._signed(p, self._space)
             if ids is None:
                 others.append(p)
-            elif tail:
-                ids += tail
             found.append(ids)
         whole = iter(self._plain([" " + p for p in others]))
         for ids in found:
