@@ -226,8 +226,10 @@ def write_ids(tokens: DataFrame, folder: str, block_tokens: int = BLOCK_TOKENS,
                 ("n_tokens", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())),
                 ("payload", pa.binary())]))
 
-    coded = tokens.mapInArrow(code, "doc_id long, n long, marks binary, bits binary").withColumn(
-        "tie", F.xxhash64("bits"))
+    # Stored, because finding the range bounds reads the rows once more.
+    coded = stored(tokens.mapInArrow(
+        code, "doc_id long, n long, marks binary, bits binary").withColumn(
+        "tie", F.xxhash64("bits")), "coded", folder)
     ordered = coded.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     ordered.drop("tie").mapInArrow(
         blocks, "block int, first long, doc_ids array<long>, n_tokens array<long>, "
