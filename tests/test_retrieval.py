@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelake.operators import documents as d
+from tidelake.operators.best_matches import CELL_BYTES, SPARE_BYTES, grid_shape
 from tidelake.operators.dense import dense_knn
 from tidelake.operators.embedding import embed_text, normalize_vectors
 from tidelake.operators.fusion import hybrid_fuse, rerank, rrf_fuse
@@ -161,6 +162,19 @@ def test_dense_search_both_ways(spark, query_rows):
     assert dense_knn(corpus.limit(0), queries, 7, query_rows=query_rows).count() == 0
 
 
+def test_grid_copies_little():
+    def copied(vectors, asked):
+        across, down = grid_shape(vectors, vectors * 1300, 200, asked, asked * 1300, 150, 20)
+        return across, down, vectors * 1300 * down, (asked * 1300 + asked * 20 * 128) * across
+
+    assert copied(500, 400)[:2] == (3, 3)  # as wanted
+    for rows in (10_000, 100_000, 600_000):
+        most = max(SPARE_BYTES, rows * (1300 + 20 * 128) * (1 + rows * 1300 // CELL_BYTES))
+        assert max(copied(rows, rows)[2:]) <= most
+    # A few questions over a large index: it is shuffled once.
+    assert grid_shape(10**7, 6 * 10**9, 1000, 200, 20_000, 15, 20)[1] == 1
+
+
 @pytest.mark.parametrize("query_rows", [8_192, 1])
 def test_near_scores_are_told_apart(spark, query_rows):
     corpus = spark.createDataFrame(

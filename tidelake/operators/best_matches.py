@@ -3,7 +3,9 @@
 Scores are computed in blocks inside tasks and cut to k per query before anything leaves a task, so
 no query-row pair is ever written or shuffled. A small query table, by measurement, goes to the corpus
 partitions, which stay where they are. A larger one meets the corpus in a grid: rows of both sides are
-assigned to blocks by hash and each cell of the grid scores one block pair. Both ways are exact.
+assigned to blocks by hash and each cell of the grid scores one block pair. Every block of one side
+costs a copy of the other, so beyond SPARE_BYTES of copies blocks are as large as a task may hold.
+Both ways are exact.
 
 Rows are ranked by their scores in double precision. Only the last digits, in which the order of
 summation shows, are cut (TIE_DECIMALS), so that copies of a row tie however their blocks were summed.
@@ -27,6 +29,9 @@ QUERY_ROWS = 8_192
 QUERY_BYTES = 16 * 1024 * 1024
 CORPUS_ROWS = 50_000
 SCORE_CELLS = 4_000_000
+CELL_BYTES = 64 * 1024 * 1024
+SPARE_BYTES = 32 * 1024 * 1024
+FOUND_BYTES = 128
 TIE_DECIMALS = 12
 
 Prepared = list[tuple[np.ndarray, Any]]
@@ -107,7 +112,7 @@ def top_matches(
 
     ``sized_by`` is measured first, in place of ``queries``, where that costs less; ``row_bytes`` is
     what a query has besides. Nothing is collected before that fits; what is broadcast is measured
-    itself.
+    itself. ``query_rows`` and ``corpus_rows`` are wanted block sizes of the grid (``grid_shape``).
     """
     schema = T.StructType([
         T.StructField(query_id, queries.schema[query_id].dataType),
@@ -139,8 +144,8 @@ def top_matches(
             return scan(iter([left]), right.column(query_id), prepare(right), score, corpus_id,
                          k, floor, arrow)
 
-        across = 1 + corpus.count() // corpus_rows
-        down = max(1 + rows // query_rows, 1 + size // QUERY_BYTES)
+        held_rows, held_bytes = measure(corpus)
+        across, down = grid_shape(held_rows, held_bytes, corpus_rows, rows, size, query_rows, k)
         left = _in_grid(corpus, corpus_id, across, "_a", down, "_d")
         right = _in_grid(queries, query_id, down, "_d", across, "_a")
         found = left.groupBy("_a", "_d").cogroup(right.groupBy("_a", "_d")).applyInArrow(
@@ -148,6 +153,24 @@ def top_matches(
     return rank_matches(found, score_name, k, query_id, corpus_id)
 
 
+def grid_shape(corpus: int, corpus_bytes: int, corpus_rows: int, queries: int, query_bytes: int,
+               query_rows: int, k: int) -> tuple[int, int]:
+    """Blocks of the corpus and of the queries.
+
+    As many as the wanted rows ask for while what they copy stays within SPARE_BYTES: a block of
+    queries costs a copy of the corpus, a block of the corpus one of the queries and k found rows for
+    each of them. Beyond that only as many as CELL_BYTES to a block ask for.
+    """
+
+    def blocks(rows: int, wanted: int, size: int, copied: int) -> int:
+        most = max(1 + size // CELL_BYTES, SPARE_BYTES // max(copied, 1))
+        return min(max(1 + rows // wanted, 1 + size // CELL_BYTES), most)
+
+    found = queries * k * FOUND_BYTES
+    return (blocks(corpus, corpus_rows, corpus_bytes, query_bytes + found),
+            blocks(queries, query_rows, query_bytes, corpus_bytes))
+
+
 def arrow_type(frame: DataFrame, column: str) -> pa.DataType:
     return pa.int64() if isinstance(frame.schema[column].dataType, T.LongType) else pa.string()
 
