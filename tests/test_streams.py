@@ -91,6 +91,15 @@ def test_keyed_state_passes_on_what_changes(spark, tmp_path):
     same(read_history(spark, lake.silver), silver_history(newer.unionByName(older)))
 
 
+def test_keyed_state_calls_no_python(spark):
+    """Six million events went through a Python processor one by one."""
+    rows = table(spark, row("x", 7, "2.00"), row("x", 7, "2.00"), row("x", 7, "3.00", offset=9))
+    unseen = silver.unseen_deliveries(rows)
+    plan = unseen._jdf.queryExecution().toString()
+    assert "Python" not in plan and "TransformWithState" not in plan
+    assert sorted(str(r.amount) for r in unseen.collect()) == ["2.00", "3.00"]
+
+
 def test_a_batch_that_fails_half_way_is_repeated(spark, tmp_path, monkeypatch):
     """The stream fails once its changes are published and before history has them."""
     lake = LakePaths(str(tmp_path))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from tidelake.operators.history import DELIVERY_ORDER
 from tidelake.schemas import DELIVERY
@@ -17,44 +17,18 @@ from tidelake.streaming.validate import drained, settings
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _TIMES = [f.name for f in DELIVERY.fields if isinstance(f.dataType, T.TimestampType)]
-# Times travel as microseconds: Python would read them in the zone of its machine.
-_CARRIED = T.StructType([
-    T.StructField(f.name, T.LongType() if f.name in _TIMES else f.dataType)
-    for f in DELIVERY.fields])
 _AGE = ", ".join(f"{c} long" for c in DELIVERY_ORDER)
 
 
-class NewestDelivery(StatefulProcessor):
-    """Keeps the age of the newest delivery of each event; passes on deliveries that are newer."""
+def unseen_deliveries(bronze: DataFrame) -> DataFrame:
+    """The deliveries that were not seen before, replays left out.
 
-    def init(self, handle) -> None:
-        self.newest = handle.getValueState("newest", _AGE)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
-        # A missing coordinate is older than any, as in a descending order.
-        aged = [(tuple(-(1 << 62) if r[c] is None else r[c] for c in DELIVERY_ORDER), r)
-                for r in rows]
-        age, row = max(aged, key=lambda pair: pair[0])
-        known = self.newest.get()
-        if known is None or age > tuple(known):
-            self.newest.update(age)
-            yield row
-
-    def close(self) -> None:
-        pass
-
-
-def newest_deliveries(bronze: DataFrame) -> DataFrame:
-    """The deliveries that supersede what was seen of their event before.
-
-    State holds four numbers per event, whatever a delivery holds, in a store that spills to disk.
+    State holds the event and four numbers per delivery, whatever a delivery holds, in a store that
+    spills to disk. Nothing is called per row: Spark's own deduplication keeps it.
     """
-    carried = bronze.select(*[
-        F.unix_micros(c).alias(c) if c in _TIMES else F.col(c) for c in DELIVERY.names])
-    newest = carried.groupBy("event_id").transformWithState(
-        NewestDelivery(), _CARRIED, "Update", "None")
-    return newest.select(*[
-        F.timestamp_micros(c).alias(c) if c in _TIMES else F.col(c) for c in DELIVERY.names])
+    age = F.struct(*[F.unix_micros(c).alias(c) if c in _TIMES else F.col(c) for c in DELIVERY_ORDER])
+    return bronze.select(*DELIVERY.names).withColumn(
+        "_age", age.cast(T.StructType.fromDDL(_AGE))).dropDuplicates(["event_id", "_age"]).drop("_age")
 
 
 def step_name(batch: DataFrame, batch_id: int) -> str:
@@ -69,16 +43,16 @@ def silver_stream(
 ) -> StreamingQuery:
     """Start merging new deliveries into history (``merge_history``), a step per micro-batch.
 
-    Replays and older copies end in the keyed state: a batch reaches history with the rows that
-    change it, and reads and writes the buckets of those rows alone. Late facts need no watermark:
-    nothing is dropped. Under a new checkpoint all deliveries come again and change nothing.
+    Replays end in the keyed state: a batch reads and writes the buckets of the events that it has
+    unseen deliveries of. Older copies lose against the row in history. Late facts need no
+    watermark: nothing is dropped. Under a new checkpoint all deliveries come again and change nothing.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         step = step_name(batch, batch_id)
         merge_history(batch, root, feed, step, buckets,
                       None if record is None else lambda sums: record(step, sums))
 
-    writer = newest_deliveries(bronze).writeStream.outputMode("update").foreachBatch(
+    writer = unseen_deliveries(bronze).writeStream.outputMode("update").foreachBatch(
         merge).option("checkpointLocation", checkpoint)
     with settings(bronze.sparkSession, {_PROVIDER: ROCKSDB}):
         return drained(writer, once).start()
