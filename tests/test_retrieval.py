@@ -8,9 +8,11 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidelake.functions import text
 from tidelake.operators import documents as d
 from tidelake.operators.best_matches import CELL_BYTES, SPARE_BYTES, grid_shape
 from tidelake.operators.dense import dense_knn
@@ -221,6 +223,26 @@ def bm25(chunks, asked, k):
     return best
 
 
+def test_token_functions_take_slices(monkeypatch):
+    """A batch of 10,000 long texts was taken whole; slices give the same and hold little."""
+    rng, taken = random.Random(3), []
+    lists = pa.array([rng.choices(WORDS, k=rng.randint(0, 9)) if n % 7 else None
+                      for n in range(300)], pa.list_(pa.string()))
+    monkeypatch.setattr(text, "SLICE_TOKENS", 20)
+
+    def watched(part: pa.Array) -> pa.Array:
+        taken.append(len(part.flatten()))
+        return text.counted_terms(part)
+
+    assert text.by_slices(watched)(lists).to_pylist() == text.counted_terms(lists).to_pylist()
+    assert max(taken) <= 20 + 9 and len(taken) > 10
+    assert len(text.by_slices(watched)(lists.slice(0, 0))) == 0
+    monkeypatch.setattr(d, "SLICE_CHARS", 50)
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 30] * 10 + [None]})
+    assert pa.Table.from_batches(d.slices(batch)).to_pydict() == batch.to_pydict()
+    assert max(p.num_rows for p in d.slices(batch)) <= 3
+
+
 @pytest.mark.parametrize("query_rows", [8_192, 2])
 def test_lexical_search_both_ways(spark, query_rows):
     rng = random.Random(9)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable, Iterator
+from typing import Any
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,6 +48,27 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda t: t != "")
 
 
+# Tokens that a Python function takes at a time, whatever the rows of an Arrow batch hold.
+SLICE_TOKENS = 1 << 18
+
+
+def in_slices(rows: Any, sizes: pa.Array, most: int) -> Iterator[Any]:
+    """Consecutive parts of an array or batch whose sizes add up to about ``most``; a row at least."""
+    part = (np.cumsum(sizes.to_numpy(zero_copy_only=False)) - 1).clip(0) // most
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(rows)]
+    return (rows.slice(a, b - a) for a, b in itertools.pairwise(edges))
+
+
+def by_slices(function: Callable[[pa.Array], pa.Array]) -> Callable[[pa.Array], pa.Array]:
+    """The batch function of token lists, run on slices: its memory doesn't grow with the batch."""
+
+    def sliced(lists: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(lists), 0)
+        return pa.concat_arrays([function(p) for p in in_slices(lists, sizes, SLICE_TOKENS)])
+
+    return sliced
+
+
 def counted_terms(lists: pa.Array) -> pa.Array:
     """Batch function from token lists to their distinct tokens in order, each with its count.
 
@@ -68,5 +93,5 @@ def counted_terms(lists: pa.Array) -> pa.Array:
 
 def term_frequencies(text: Column) -> Column:
     """``array<struct<term, tf>>`` of one text, in term order; null for a null."""
-    count = F.arrow_udf(counted_terms, "array<struct<term:string,tf:int>>")
+    count = F.arrow_udf(by_slices(counted_terms), "array<struct<term:string,tf:int>>")
     return count(tokens(text))

@@ -6,15 +6,17 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.functions.text import is_blank, normalize_space
+from tidelake.functions.text import in_slices, is_blank, normalize_space
 
 # Default window and citation prefix.
 CHUNK_SIZE = 800
 OVERLAP = 120
+SLICE_CHARS = 4_000_000
 SOURCE_PREFIX = "delta://silver/customer_events/"
 
 
@@ -60,6 +62,11 @@ def chunk_spans(text: str, window: re.Pattern[str], overlap: int) -> Iterator[tu
         found = window.match(text, found.end() - overlap) if found.end() < len(text) else None
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about SLICE_CHARS bytes of text, a row at least."""
+    return in_slices(batch, pc.fill_null(pc.binary_length(batch.column("text")), 0), SLICE_CHARS)
+
+
 def chunk_documents(
     documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = OVERLAP,
 ) -> DataFrame:
@@ -71,7 +78,7 @@ def chunk_documents(
     window = window_pattern(size, overlap)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows, numbers, starts, ends, texts = [], [], [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 for number, (start, end) in enumerate(chunk_spans(text, window, overlap)):

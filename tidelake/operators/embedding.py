@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.functions.text import require_text, tokens
+from tidelake.functions.text import by_slices, require_text, tokens
 from tidelake.functions.vectors import unit_vector
 
 DIMENSION = 64
@@ -51,7 +51,7 @@ def embed_text(
     """
     checked = require_text(F.col(text), "embedding input must not be empty")
     if encode is None:
-        vector = F.arrow_udf(hashed_terms(dim), "array<float>")(tokens(checked))
+        vector = F.arrow_udf(by_slices(hashed_terms(dim)), "array<float>")(tokens(checked))
     else:
         vector = unit_vector(F.pandas_udf(encode, "array<double>")(checked))
     return frame.withColumn("embedding", vector.cast("array<float>"))
