@@ -73,3 +73,18 @@ def test_no_question_and_no_index(spark, stored, tmp_path):
     write_postings(empty, str(tmp_path / "empty"))
     asked = spark.createDataFrame([(0, "every")], "query_id long, query string")
     assert posting_search(read_postings(spark, str(tmp_path / "empty")), asked).collect() == []
+
+
+def test_postings_travel_and_lie_as_numbers(spark, tmp_path):
+    """IDs are long texts: they are stored once a chunk and not with every posting."""
+    rows = collection(spark, chunks=200).withColumn("chunk_id", F.sha2("chunk_id", 256))
+    index = bm25_index(rows)
+    write_postings(index, str(tmp_path), block=8)
+    postings = read_postings(spark, str(tmp_path))
+    assert postings.blocks.schema["ids"].dataType.simpleString() == "array<bigint>"
+    assert postings.chunks.count() == postings.chunks.select("number").distinct().count() == 200
+    known = postings.chunks.join(postings.blocks.select(
+        "field", "term", F.explode("ids").alias("number")), "number").select("chunk_id", "field", "term")
+    want = index.select("chunk_id", F.lit("text").alias("field"), F.explode("text_terms.term")).union(
+        index.select("chunk_id", F.lit("title"), F.explode("title_terms.term")))
+    assert sorted(map(tuple, known.collect())) == sorted(map(tuple, want.collect()))

@@ -9,6 +9,8 @@ remaining terms. What is skipped can't be among the k best.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +45,8 @@ def _named(postings: Postings, asked: DataFrame) -> Postings:
     if rows > NAMED_TERMS or size > NAMED_BYTES:
         return postings
     names = [r["term"] for r in distinct.collect()]
-    return Postings(*[f.where(F.col("term").isin(names)) for f in (postings.blocks, postings.terms)],
-                    postings.stats)
+    return replace(postings, **{f: getattr(postings, f).where(F.col("term").isin(names))
+                                for f in ("blocks", "terms")})
 
 
 def weighted(postings: Postings, asked: DataFrame) -> DataFrame:
@@ -60,15 +62,15 @@ def weighted(postings: Postings, asked: DataFrame) -> DataFrame:
 
 
 def _contributions(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
-    """query_id, field, term, chunk_id, part for all entries of the wanted blocks."""
+    """query_id, field, term, number, part for all entries of the wanted blocks."""
     return blocks.join(broadcast_if_small(wanted), [*_KEY, "block"]).select(
         "query_id", *_KEY, "weight", F.explode(F.arrays_zip("ids", "impacts")).alias("e")).select(
-        "query_id", *_KEY, F.col("e.ids").alias("chunk_id"),
+        "query_id", *_KEY, F.col("e.ids").alias("number"),
         (F.col("weight") * F.col("e.impacts")).alias("part"))
 
 
 def _summed(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("query_id", "field", "chunk_id").agg(F.sum("part").alias("score"))
+    return parts.groupBy("query_id", "field", "number").agg(F.sum("part").alias("score"))
 
 
 def _directory(postings: Postings, terms: DataFrame) -> DataFrame:
@@ -87,8 +89,8 @@ def plan_blocks(
     seeds = directory.withColumn("nth", F.row_number().over(best)).where("nth = 1").select(
         "query_id", *_KEY, "block", "weight")
     seen = _summed(_contributions(postings.blocks, _kept(seeds, folder, "seeds")))
-    seen = seen.groupBy("query_id", "chunk_id").agg(F.max("score").alias("score"))
-    bars = _kept(rank_matches(seen, "score", k, "query_id", "chunk_id").where(
+    seen = seen.groupBy("query_id", "number").agg(F.max("score").alias("score"))
+    bars = _kept(rank_matches(seen, "score", k, "query_id", "number").where(
         F.col("rank") == k).select("query_id", (F.col("score") * (1 - ROOM)).alias("bar")),
         folder, "bars")
     total = Window.partitionBy(*_TERM)
@@ -116,16 +118,16 @@ def _looked_up(
         broadcast_if_small(slack), _TERM, "left").where(
         F.col("score") + F.coalesce("slack", F.lit(0.0)) >= F.col("bar"))
     open_ = _kept(open_, folder, "open")
-    asked = open_.select(*_TERM, "chunk_id").join(broadcast_if_small(others.select(
+    asked = open_.select(*_TERM, "number").join(broadcast_if_small(others.select(
         *_TERM, "term", "groups", "weight")), _TERM).withColumn(
-        "block", block_of(F.col("chunk_id"), F.col("groups")))
+        "block", block_of(F.col("number"), F.col("groups")))
     needed = _kept(asked.select(*_KEY, "block").distinct(), folder, "needed")
     entries = blocks.join(broadcast_if_small(needed), [*_KEY, "block"], "left_semi").select(
         *_KEY, F.explode(F.arrays_zip("ids", "impacts")).alias("e")).select(
-        *_KEY, F.col("e.ids").alias("chunk_id"), F.col("e.impacts").alias("impact"))
-    parts = asked.join(entries, [*_KEY, "chunk_id"]).select(
-        "query_id", *_KEY, "chunk_id", (F.col("weight") * F.col("impact")).alias("part"))
-    return open_.select("query_id", "field", "chunk_id", F.col("score").alias("part")).unionByName(
+        *_KEY, F.col("e.ids").alias("number"), F.col("e.impacts").alias("impact"))
+    parts = asked.join(entries, [*_KEY, "number"]).select(
+        "query_id", *_KEY, "number", (F.col("weight") * F.col("impact")).alias("part"))
+    return open_.select("query_id", "field", "number", F.col("score").alias("part")).unionByName(
         parts.drop("term")), needed
 
 
@@ -139,7 +141,7 @@ def _searched(postings: Postings, queries: DataFrame, k: int, query: str, query_
     rated, chosen = plan_blocks(postings, terms, k, folder)
     found = _summed(_contributions(postings.blocks, chosen))
     parts, needed = _looked_up(postings.blocks, found, rated, folder)
-    scores = _summed(parts).groupBy("query_id", "chunk_id").agg(
+    scores = _summed(parts).groupBy("query_id", "number").agg(
         F.round(F.max("score"), TIE_DECIMALS).alias("lexical_score"))
     return scores, queries.sparkSession.read.parquet(f"{folder}/directory"), chosen, needed
 
@@ -153,8 +155,15 @@ def posting_search(
     Work grows with the postings of the asked terms that can matter, not with the index.
     """
     scores = _searched(postings, queries, k, query, query_id)[0]
-    ranked = rank_matches(scores.where("lexical_score > 0"), "lexical_score", k, "query_id", "chunk_id")
-    return ranked.withColumnRenamed("query_id", query_id)
+    # Ties go to the smaller chunk ID: all that tie with the k-th best get theirs.
+    order = Window.partitionBy("query_id").orderBy(F.col("lexical_score").desc())
+    best = scores.where("lexical_score > 0").withColumn("place", F.rank().over(order)).where(
+        F.col("place") <= k).drop("place")
+    best = _kept(best, shared_folder(queries.sparkSession), "best")
+    named = postings.chunks.join(broadcast_if_small(best), "number").select(
+        "query_id", "chunk_id", "lexical_score")
+    return rank_matches(named, "lexical_score", k, "query_id", "chunk_id").withColumnRenamed(
+        "query_id", query_id)
 
 
 def block_report(

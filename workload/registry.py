@@ -556,10 +556,8 @@ def bm25_search_grid(i: Inputs) -> DataFrame:
 def bm25_search_blocks(i: Inputs) -> DataFrame:
     """The same over stored postings, of which the blocks that can matter are read."""
     lake = scratch(i.spark)
-    term_index.bm25_index(_chunks(i)).write.parquet(lake.chunks)
-    postings = f"{lake.chunks}_postings"
-    write_postings(i.spark.read.parquet(lake.chunks), postings)
-    return rounded(posting_search(read_postings(i.spark, postings), i.questions()).drop("rank"))
+    write_postings(term_index.bm25_index(_chunks(i)), lake.chunks)
+    return rounded(posting_search(read_postings(i.spark, lake.chunks), i.questions()).drop("rank"))
 
 
 @query
