@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelake.llm import dart_dedup, mixing, packing, secrets, weak_quality
 from tidelake.llm.common import stored
 from tidelake.llm.queries import table, vocabulary
-from tidelake.session import shared_folder
+from tidelake.session import settings, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,10 +56,16 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL: str | None = None
 
 
+# Rows of whole texts that go to a Python worker at once. Buffers for them are kept by the executor and by
+# its workers, beside everything that the stages need.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, folder = table(spark, sf_dir, "documents"), shared_folder(spark)
-    for number, (name, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"{number}-{name}", folder)
+    with settings(spark, BATCH):
+        for number, (name, stage) in enumerate(STAGES):
+            docs = stored(stage(spark, docs, sf_dir), f"{number}-{name}", folder)
     return docs
 
 

@@ -45,3 +45,12 @@ def test_nulls_ends_and_a_full_cache(name, monkeypatch):
         found = split(*coder.encode(pa.array(texts, pa.string()), end_id=2))
         assert found == [i + [2] for i in whole(path, [t or "" for t in texts])]
     assert coder.encode(pa.array([], pa.string()))[0].tolist() == []
+
+
+def test_an_encoder_remembers_no_more_pieces_than_it_is_given():
+    texts = [" ".join(f"word{n} x{n}," for n in range(40))] * 2
+    path = vocabulary(FILES[1])
+    small = PieceEncoder(path, 10)
+    assert split(*small.encode(pa.array(texts))) == whole(path, texts)
+    assert len(small._known) == 10
+    assert split(*small.encode(pa.array(texts[::-1]))) == whole(path, texts)

@@ -28,6 +28,8 @@ from tidelake.session import shared_folder
 CAPACITY = 4096
 GRID = 16  # of the middle length of three; the other two are any that fill the sequence
 ROUNDS = 200
+# Pieces that a worker remembers: it runs beside a heap that earlier stages have filled.
+REMEMBERED = 200_000
 
 Pattern = list[tuple[int, int]]  # length, how often
 
@@ -44,7 +46,8 @@ def cut_documents(docs: DataFrame, path: str, end_id: int, capacity: int = CAPAC
     names += ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, seen = encoder(path), TaskContext.get().partitionId(), np.zeros(
+        pa.default_memory_pool().release_unused()  # of what the worker did before
+        coder, part, seen = encoder(path, REMEMBERED), TaskContext.get().partitionId(), np.zeros(
             capacity + 1, np.int64)
         for whole in batches:
             for batch in text_slices(whole):

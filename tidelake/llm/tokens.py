@@ -9,6 +9,7 @@ whole text for a fraction of the work; tests/llm/test_tokens.py holds it against
 from __future__ import annotations
 
 import gc
+import itertools
 import os
 import re
 import string
@@ -58,7 +59,8 @@ class PieceEncoder:
     too, within limits. All other pieces go through the whole tokenizer.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, pieces: int | None = None) -> None:
+        self._pieces = pieces  # to remember, in place of CACHED_PIECES
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
         from tokenizers import Tokenizer
 
@@ -146,8 +148,10 @@ class PieceEncoder:
         new = [n for n, row in enumerate(rows) if row is None]
         for n, row in zip(new, self._add([texts[n] for n in new]), strict=True):
             rows[n] = row
-        if len(self._known) < CACHED_PIECES:
-            self._known.update((texts[n], rows[n]) for n in new if len(texts[n]) <= CACHED_LENGTH)
+        room = (CACHED_PIECES if self._pieces is None else self._pieces) - len(self._known)
+        if room > 0:
+            short = ((texts[n], rows[n]) for n in new if len(texts[n]) <= CACHED_LENGTH)
+            self._known.update(itertools.islice(short, room))
             self._keep = len(self._ends)
         return np.fromiter(rows, np.int64, len(rows))
 
@@ -198,11 +202,11 @@ class PieceEncoder:
         return out, np.append(0, after)[starts]
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, int | None], PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    """The process's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, pieces: int | None = None) -> PieceEncoder:
+    """The process's encoder for a vocabulary file, remembering up to so many pieces."""
+    if (path, pieces) not in _ENCODERS:
+        _ENCODERS[path, pieces] = PieceEncoder(path, pieces)
+    return _ENCODERS[path, pieces]

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
-from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidelake.operators.validation import validate_events
 from tidelake.schemas import QUARANTINE_TOPIC, VALIDATED_TOPIC
+from tidelake.session import settings
 from tidelake.sources.messages import route_messages
 
 
@@ -66,16 +65,3 @@ def observed_rows(query: StreamingQuery) -> dict[str, int]:
         for row in progress.observedMetrics.values():
             total.update({k: v or 0 for k, v in row.asDict().items()})
     return dict(total)
-
-
-@contextmanager
-def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
-    """Settings for a query that is started inside: it keeps those it was started with."""
-    earlier = {name: spark.conf.get(name, None) for name in wanted}
-    for name, value in wanted.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in earlier.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
