@@ -72,3 +72,25 @@ def test_many_bytes_of_few_questions_are_not_collected(spark, monkeypatch):
     monkeypatch.setattr(best_matches, "QUERY_BYTES", 300)
     monkeypatch.setattr(type(asked), "toArrow", lambda self: pytest.fail("collected"))
     assert shown(dense_knn(rows, asked, 3)) == small
+
+
+def test_a_query_travels_to_groups_of_cells_not_to_every_cell(spark, tmp_path, monkeypatch):
+    """Vectors without clusters: every query visits nearly all cells."""
+    from tidelake.operators import pruned_knn as module
+
+    travelled, visits = [], module._visits
+
+    def counted(*given):
+        travelled.append(visits(*given).count())
+        return visits(*given)
+
+    monkeypatch.setattr(module, "_visits", counted)
+    rows, cells = stored(spark, tmp_path, clustered(8, 400, spread=50.0), cells=40)
+    asked = table(spark, clustered(9, 30, spread=50.0), "query_id")
+    assert shown(pruned_knn(cells, asked, 3)) == shown(dense_knn(rows, asked, 3))
+    assert sum(travelled) <= 2 * 30
+    travelled.clear()
+    monkeypatch.setattr(module, "CELL_BYTES", 1)
+    parts = pruned_knn(cells, asked, 3, corpus_rows=100, query_rows=7)
+    assert shown(parts) == shown(dense_knn(rows, asked, 3))
+    assert sum(travelled) <= 2 * 30 * 5

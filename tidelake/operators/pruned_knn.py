@@ -11,11 +11,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.operators.best_matches import CORPUS_ROWS, arrow_type, rank_matches, scan
+from tidelake.operators.best_matches import CELL_BYTES, CORPUS_ROWS, arrow_type, rank_matches, scan
 from tidelake.operators.dense import CANDIDATES, dot_blocks, dot_scores, matrix
 from tidelake.session import shared_folder
 from tidelake.sources.vector_cells import Cells, distances
@@ -23,77 +24,148 @@ from tidelake.sources.vector_cells import Cells, distances
 # Room for the last digits of distances: a cell on the edge is visited.
 ROOM = 1e-6
 QUERY_BLOCK = 1024
+# Blocks of queries, each of which costs a copy of the vectors, until CELL_BYTES to a block ask for more.
+QUERY_BLOCKS = 24
+# Rows found in cells that a task holds before it cuts them to k a query.
+FOUND_ROWS = 1 << 18
 
 
-def _visits(
-    queries: DataFrame, pivots: np.ndarray, radius: np.ndarray, rows: np.ndarray, cell: np.ndarray,
-    k: int, first: bool,
-) -> DataFrame:
-    """query_id, vector, cell: the cells that each query (query_id, vector[, reach]) visits."""
-    shared = queries.sparkSession.sparkContext.broadcast((pivots, radius, rows, cell))
+def _chooser(known: Broadcast, k: int, first: bool,
+             ) -> Callable[[pa.ChunkedArray | pa.Array, np.ndarray | None], np.ndarray]:
+    """Which cells (columns) each of the vectors (rows) visits, in the first or the second round."""
 
-    def choose(near: np.ndarray, reach: np.ndarray | None) -> np.ndarray:
-        _, radius, rows, _ = shared.value
+    def choose(vectors: pa.ChunkedArray | pa.Array, reach: np.ndarray | None) -> np.ndarray:
+        pivots, radius, rows = known.value
+        near = distances(matrix(vectors), pivots)
         order = np.argsort(near, axis=1, kind="stable")
         held = np.cumsum(rows[order], axis=1) - rows[order]
         nearest = np.zeros(near.shape, bool)
         np.put_along_axis(nearest, order, held < k, axis=1)  # until the cells before hold k
-        if reach is None:
-            return nearest
-        return (near - radius <= reach[:, None] + ROOM) & ~nearest
+        return nearest if first else (near - radius <= reach[:, None] + ROOM) & ~nearest
+
+    return choose
+
+
+def _parts(table: pa.RecordBatch | pa.Table) -> Iterator[pa.RecordBatch | pa.Table]:
+    return (table.slice(at, QUERY_BLOCK) for at in range(0, table.num_rows, QUERY_BLOCK))
+
+
+def _reach(part: pa.RecordBatch | pa.Table, first: bool) -> np.ndarray | None:
+    return None if first else part.column("reach").to_numpy(zero_copy_only=False)
+
+
+def _groups(rows: np.ndarray, row_bytes: int, corpus_rows: int) -> np.ndarray:
+    """Consecutive cells as groups of about CELL_BYTES or corpus_rows, the larger; a group of each cell.
+
+    A query travels once to every group it visits a cell of, however many cells that are.
+    """
+    wanted = max(CELL_BYTES // max(row_bytes, 1), corpus_rows)
+    return ((np.cumsum(rows) - rows) // wanted).astype(np.int32)
+
+
+def _visits(queries: DataFrame, choose: Callable, place: np.ndarray, first: bool) -> DataFrame:
+    """The rows of ``queries`` (query_id, vector[, reach]) with ``place``, once for each place of a cell
+    that the query visits."""
+    shared = queries.sparkSession.sparkContext.broadcast(place)
+    names = queries.columns
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = shared.value
+        places, at = np.unique(place, return_inverse=True)
+        edges = np.eye(len(places), dtype=np.float32)[at]
         for batch in batches:
-            for part in (batch.slice(at, QUERY_BLOCK) for at in range(0, len(batch), QUERY_BLOCK)):
-                near = distances(matrix(part.column("vector")), shared.value[0])
-                reach = None if first else part.column("reach").to_numpy(zero_copy_only=False)
-                query, at = np.nonzero(choose(near, reach))
+            for part in _parts(batch):
+                chosen = choose(part.column("vector"), _reach(part, first))
+                query, to = np.nonzero(chosen.astype(np.float32) @ edges)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c).take(pa.array(query)) for c in ("query_id", "vector")]
-                    + [pa.array(shared.value[3][at], pa.int32())], ["query_id", "vector", "cell"])
+                    [part.column(c).take(pa.array(query)) for c in names]
+                    + [pa.array(places[to].astype(np.int32))], [*names, "place"])
 
-    fields = [f for f in queries.schema.fields if f.name in ("query_id", "vector")]
-    return queries.mapInArrow(visits, T.StructType([*fields, T.StructField("cell", T.IntegerType())]))
+    return queries.mapInArrow(visits, T.StructType([
+        *queries.schema.fields, T.StructField("place", T.IntegerType())]))
 
 
-def _scored(vectors: DataFrame, visits: DataFrame, cells: DataFrame, k: int,
-            corpus_rows: int) -> DataFrame:
+def _scored(vectors: DataFrame, queries: DataFrame, choose: Callable, cell: np.ndarray,
+            rows: np.ndarray, row_bytes: int, k: int, corpus_rows: int, query_rows: int | None,
+            first: bool) -> DataFrame:
     """query_id, id, dense_score: the k best of every cell for the queries that visit it.
 
-    A cell of very many vectors is cut into blocks by hash, each of which its queries visit.
+    Groups of cells meet blocks of queries. A group of very many vectors, which is one cell, is cut by
+    hash. Within a group only the pairs of a query and a cell that it visits are scored.
     """
-    blocks = F.broadcast(cells.select("cell", F.ceil(F.col("rows") / corpus_rows).cast("int").alias(
-        "blocks")))  # a row a cell, MOST_CELLS at most
-    left = vectors.join(blocks, "cell").select(
-        "id", "embedding", "cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
-    right = visits.join(blocks, "cell").select(
-        "query_id", "vector", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    spark = vectors.sparkSession
+    group = _groups(rows, row_bytes, corpus_rows)
+    held = np.bincount(group, rows, len(group) and group.max() + 1)
+    cuts = np.ceil(held / max(CELL_BYTES // max(row_bytes, 1), corpus_rows)).astype(int)
+    # A row a cell, MOST_CELLS at most.
+    known = F.broadcast(spark.createDataFrame(
+        [(int(c), int(g), int(cuts[g])) for c, g in zip(cell, group, strict=True)],
+        "cell int, place int, cuts int"))
+    places = F.broadcast(known.select("place", "cuts").distinct())
+    visiting = _visits(queries, choose, group, first)
+    asked = queries.count()
+    blocks = 1 + asked // query_rows if query_rows else max(
+        1 + asked * row_bytes // CELL_BYTES, min(1 + asked // QUERY_BLOCK, QUERY_BLOCKS))
+    left = vectors.join(known, "cell").select(
+        "id", "embedding", "cell", "place", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int").alias(
+            "cut"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    right = visiting.join(places, "place").withColumns({
+        "cut": F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)),
+        "block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")}).drop("cuts")
     schema = T.StructType([
-        T.StructField("query_id", visits.schema["query_id"].dataType),
+        T.StructField("query_id", queries.schema["query_id"].dataType),
         T.StructField("id", vectors.schema["id"].dataType), T.StructField("dense_score", T.DoubleType())])
-    arrow = pa.schema([("query_id", arrow_type(visits, "query_id")), ("id", arrow_type(vectors, "id")),
+    arrow = pa.schema([("query_id", arrow_type(queries, "query_id")), ("id", arrow_type(vectors, "id")),
                        ("dense_score", pa.float64())])
+    shared = spark.sparkContext.broadcast(cell)
+    pairs = ["place", "cut", "block"]
 
-    def cell(corpus: pa.Table, asked: pa.Table) -> pa.Table:
+    def grid(corpus: pa.Table, asked: pa.Table) -> pa.Table:
         if not corpus.num_rows or not asked.num_rows:
             return arrow.empty_table()
-        return scan(iter([corpus]), asked.column("query_id"), dot_blocks(asked.column("vector")),
-                    dot_scores("embedding"), "id", k, -np.inf, arrow)
-
-    return left.groupBy("cell", "block").cogroup(right.groupBy("cell", "block")).applyInArrow(
-        cell, schema)
+        cell = shared.value
+        corpus = corpus.sort_by("cell")
+        found, starts = np.unique(corpus.column("cell").to_numpy(), return_index=True)
+        ends = np.append(starts[1:], corpus.num_rows)
+        done = []
+        for part in _parts(asked):
+            out: list[pa.Table] = []
+            chosen = choose(part.column("vector"), _reach(part, first))[:, np.searchsorted(cell, found)]
+            for n in range(len(found)):
+                mine = pa.array(np.flatnonzero(chosen[:, n]))
+                if len(mine):
+                    out.append(scan(
+                        iter([corpus.slice(starts[n], ends[n] - starts[n])]),
+                        part.column("query_id").take(mine), dot_blocks(part.column("vector").take(mine)),
+                        dot_scores("embedding"), "id", k, -np.inf, arrow))
+                if sum(t.num_rows for t in out[1:]) > FOUND_ROWS:
+                    out = [_best(pa.concat_tables(out), k)]
+            if out:
+                done.append(_best(pa.concat_tables(out), k))
+        return pa.concat_tables(done) if done else arrow.empty_table()
+
+    return left.groupBy(*pairs).cogroup(right.groupBy(*pairs)).applyInArrow(grid, schema)
+
+
+def _best(found: pa.Table, k: int) -> pa.Table:
+    """The k best rows of each query; ties go to the smaller ID."""
+    ordered = found.sort_by([("query_id", "ascending"), ("dense_score", "descending"), ("id", "ascending")])
+    query = ordered.column("query_id").combine_chunks().dictionary_encode().indices.to_numpy()
+    place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
+    return ordered.take(pa.array(np.flatnonzero(place < k)))
 
 
 def pruned_knn(
     cells: Cells, queries: DataFrame, k: int = CANDIDATES, query_id: str = "query_id",
     embedding: str = "embedding", corpus_id: str = "chunk_id", corpus_rows: int = CORPUS_ROWS,
-    report: Callable[[DataFrame], None] | None = None,
+    query_rows: int | None = None, report: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """``(query_id, corpus_id, dense_score, rank)`` of the k nearest vectors, as `dense_knn`.
 
     Vectors have length one, so nearness is the dot product. How much is scored depends on how well the
     vectors lie in clusters; data without any is scored whole, for which `dense_knn` costs less.
-    ``report`` is given every visit (query_id, cell).
+    ``report`` is given every visit (query_id, cell). A visit costs no copy of the query: it travels to
+    groups of cells, of which a table has as many as it has CELL_BYTES.
     """
     spark = queries.sparkSession
     folder = shared_folder(spark)
@@ -106,17 +178,22 @@ def pruned_knn(
     pivots = matrix(known.column("pivot"))
     radius, rows, cell = (known.column(c).to_numpy() for c in ("radius", "rows", "cell"))
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(embedding).alias("vector"))
-    near = kept(_visits(asked, pivots, radius, rows, cell, k, True), "near")
-    found = kept(_scored(cells.vectors, near, cells.cells, k, corpus_rows), "found")
+    row_bytes = 8 * pivots.shape[1] + 64
+    sizes = (cell, rows, row_bytes, k, corpus_rows, query_rows)
+    shared = spark.sparkContext.broadcast((pivots, radius, rows))
+    nearest, within = _chooser(shared, k, True), _chooser(shared, k, False)
+    found = kept(_scored(cells.vectors, asked, nearest, *sizes, True), "found")
     best = rank_matches(found, "dense_score", k, "query_id", "id")
     bars = best.where(F.col("rank") == k).select("query_id", F.sqrt(
         F.greatest(2 - 2 * F.col("dense_score"), F.lit(0.0))).alias("reach"))
     open_ = asked.join(bars, "query_id", "left").select(
         "query_id", "vector", F.coalesce("reach", F.lit(float("inf"))).alias("reach"))
-    far = kept(_visits(open_, pivots, radius, rows, cell, k, False), "far")
+    open_ = kept(open_, "open")
     if report is not None:
-        report(near.unionByName(far).select("query_id", "cell"))
-    more = _scored(cells.vectors, far, cells.cells, k, corpus_rows)
+        report(_visits(asked, nearest, cell, True).select("query_id", F.col("place").alias(
+            "cell")).unionByName(_visits(open_, within, cell, False).select(
+                "query_id", F.col("place").alias("cell"))))
+    more = _scored(cells.vectors, open_, within, *sizes, False)
     ranked = rank_matches(found.unionByName(more), "dense_score", k, "query_id", "id")
     return ranked.select(F.col("query_id").alias(query_id), F.col("id").alias(corpus_id),
                          "dense_score", "rank")
