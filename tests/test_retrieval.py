@@ -22,9 +22,11 @@ from tidelake.operators.grounding import NO_CONTEXT, citations, grounded_context
 from tidelake.operators.lexical import bm25_search
 from tidelake.operators.term_index import bm25_index
 from tidelake.plans.retrieval import hybrid_retrieve, indexable_chunks
-from tidelake.schemas import CHUNK
+from tidelake.schemas import CHUNK, INDEXED_CHUNK
 from tidelake.plans.indexing import update_index
-from tidelake.sources.vector_table import compact_index, read_index, vector_table_sink
+from tidelake.session import settings
+from tidelake.sources.layers import write_snapshot
+from tidelake.sources.vector_table import STATE, compact_index, read_index, vector_table_sink
 
 WORDS = [f"w{n}" for n in range(60)] + ["the"] * 30
 
@@ -373,6 +375,51 @@ def test_an_update_writes_only_what_changed(spark, tmp_path):
     assert set(before) <= set(files())
 
 
+def test_reading_the_index_moves_no_chunks(spark, tmp_path):
+    """Of a table too large for Spark's own broadcasts: the index stays where it is."""
+    root = str(tmp_path / "index")
+
+    def chunks(*rows):
+        return indexable_chunks(spark.createDataFrame(
+            [(e, "c", "kind", t) for e, t in rows],
+            "event_id string, customer_id string, event_type string, document_text string"))
+
+    def texts():
+        index = read_index(spark, root)
+        plan = index._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        return sorted(r.text for r in index.collect())
+
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                          "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        vector_table_sink(chunks(("a", "one"), ("b", "two")), root)
+        assert texts() == ["one", "two"]
+        vector_table_sink(chunks(("a", "uno"), ("b", "due")), root)  # all of the snapshot
+        assert texts() == ["due", "uno"]
+        vector_table_sink(chunks(("b", "zwei"), ("c", "drei")), root)  # a part of the write before
+        assert texts() == ["drei", "uno", "zwei"]
+        vector_table_sink(chunks(("a", "eins")), root)
+        vector_table_sink(chunks(("d", "lost")).limit(0), root, documents=spark.createDataFrame(
+            [("c",)], "document_id string"))
+        assert texts() == ["eins", "zwei"]
+        compact_index(spark, root)
+        vector_table_sink(chunks(("b", "deux")), root)  # a part of the snapshot
+        assert texts() == ["deux", "eins"]
+
+
+def test_a_snapshot_without_state_gives_way_to_what_is_written_after(spark, tmp_path):
+    root = str(tmp_path / "index")
+    events = spark.createDataFrame(
+        [("a", "c", "kind", "one"), ("b", "c", "kind", "two")],
+        "event_id string, customer_id string, event_type string, document_text string")
+    write_snapshot(indexable_chunks(events).select(*INDEXED_CHUNK.names), root, INDEXED_CHUNK)
+    spark.createDataFrame([], STATE).write.parquet(f"{root}/state-{0:010d}")
+    assert read_index(spark, root).count() == 2
+    vector_table_sink(indexable_chunks(events.where("event_id = 'a'").withColumn(
+        "document_text", F.lit("uno"))), root)
+    assert sorted(r.text for r in read_index(spark, root).collect()) == ["two", "uno"]
+
+
 def test_the_flow_of_the_readme(spark, tmp_path):
     from tests import samples
     from tidelake.plans import refresh

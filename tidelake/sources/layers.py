@@ -128,7 +128,7 @@ def write_snapshot(
     spark = frame.sparkSession
     newest = current_version(spark, root)
     version = 0 if newest is None else newest + 1
-    rows.write.mode("overwrite").parquet(_version_path(root, version))
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(_version_path(root, version))
     spark.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(
         1).write.mode("append").json(f"{root}/versions")
     return _version_path(root, version)

@@ -15,10 +15,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tidelake.operators.history import newest_per_key
 from tidelake.operators.schema_guard import assert_schema
 from tidelake.schemas import INDEXED_CHUNK
+from tidelake.sizing import BROADCAST_BYTES
 from tidelake.sources.layers import current_version, read_layer, write_snapshot
 
 # digest is null where the writer gave none or the document is gone; write is empty for the snapshot.
@@ -71,7 +73,8 @@ def vector_table_sink(
         newest = _rows(spark, _beside(root, "state", version), STATE).agg(F.max("turn")).first()[0]
         turn = (newest or 0) + 1
         path = _beside(root, "changes", version)
-        fresh.withColumn("write", F.lit(write)).write.mode("append").parquet(path)
+        fresh.withColumn("write", F.lit(write)).write.mode("append").option(
+            "compression", "zstd").parquet(path)
         fresh = _rows(spark, path, CHANGE).where(F.col("write") == write)
     done = fresh.select("document_id").distinct() if documents is None else documents
     digest = F.col("digest") if "digest" in done.columns else F.lit(None).cast("string")
@@ -80,18 +83,50 @@ def vector_table_sink(
     state.write.mode("append").parquet(_beside(root, "state", version))
 
 
+def _superseded(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """document_id, write, stale: every write of each document, and whether a newer one took its place."""
+    newest_first = Window.partitionBy("document_id").orderBy(F.desc("turn"), F.desc("write"))
+    return _rows(spark, _beside(root, "state", version), STATE).select(
+        "document_id", "write", (F.first("write").over(newest_first) != F.col("write")).alias("stale"))
+
+
 def read_index(spark: SparkSession, root: str) -> DataFrame:
     """All chunks as of the newest write of their document.
 
-    The snapshot stays in place if the documents changed since fit a broadcast.
+    A write of which no document was written again is read as it is, one of which all were is left
+    out. Others, the snapshot too, stay in place if the documents in question fit a broadcast. The
+    driver gets a row per write since the snapshot.
     """
-    snapshot = read_layer(spark, root)
     version = current_version(spark, root)
-    changed = indexed_documents(spark, root).where(F.col("write") != "").select(
-        "document_id", "write")
+    snapshot, state = read_layer(spark, root), _superseded(spark, root, version)
+    size = F.octet_length("document_id") + 16
+    writes = {r["write"]: r for r in state.groupBy("write").agg(
+        F.count("*").alias("all"), F.count_if("stale").alias("stale"),
+        F.sum(F.when(F.col("stale"), size)).alias("stale_bytes"),
+        F.sum(F.when(~F.col("stale"), size + 48)).alias("live_bytes")).collect()}
+
+    def few(keys: DataFrame, size: int) -> DataFrame:
+        return F.broadcast(keys) if size <= BROADCAST_BYTES else keys
+
+    first = writes.pop("", None)
+    if first is None:  # the state of the snapshot was never written
+        snapshot = snapshot.join(state.select("document_id").distinct(), "document_id", "left_anti")
+    elif first["stale"] == first["all"]:
+        snapshot = snapshot.limit(0)
+    elif first["stale"]:
+        gone = state.where((F.col("write") == "") & F.col("stale")).select("document_id")
+        snapshot = snapshot.join(few(gone, first["stale_bytes"]), "document_id", "left_anti")
     changes = _rows(spark, _beside(root, "changes", version), CHANGE)
-    return snapshot.join(changed, "document_id", "left_anti").select(*INDEXED_CHUNK.names).unionByName(
-        changes.join(changed, ["document_id", "write"], "left_semi").select(*INDEXED_CHUNK.names))
+    whole = [w for w, r in writes.items() if not r["stale"]]
+    mixed = [w for w, r in writes.items() if 0 < r["stale"] < r["all"]]
+    rows = snapshot.select(*INDEXED_CHUNK.names).unionByName(
+        changes.where(F.col("write").isin(whole)).select(*INDEXED_CHUNK.names))
+    if mixed:
+        live = state.where(F.col("write").isin(mixed) & ~F.col("stale")).select("document_id", "write")
+        rows = rows.unionByName(changes.where(F.col("write").isin(mixed)).join(
+            few(live, sum(writes[w]["live_bytes"] for w in mixed)),
+            ["document_id", "write"], "left_semi").select(*INDEXED_CHUNK.names))
+    return rows
 
 
 def compact_index(spark: SparkSession, root: str) -> None:

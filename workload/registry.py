@@ -449,7 +449,9 @@ def indexed(index: DataFrame) -> DataFrame:
 @query
 def refresh_index(i: Inputs) -> DataFrame:
     """Index an earlier state, then what changed since: texts that were others, absent or extra."""
-    lake, events = scratch(i.spark), i.text_events()
+    lake = scratch(i.spark)
+    i.text_events().write.option("compression", "zstd").parquet(lake.silver)  # as history is stored
+    events = i.spark.read.parquet(lake.silver)
     number = F.crc32("event_id") % 5
     before = events.withColumn("document_text", F.when(number == 0, F.lit("an older text"))
                                .when(number == 1, F.lit(None)).otherwise(F.col("document_text")))
