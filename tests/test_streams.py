@@ -16,8 +16,14 @@ from tidelake.plans import refresh
 from tidelake.schemas import DELIVERY, QUARANTINE_TOPIC, VALIDATED_TOPIC
 from tidelake.sources import messages as io
 from tidelake.sources.derived_tables import read_current, read_gold
-from tidelake.sources.history_table import merge_history, read_changes, read_history
+from tidelake.sources.history_table import (
+    merge_history,
+    merged_buckets,
+    read_changes,
+    read_history,
+)
 from tidelake.sources.layers import LakePaths
+from tidelake.sources.partitioned import bucket_of, read_partitioned
 from tidelake.streaming import silver
 from tidelake.streaming.bronze import bronze_stream
 from tidelake.streaming.silver import silver_stream
@@ -100,6 +106,24 @@ def test_keyed_state_calls_no_python(spark):
     assert sorted(str(r.amount) for r in unseen.collect()) == ["2.00", "3.00"]
 
 
+def test_a_merge_shuffles_deliveries_once(spark, tmp_path):
+    """The newest of an event's deliveries is found where they meet history, null ages being oldest."""
+    root = str(tmp_path / "history")
+    merge_history(table(spark, row("x", 7, "1.00"), row("y", 8, "1.00", minute=9)), root)
+    late = table(spark, row("x", 7, "2.00", offset=2), row("x", 9, "4.00", minute=5, offset=3),
+                 row("x", 7, "3.00", offset=4), row("z", 7, "6.00"), row("y", 1, "9.00"))
+    late = late.unionByName(table(spark, row("z", 7, "7.00")).withColumn(
+        "ingested_at", F.lit(None).cast("timestamp")))
+    bucketed = late.withColumn("bucket", bucket_of(64, "event_id"))
+    met = merged_buckets(read_partitioned(spark, root, bucketed.schema), bucketed)
+    assert met._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {(r.after.event_id, str(r.after.amount), r.changed) for r in met.collect()} == {
+        ("x", "4.00", True), ("y", "1.00", False), ("z", "6.00", True)}
+    merge_history(late, root)
+    assert {(r.event_id, str(r.amount)) for r in read_history(spark, root).collect()} == {
+        ("x", "4.00"), ("y", "1.00"), ("z", "6.00")}
+
+
 def test_a_batch_that_fails_half_way_is_repeated(spark, tmp_path, monkeypatch):
     """The stream fails once its changes are published and before history has them."""
     lake = LakePaths(str(tmp_path))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.operators.history import DELIVERY_ORDER, silver_history
+from tidelake.operators.history import DELIVERY_ORDER
 from tidelake.operators.schema_guard import assert_schema
 from tidelake.schemas import DELIVERY
 from tidelake.sources.partitioned import (
@@ -48,18 +48,19 @@ def read_changes(spark: SparkSession, feed: str) -> DataFrame:
     return read_partitioned(spark, feed, CHANGE)
 
 
-def merged_buckets(existing: DataFrame, newest: DataFrame) -> DataFrame:
+def merged_buckets(existing: DataFrame, arrived: DataFrame) -> DataFrame:
     """bucket, before, after, changed for every event of the given buckets.
 
-    Both sides have one row per event. They meet by bucket, one shuffle, and stay there until they are
-    written, so each bucket becomes one file.
+    History has one row per event; of those that arrived the newest counts. They meet by bucket, one
+    shuffle for both, and stay there until they are written, so each bucket becomes one file.
     """
     row = F.struct(*DELIVERY.names).alias("row")
     both = existing.select("bucket", "event_id", row, F.lit(0).alias("side")).unionByName(
-        newest.select("bucket", "event_id", row, F.lit(1).alias("side")))
-    met = both.repartition("bucket").groupBy("bucket", "event_id").agg(*[
-        F.first(F.when(F.col("side") == n, F.col("row")), ignorenulls=True).alias(name)
-        for n, name in enumerate(("before", "offered"))])
+        arrived.select("bucket", "event_id", row, F.lit(1).alias("side")))
+    order = F.struct(*[F.col(f"row.{c}") for c in DELIVERY_ORDER])
+    met = both.repartition("bucket").groupBy("bucket", "event_id").agg(
+        F.first(F.when(F.col("side") == 0, F.col("row")), ignorenulls=True).alias("before"),
+        F.max_by("row", F.when(F.col("side") == 1, order)).alias("offered"))
     age = [F.struct(*[F.col(f"{side}.{c}") for c in DELIVERY_ORDER]) for side in ("offered", "before")]
     wins = F.col("before").isNull() | (F.col("offered").isNotNull() & (age[0] >= age[1]))
     changed = wins & ~F.col("offered").eqNullSafe(F.col("before"))
@@ -81,12 +82,11 @@ def merge_history(
     """
     spark, step = deliveries.sparkSession, step or uuid.uuid4().hex
     check_buckets(spark, root, buckets)
-    newest = silver_history(assert_schema(deliveries, DELIVERY)).withColumn(
-        "bucket", bucket_of(buckets, "event_id"))
+    rows = assert_schema(deliveries, DELIVERY).withColumn("bucket", bucket_of(buckets, "event_id"))
     # The deliveries are worked out once, and also when the step is repeated: a stream's batch has to
     # run for its state to be kept.
     path = f"{root}/_arrived/{step}"
-    newest.write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
     arrived = spark.read.schema(_BUCKETED).parquet(path)
     existing = read_partitioned(spark, root, _BUCKETED).where(
         F.col("bucket").isin(touched(arrived, "bucket")))

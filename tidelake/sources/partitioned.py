@@ -76,14 +76,14 @@ def staged(
     seen = Observation()
     if sums:
         rows = rows.observe(seen, *sums)
-    rows.write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(rows.schema).parquet(path), seen.get if sums else {}
 
 
 def replace_partitions(rows: DataFrame, root: str, partition: str) -> None:
     """Replace the partitions that occur in the rows."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition).parquet(root)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "compression", "zstd").partitionBy(partition).parquet(root)
 
 
 def apply_step(

@@ -133,10 +133,10 @@ def new_ids(i: Inputs) -> DataFrame:
     return bronze_ops.new_ids(d.where("batch = 'duplicates'"), d.where("batch = 'valid'"))
 
 
-def _merge_sides(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    """A target without one partition, and changes that are newer, stale or new.
+def _offered(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """A target without one partition, and deliveries that are newer, stale or new.
 
-    Late events of that partition are among the changes, so every event is on a side.
+    Late events of that partition are among the deliveries, so every event is on a side.
     """
     d = i.deliveries()
     stale = F.col("kafka_partition") == 1
@@ -146,7 +146,13 @@ def _merge_sides(i: Inputs) -> tuple[DataFrame, DataFrame]:
             F.col("ingested_at")),
     })
     target = d.where("batch <> 'duplicates' AND kafka_partition <> 2")
-    return target.select(*DELIVERY.names), history.silver_history(changes.select(*DELIVERY.names))
+    return target.select(*DELIVERY.names), changes.select(*DELIVERY.names)
+
+
+def _merge_sides(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """The same with one row per event among the changes."""
+    target, changes = _offered(i)
+    return target, history.silver_history(changes)
 
 
 @query
@@ -289,9 +295,9 @@ def silver_stream(i: Inputs) -> DataFrame:
 
 @query
 def merge_upsert_buckets(i: Inputs) -> DataFrame:
-    """The merge into a stored history, bucket by bucket."""
+    """The merge into a stored history, bucket by bucket; it takes the newest delivery itself."""
     lake = scratch(i.spark)
-    for side in _merge_sides(i):
+    for side in _offered(i):
         merge_history(side, lake.silver)
     return shown(read_history(i.spark, lake.silver))
 
