@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ from tidelake.streaming import silver
 from tidelake.streaming.bronze import bronze_stream
 from tidelake.streaming.silver import silver_stream
 from tidelake.streaming.validate import observed_rows, validate_stream
+from workload import registry
+from workload.views import Inputs
 
 
 def stage(frame, path):
@@ -150,6 +153,14 @@ def test_a_batch_that_fails_half_way_is_repeated(spark, tmp_path, monkeypatch):
         ("x", "2.00", "5.00")]
 
 
+def test_every_core_reads_a_batch_of_few_files(spark, tmp_path, monkeypatch):
+    """Files of one row group are read by a task each, whatever the number of cores."""
+    monkeypatch.setattr(registry, "ROW_GROUP", 1 << 13)
+    registry._staged_messages(Inputs(spark, "/root/testdata/sf0.001"), str(tmp_path / "raw"))
+    groups = [pq.ParquetFile(p).num_row_groups for p in (tmp_path / "raw").glob("*.parquet")]
+    assert sum(groups) > len(groups)
+
+
 def test_age_of_a_delivery():
     assert silver._AGE.count("long") == 4 and "kafka_offset long" in silver._AGE
 

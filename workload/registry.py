@@ -242,11 +242,14 @@ def stage_reconciliation(i: Inputs) -> DataFrame:
 
 # Streams
 
+# Bytes of a row group of messages: a batch of few files is still read by every core.
+ROW_GROUP = 4 << 20
+
 
 def _staged_messages(i: Inputs, path: str) -> None:
     i.messages().select(
         F.lit(None).cast("string").alias("key"), "value", "topic", "partition", "offset",
-        "timestamp").write.parquet(path)
+        "timestamp").write.option("parquet.block.size", str(ROW_GROUP)).parquet(path)
 
 
 @query
