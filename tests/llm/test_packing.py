@@ -4,12 +4,14 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.tables import documents, rows
 from tests.llm.test_tokens import whole
 from tidelake.llm import packing
+from tidelake.llm.huffman import text_slices
 from tidelake.llm.queries import vocabulary
 
 PATH = vocabulary("word_bpe_49k.json")
@@ -80,3 +82,11 @@ def test_sequences_hold_the_ids(spark):
 
 def test_empty(spark):
     assert packing.pack_documents(documents(spark, empty=True), PATH, 1).collect() == []
+
+
+def test_texts_are_encoded_two_megabytes_at_a_time():
+    """Six workers took 487 MB more with slices of 8 MB, beside a full heap."""
+    batch = pa.record_batch({"text": ["word " * 20_000] * 60})
+    parts = list(text_slices(batch, limit=packing.SLICE_BYTES))
+    assert sum(map(len, parts)) == 60
+    assert max(len(part) for part in parts) * 100_000 <= 2 << 20

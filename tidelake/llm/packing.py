@@ -30,6 +30,7 @@ GRID = 16  # of the middle length of three; the other two are any that fill the
 ROUNDS = 200
 # Pieces that a worker remembers: it runs beside a heap that earlier stages have filled.
 REMEMBERED = 200_000
+SLICE_BYTES = 2 << 20  # of text that it encodes at once, for the same reason
 
 Pattern = list[tuple[int, int]]  # length, how often
 
@@ -50,7 +51,7 @@ def cut_documents(docs: DataFrame, path: str, end_id: int, capacity: int = CAPAC
         coder, part, seen = encoder(path, REMEMBERED), TaskContext.get().partitionId(), np.zeros(
             capacity + 1, np.int64)
         for whole in batches:
-            for batch in text_slices(whole):
+            for batch in text_slices(whole, limit=SLICE_BYTES):
                 ids, starts = coder.encode(batch.column("text"), end_id)
                 size = np.diff(starts)
                 many = -(-size // capacity)
