@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import text
 from tidelake.operators import documents as d
-from tidelake.operators.best_matches import CELL_BYTES, SPARE_BYTES, grid_shape
+from tidelake.operators.best_matches import CELL_BYTES, SPARE_BYTES, TIE_DECIMALS, Best, grid_shape
 from tidelake.operators.dense import dense_knn
 from tidelake.operators.embedding import embed_text, normalize_vectors
 from tidelake.operators.fusion import hybrid_fuse, rerank, rrf_fuse
@@ -436,3 +436,34 @@ def test_the_flow_of_the_readme(spark, tmp_path):
         index = read_index(spark, lake.chunks)
         assert index.select("document_id").distinct().count() == documents
         assert hybrid_retrieve(index, questions).count() == 5
+
+
+def test_later_slices_are_compared_with_the_bar_and_not_sorted(monkeypatch):
+    # Once k rows a query are known, a slice costs a comparison; it used to be partitioned every time.
+    rng, k, rows, width, step = np.random.default_rng(3), 5, 64_000, 20, 1000
+    scores = rng.normal(size=(rows, width))
+    scores[:, 3] = np.round(scores[:, 3])       # ties at the k-th place
+    scores[:, 4] = np.arange(rows) // 3         # ever better ones, in threes
+    scores[:, 5] = -np.inf                      # nothing may be found
+    scores[::7, 6] = np.nan
+    scores[::2] += rng.uniform(-4e-13, 4e-13, (rows // 2, width))  # less than TIE_DECIMALS shows
+    partition, sorted_cells = np.partition, []
+
+    def counted(values, *args, **named):
+        sorted_cells.append(values.size)
+        return partition(values, *args, **named)
+
+    monkeypatch.setattr(np, "partition", counted)
+    best = Best(k, width)
+    ids = rng.permutation(rows)
+    for n in range(0, rows, step):
+        best.add(pa.array(ids[n:n + step]), scores[n:n + step], -np.inf)
+    assert sum(sorted_cells) < scores.size / 8
+    found = {(c, i) for c, i in zip(best.column.tolist(), best.ids.to_pylist(), strict=True)}
+    exact = np.round(scores, TIE_DECIMALS)
+    wanted = set()
+    for c in range(width):
+        there = np.flatnonzero(exact[:, c] > -np.inf)
+        first = there[np.lexsort((ids[there], -exact[there, c]))][:k]
+        wanted |= {(c, int(ids[n])) for n in first}
+    assert found == wanted

@@ -33,6 +33,7 @@ CELL_BYTES = 64 * 1024 * 1024
 SPARE_BYTES = 32 * 1024 * 1024
 FOUND_BYTES = 128
 TIE_DECIMALS = 12
+CROWD = 16  # times k rows a query: so many of a slice may pass before the bar is raised
 
 Prepared = list[tuple[np.ndarray, Any]]
 Prepare = Callable[[pa.Table], Prepared]
@@ -43,7 +44,11 @@ Score = Callable[[pa.Table, Any], Iterator[tuple[int, np.ndarray]]]
 
 
 class Best:
-    """The k best corpus rows so far for each query of one block; ties go to the smaller ID."""
+    """The k best corpus rows so far for each query of one block; ties go to the smaller ID.
+
+    ``bar`` is a query's k-th score so far. What is below it is left out by one comparison; only a
+    slice of which more than a few rows a query pass, the first one above all, raises it beforehand.
+    """
 
     def __init__(self, k: int, queries: int) -> None:
         self.k = k
@@ -54,26 +59,48 @@ class Best:
 
     def add(self, ids: pa.Array, scores: np.ndarray, floor: float) -> None:
         """Offer a slice of scores, of shape ids by queries; only scores above ``floor`` count."""
-        bar = self.bar
-        if len(ids) > self.k:
-            place = len(ids) - self.k
-            bar = np.maximum(bar, np.partition(scores, place, axis=0)[place])
-        row, column = np.nonzero((scores >= bar) & (scores > floor))
-        if not len(row):
+        if not scores.size:
             return
-        column = np.concatenate([self.column, column])
-        score = np.concatenate([self.score, scores[row, column[len(self.column):]]])
-        found = ids.take(pa.array(row, pa.int64()))
+        least = np.maximum(_before_rounding(self.bar), np.nextafter(floor, np.inf))
+        passed = scores >= least
+        for rows in (len(scores) // 16, len(scores)):
+            if rows > self.k and np.count_nonzero(passed) > CROWD * self.k * len(least):
+                place = rows - self.k
+                kth = np.partition(scores[:rows], place, axis=0)[place]
+                least = np.fmax(least, _before_rounding(kth))
+                passed = scores >= least
+        row, column = np.divmod(np.flatnonzero(passed), scores.shape[1])
+        score = np.round(scores[row, column], TIE_DECIMALS)
+        good = (score >= self.bar[column]) & (score > floor)
+        if not good.any():
+            return
+        found = ids.take(pa.array(row[good], pa.int64()))
+        column = np.concatenate([self.column, column[good]])
+        score = np.concatenate([self.score, score[good]])
         known = found if self.ids is None else pa.concat_arrays([self.ids, found])
-        rank = np.unique(known.to_numpy(zero_copy_only=False), return_inverse=True)[1]
-        order = np.lexsort((rank, -score, column))
-        place = np.arange(len(order)) - np.searchsorted(column[order], column[order], side="left")
-        keep = order[place < self.k]
-        last = order[place == self.k - 1]
-        self.bar[column[last]] = score[last]
-        self.column, self.score = column[keep], score[keep]
+        keep, last = self._first(column, score)
+        bar = self.bar.copy()
+        bar[column[last]] = score[last]
+        keep = np.flatnonzero(score >= bar[column])
+        if np.bincount(column[keep]).max() > self.k:  # scores equal to the k-th: by ID
+            some = known.take(pa.array(keep)).to_numpy(zero_copy_only=False)
+            rank = np.unique(some, return_inverse=True)[1]
+            keep = keep[self._first(column[keep], score[keep], rank)[0]]
+        self.bar, self.column, self.score = bar, column[keep], score[keep]
         self.ids = known.take(pa.array(keep))
 
+    def _first(self, column: np.ndarray, score: np.ndarray, *ties: np.ndarray,
+               ) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the k best of each query, and of its k-th if it has so many."""
+        order = np.lexsort((*ties, -score, column))
+        place = np.arange(len(order)) - np.searchsorted(column[order], column[order], side="left")
+        return order[place < self.k], order[place == self.k - 1]
+
+
+def _before_rounding(score: np.ndarray) -> np.ndarray:
+    """What no score that rounds to at least this one is below."""
+    return score - 10.0 ** -TIE_DECIMALS - 1e-15 * np.abs(score)
+
 
 def scan(
     tables: Iterator[pa.Table], query_ids: pa.ChunkedArray, prepared: Prepared, score: Score,
@@ -85,7 +112,7 @@ def scan(
         ids = table.column(corpus_id).combine_chunks()
         for mine, (_, block) in zip(best, prepared, strict=True):
             for first, scores in score(table, block):
-                mine.add(ids.slice(first, len(scores)), np.round(scores, TIE_DECIMALS), floor)
+                mine.add(ids.slice(first, len(scores)), scores, floor)
     parts = [
         pa.table([query_ids.take(pa.array(queries[mine.column])), mine.ids, pa.array(mine.score)],
                  schema=schema)
