@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_dart_dedup import groups, least
 from tests.llm.test_tokens import whole
 from tidelake.llm import secrets
 from tidelake.llm.queries import vocabulary
+from tidelake.session import settings
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -78,6 +81,25 @@ def test_every_copy_is_packed(steps):
     assert max(used.values()) <= 4096 and len(used) <= 1.05 * sum(used.values()) / 4096 + 1
 
 
+def test_results_written_after_a_stage_returned_take_small_batches(spark):
+    # Stages are called by themselves too; every one sets the batches that its result is written with.
+    assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [len(batch)], "bytes": [batch.nbytes]})
+
+    # Two partitions: many short rows, and fewer rows of 10 kB.
+    docs = spark.range(0, 9000, 1, 2).select(
+        F.when(F.col("id") < 4500, "x").otherwise(F.repeat(F.lit("x"), 10_000)).alias("text"))
+    stage = corpus_pipeline.in_small_batches(
+        lambda spark, docs, _: docs.mapInArrow(sizes, "rows long, bytes long"))
+    with settings(spark, {name: spark.conf.get(name) for name in corpus_pipeline.BATCH}):
+        found = stage(spark, docs, TABLES).collect()
+    assert sum(r["rows"] for r in found) == 9000
+    assert max(r["rows"] for r in found) <= 2000 and max(r["bytes"] for r in found) <= 5 << 20
+
+
 def test_run(spark, steps):
     found = corpus_pipeline.run(spark, TABLES).drop("sequence_id", "offset").collect()
     drop = ("sequence_id", "offset")

@@ -40,7 +40,7 @@ LEADERS = 4
 ROUNDS = 2  # of leaders, before the buckets that are still open are compared whole
 # Nodes, and bytes of text, that one block of an open bucket has about.
 BLOCK, BLOCK_BYTES = 512, 8 << 20
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
 

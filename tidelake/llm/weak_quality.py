@@ -24,7 +24,7 @@ from tidelake.llm.common import mixed
 TRAIN_ROWS = 4000  # rows the scorer is fitted on, about; all rows are voted on and scored
 FEATURES = 1 << 16
 KEEP = 0.25  # least score; short texts score lower than long ones, as less speaks for them
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 SEED = 1
 # What a heuristic is taken to be, whatever EM finds: seldom against a good text, and against some of
 # the bad ones. Kinds of bad texts differ, and each trips a few heuristics only; without this EM
