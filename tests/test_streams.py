@@ -15,6 +15,7 @@ from tidelake.operators.metrics import gold_daily_metrics, lost_between_stages
 from tidelake.operators.validation import validate_events
 from tidelake.plans import refresh
 from tidelake.schemas import DELIVERY, QUARANTINE_TOPIC, VALIDATED_TOPIC
+from tidelake.session import settings
 from tidelake.sources import messages as io
 from tidelake.sources.derived_tables import read_current, read_gold
 from tidelake.sources.history_table import (
@@ -293,3 +294,23 @@ def test_batch_and_stream_both_reach_the_topics(spark, tmp_path):
     assert refresh.published(spark, lake).count() == 18 + 2 + 18
     assert refresh.read_topic(spark, lake, QUARANTINE_TOPIC).count() == 4 + 4
     assert spark.read.parquet(lake.bronze).count() == 14 + 2 + 14
+
+
+def test_messages_are_validated_by_more_tasks_than_events_come_in(spark, tmp_path, monkeypatch):
+    # Events come in one row group, which one task read and validated.
+    spark.read.parquet("/root/testdata/sf0.01/events.parquet").coalesce(1).write.parquet(
+        f"{tmp_path}/events.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/documents.parquet").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    tasks, validate_batch = [], refresh.validate_batch
+
+    def counted(messages, lake):
+        tasks.append(messages.select(F.spark_partition_id()).distinct().count())
+        validate_batch(messages, lake)
+
+    monkeypatch.setattr(refresh, "validate_batch", counted)
+    monkeypatch.setattr(registry, "ROW_GROUP", 64 << 10)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "128k",
+                          "spark.sql.files.openCostInBytes": "64k"}):
+        registry.QUERIES["bronze_stream"](spark, str(tmp_path)).count()
+    assert tasks[0] > 1
