@@ -2,13 +2,15 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidelake.operators import posting_search as module
 from tidelake.operators.lexical import bm25_search
 from tidelake.operators.posting_search import block_report, posting_search
 from tidelake.operators.term_index import bm25_index
-from tidelake.sources.postings_table import read_postings, write_postings
+from tidelake.sources.postings_table import block_of, blocks_of, read_postings, write_postings
 
 
 def collection(spark, seed=1, chunks=1500):
@@ -88,3 +90,31 @@ def test_postings_travel_and_lie_as_numbers(spark, tmp_path):
     want = index.select("chunk_id", F.lit("text").alias("field"), F.explode("text_terms.term")).union(
         index.select("chunk_id", F.lit("title"), F.explode("title_terms.term")))
     assert sorted(map(tuple, known.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_scores_are_added_up_in_shards_and_few_rows_leave_them(spark, stored, monkeypatch):
+    """Every pair of a query and a chunk that a block held was a row, looked up term by term."""
+    left, by_shard = [], module._by_shard
+
+    def seen(*given):
+        left.append(by_shard(*given).count())
+        return by_shard(*given)
+
+    index, postings = stored
+    questions = spark.createDataFrame(list(enumerate(QUESTIONS)), "query_id long, query string")
+    monkeypatch.setattr(module, "_by_shard", seen)
+    monkeypatch.setattr(module, "SHARD_CHUNKS", 200)
+    monkeypatch.setattr(module, "QUERY_ROWS", 3)
+    assert rounded(posting_search(postings, questions, 5)) == rounded(bm25_search(index, questions, 5))
+    copies = 2  # texts repeat: some tie with the k-th
+    assert 5 < left[0] <= 8 * len(QUESTIONS) * 5 * copies
+
+
+def test_blocks_are_the_same_in_spark_and_numpy(spark):
+    numbers = np.concatenate([np.arange(4000), (7 << 33) + 256 * np.arange(4000)])
+    rows = spark.createDataFrame([(int(n),) for n in numbers], "number long")
+    for groups in (1, 8, 1024):
+        found = [r[0] for r in rows.select(block_of(F.col("number"), F.lit(groups))).collect()]
+        assert found == blocks_of(numbers, groups).tolist()
+        assert np.bincount(found, minlength=groups).max() <= 3 * len(numbers) / groups
+    assert (blocks_of(numbers, 1024) % 8 == blocks_of(numbers, 8)).all()

@@ -61,13 +61,13 @@ class Best:
         """Offer a slice of scores, of shape ids by queries; only scores above ``floor`` count."""
         if not scores.size:
             return
-        least = np.maximum(_before_rounding(self.bar), np.nextafter(floor, np.inf))
+        least = np.maximum(before_rounding(self.bar), np.nextafter(floor, np.inf))
         passed = scores >= least
         for rows in (len(scores) // 16, len(scores)):
             if rows > self.k and np.count_nonzero(passed) > CROWD * self.k * len(least):
                 place = rows - self.k
                 kth = np.partition(scores[:rows], place, axis=0)[place]
-                least = np.fmax(least, _before_rounding(kth))
+                least = np.fmax(least, before_rounding(kth))
                 passed = scores >= least
         row, column = np.divmod(np.flatnonzero(passed), scores.shape[1])
         score = np.round(scores[row, column], TIE_DECIMALS)
@@ -97,7 +97,7 @@ class Best:
         return order[place < self.k], order[place == self.k - 1]
 
 
-def _before_rounding(score: np.ndarray) -> np.ndarray:
+def before_rounding(score: np.ndarray) -> np.ndarray:
     """What no score that rounds to at least this one is below."""
     return score - 10.0 ** -TIE_DECIMALS - 1e-15 * np.abs(score)
 

@@ -1,26 +1,35 @@
-"""BM25 search that reads the blocks of postings that can matter. Exact.
+"""BM25 search that uses the blocks of postings that can matter. Exact.
 
 A first look at the best block of every query term gives each query a score that its k-th result
 reaches. Terms whose greatest contributions together stay below it find no chunk by themselves. Of the
-other terms a block is read if a chunk in it could reach that score were all its other terms at their
+other terms a block is used if a chunk in it could reach that score were all its other terms at their
 greatest; the chunks found there that may still reach it are then looked up, block by block, under the
-remaining terms. What is skipped can't be among the k best.
+remaining terms. What is skipped can't be among the k best. No pair of a query and a chunk is a row
+before it is among the k best of its shard.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.operators.best_matches import TIE_DECIMALS, rank_matches
+from tidelake.operators.best_matches import (
+    TIE_DECIMALS,
+    arrow_type,
+    before_rounding,
+    rank_matches,
+)
 from tidelake.operators.dense import CANDIDATES
 from tidelake.operators.lexical import BOOST, query_terms
 from tidelake.operators.term_index import FIELDS
 from tidelake.session import shared_folder
 from tidelake.sizing import broadcast_if_small, measure
-from tidelake.sources.postings_table import Postings, block_of
+from tidelake.sources.postings_table import Postings, blocks_of
 
 # So many distinct query terms, by measurement, are named to the file reader, which then skips files
 # and row groups without them.
@@ -30,6 +39,13 @@ NAMED_BYTES = 1 << 20
 ROOM = 1e-9
 _KEY = ["field", "term"]
 _TERM = ["query_id", "field"]
+_PIECE = ["part", *_KEY, "block", "groups", "greatest"]
+_PIECE_TYPES = "part int, field string, term string, block int, groups long, greatest double"
+# A shard has about so many chunks, or entries of the asked terms, whichever makes more shards.
+SHARD_CHUNKS = 1 << 14
+SHARD_ENTRIES = 1 << 20
+# Queries that meet a copy of the blocks they ask for.
+QUERY_ROWS = 1024
 
 
 def _kept(frame: DataFrame, folder: str, name: str) -> DataFrame:
@@ -61,35 +77,23 @@ def weighted(postings: Postings, asked: DataFrame) -> DataFrame:
         (boost * F.col("tf") * idf * F.col("greatest")).alias("most"))
 
 
-def _contributions(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
-    """query_id, field, term, number, part for all entries of the wanted blocks."""
+def _seeded(blocks: DataFrame, terms: DataFrame, folder: str) -> DataFrame:
+    """query_id, field, number, score by the best block of every query term alone."""
+    best = blocks.select(*_KEY, "block", "greatest").join(
+        broadcast_if_small(terms.select(*_KEY).distinct()), _KEY).groupBy(*_KEY).agg(
+        F.min_by("block", F.struct(-F.col("greatest"), "block")).alias("block"))
+    wanted = _kept(terms.join(best, _KEY).select("query_id", *_KEY, "block", "weight"), folder, "seeds")
     return blocks.join(broadcast_if_small(wanted), [*_KEY, "block"]).select(
-        "query_id", *_KEY, "weight", F.explode(F.arrays_zip("ids", "impacts")).alias("e")).select(
-        "query_id", *_KEY, F.col("e.ids").alias("number"),
-        (F.col("weight") * F.col("e.impacts")).alias("part"))
+        "query_id", "field", "weight", F.explode(F.arrays_zip("ids", "impacts")).alias("e")).groupBy(
+        "query_id", "field", F.col("e.ids").alias("number")).agg(
+        F.sum(F.col("weight") * F.col("e.impacts")).alias("score"))
 
 
-def _summed(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("query_id", "field", "number").agg(F.sum("part").alias("score"))
-
-
-def _directory(postings: Postings, terms: DataFrame) -> DataFrame:
-    """Every block of the query terms with its greatest contribution; lists are not read."""
-    return postings.blocks.select(*_KEY, "block", "greatest").join(
-        broadcast_if_small(terms), _KEY).withColumn("here", F.col("weight") * F.col("greatest"))
-
-
-def plan_blocks(
-    postings: Postings, terms: DataFrame, k: int, folder: str,
-) -> tuple[DataFrame, DataFrame]:
+def plan_terms(postings: Postings, terms: DataFrame, k: int, folder: str) -> DataFrame:
     """Terms with ``bar`` (what the k-th result of the query reaches at least), ``essential`` and
-    ``spare`` (the most that the other terms add); and the blocks to read of the essential ones."""
-    directory = _kept(_directory(postings, terms), folder, "directory")
-    best = Window.partitionBy("query_id", *_KEY).orderBy(F.col("here").desc(), "block")
-    seeds = directory.withColumn("nth", F.row_number().over(best)).where("nth = 1").select(
-        "query_id", *_KEY, "block", "weight")
-    seen = _summed(_contributions(postings.blocks, _kept(seeds, folder, "seeds")))
-    seen = seen.groupBy("query_id", "number").agg(F.max("score").alias("score"))
+    ``spare`` (the most that the other terms add)."""
+    seen = _seeded(postings.blocks, terms, folder).groupBy("query_id", "number").agg(
+        F.max("score").alias("score"))
     bars = _kept(rank_matches(seen, "score", k, "query_id", "number").where(
         F.col("rank") == k).select("query_id", (F.col("score") * (1 - ROOM)).alias("bar")),
         folder, "bars")
@@ -99,51 +103,128 @@ def plan_blocks(
         "bar": F.coalesce("bar", F.lit(0.0)),
         "spare": F.sum("most").over(total) - F.col("most"),
         "so_far": F.sum("most").over(weakest)})
-    rated = _kept(rated.withColumn("essential", F.col("so_far") >= F.col("bar")), folder, "rated")
-    essential = broadcast_if_small(rated.where("essential").select(
-        "query_id", *_KEY, "spare", "bar"))
-    chosen = directory.join(essential, ["query_id", *_KEY]).where(
-        F.col("here") + F.col("spare") >= F.col("bar")).select("query_id", *_KEY, "block", "weight")
-    return rated, _kept(chosen, folder, "chosen")
-
-
-def _looked_up(
-    blocks: DataFrame, found: DataFrame, rated: DataFrame, folder: str,
-) -> tuple[DataFrame, DataFrame]:
-    """Contributions of the other terms to the chunks that may still reach the bar; their blocks."""
-    others = rated.where("NOT essential")
-    slack = others.groupBy(*_TERM).agg(F.sum("most").alias("slack"))
-    bars = rated.select(*_TERM, "bar").distinct()
-    open_ = found.join(broadcast_if_small(bars), _TERM).join(
-        broadcast_if_small(slack), _TERM, "left").where(
-        F.col("score") + F.coalesce("slack", F.lit(0.0)) >= F.col("bar"))
-    open_ = _kept(open_, folder, "open")
-    asked = open_.select(*_TERM, "number").join(broadcast_if_small(others.select(
-        *_TERM, "term", "groups", "weight")), _TERM).withColumn(
-        "block", block_of(F.col("number"), F.col("groups")))
-    needed = _kept(asked.select(*_KEY, "block").distinct(), folder, "needed")
-    entries = blocks.join(broadcast_if_small(needed), [*_KEY, "block"], "left_semi").select(
-        *_KEY, F.explode(F.arrays_zip("ids", "impacts")).alias("e")).select(
-        *_KEY, F.col("e.ids").alias("number"), F.col("e.impacts").alias("impact"))
-    parts = asked.join(entries, [*_KEY, "number"]).select(
-        "query_id", *_KEY, "number", (F.col("weight") * F.col("impact")).alias("part"))
-    return open_.select("query_id", "field", "number", F.col("score").alias("part")).unionByName(
-        parts.drop("term")), needed
-
-
-def _searched(postings: Postings, queries: DataFrame, k: int, query: str, query_id: str,
-              ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    return _kept(rated.withColumn("essential", F.col("so_far") >= F.col("bar")), folder, "rated")
+
+
+def _split(shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Blocks as pieces (``shard`` first) that each lie in one shard; most lie in one as they are."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            sizes = np.diff(ids.offsets.to_numpy())
+            flat, impacts = ids.flatten(), batch.column("impacts").flatten()
+            place = np.repeat(np.arange(len(sizes)), sizes) * shards + blocks_of(flat.to_numpy(), shards)
+            order = np.argsort(place, kind="stable")
+            found, starts = np.unique(place[order], return_index=True)
+            edges = pa.array(np.append(starts, len(place)).astype(np.int32))
+            rows = pa.array(found // shards)
+            lists = [pa.ListArray.from_arrays(edges, c.take(pa.array(order))) for c in (flat, impacts)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((found % shards).astype(np.int32)),
+                 *[batch.column(c).take(rows) for c in _PIECE], *lists],
+                ["shard", *_PIECE, "ids", "impacts"])
+
+    return split
+
+
+class _Shard:
+    """The postings of one shard: entries of a term lie together, those of a block as well."""
+
+    def __init__(self, pieces: pa.Table) -> None:
+        pieces = pieces.sort_by([(c, "ascending") for c in (*_KEY, "block")]).combine_chunks()
+        ids, impacts = (pieces.column(c).combine_chunks() for c in ("ids", "impacts"))
+        self.numbers, self.at = np.unique(ids.flatten().to_numpy(), return_inverse=True)
+        self.impact = impacts.flatten().to_numpy()
+        self.sizes = np.diff(ids.offsets.to_numpy())
+        self.edges = np.append(0, np.cumsum(self.sizes))
+        self.block, self.greatest = (pieces.column(c).to_numpy() for c in ("block", "greatest"))
+        names = list(zip(*(pieces.column(c).to_pylist() for c in _KEY), strict=True))
+        starts = [n for n, name in enumerate(names) if not n or name != names[n - 1]]
+        self.terms = {names[a]: (a, b) for a, b in zip(starts, [*starts[1:], len(names)], strict=True)}
+        self.groups = pieces.column("groups").to_numpy()
+        self.used = np.zeros(len(names), bool)
+
+    def add(self, score: np.ndarray, weight: float, first: int, wanted: np.ndarray,
+            among: np.ndarray | None = None) -> None:
+        """A term's contributions from the wanted ones of its blocks, ``among`` the marked chunks."""
+        self.used[first:first + len(wanted)] |= wanted
+        part = slice(self.edges[first], self.edges[first + len(wanted)])
+        at, impact = self.at[part], self.impact[part]
+        if not wanted.all() or among is not None:
+            take = np.repeat(wanted, self.sizes[first:first + len(wanted)])
+            take = take if among is None else take & among[at]
+            at, impact = at[take], impact[take]
+        score[at] += weight * impact  # a chunk is in a term's entries once
+
+    def field_scores(self, terms: list[dict], bar: float) -> np.ndarray:
+        """What the chunks that may reach the bar score in a field; 0 for all others."""
+        score = np.zeros(len(self.numbers))
+        held = [(t, *self.terms[t["field"], t["term"]]) for t in terms
+                if (t["field"], t["term"]) in self.terms]
+        for t, a, b in held:
+            if t["essential"]:
+                self.add(score, t["weight"], a, t["weight"] * self.greatest[a:b] + t["spare"] >= bar)
+        slack = sum(t["most"] for t in terms if not t["essential"])
+        open_ = (score > 0) & (score + slack >= bar)
+        score[~open_] = 0
+        if slack and open_.any():
+            numbers = self.numbers[open_]
+            for t, a, b in held:
+                if not t["essential"]:
+                    needed = np.isin(self.block[a:b], blocks_of(numbers, int(self.groups[a])))
+                    self.add(score, t["weight"], a, needed, open_)
+        return score
+
+    def best(self, terms: list[dict], bar: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and scores of the k best chunks of a query and of those that tie with the last."""
+        score = np.zeros(len(self.numbers))
+        for field in FIELDS:
+            mine = [t for t in terms if t["field"] == field]
+            if mine:
+                np.maximum(score, self.field_scores(mine, bar), out=score)
+        least = np.partition(score, len(score) - k)[len(score) - k] if k < len(score) else 0.0
+        good = np.flatnonzero((score > 0) & (score >= before_rounding(least)))
+        return self.numbers[good], score[good]
+
+
+def _by_shard(postings: Postings, rated: DataFrame, pairs: Callable[[pa.Table, pa.Table], pa.Table],
+              schema: str) -> DataFrame:
+    """``pairs`` of the blocks in a shard that some query of a part may need, and of those queries.
+
+    Chunks are dealt to shards by the hash that gives their block, so what a chunk scores is added up
+    in one place. Blocks of terms that are essential to all their queries are left out if they can't
+    matter to any; of the others a shard uses those that its chunks need.
+    """
+    known = rated.agg(F.count_distinct("query_id").alias("queries")).first()["queries"]
+    parts = F.lit(1 + known // QUERY_ROWS)
+    rated = rated.withColumn("part", F.pmod(F.xxhash64("query_id"), parts).cast("int"))
+    entries = postings.terms.join(broadcast_if_small(rated.select(*_KEY).distinct()), _KEY).agg(
+        F.coalesce(F.sum("document_frequency"), F.lit(0)).alias("n")).first()["n"]
+    shards = 1
+    while shards < max(postings.chunks.count() // SHARD_CHUNKS, entries // SHARD_ENTRIES):
+        shards *= 2
+    enough = (F.col("bar") - F.col("spare")) / F.col("weight") - ROOM
+    wanted = rated.groupBy(*_KEY, "groups", "part").agg(
+        F.min(F.when(F.col("essential"), enough).otherwise(0.0)).alias("enough"))
+    pieces = postings.blocks.join(broadcast_if_small(wanted), _KEY).where("greatest >= enough").select(
+        *_PIECE, "ids", "impacts").mapInArrow(_split(shards), f"shard int, {_PIECE_TYPES}, "
+                                              "ids array<long>, impacts array<double>")
+    asked = rated.groupBy("part", "query_id").agg(F.max("bar").alias("bar"), F.collect_list(F.struct(
+        *_KEY, "weight", "most", "spare", "essential")).alias("terms")).select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "*")
+    by = ["shard", "part"]
+    return pieces.groupBy(*by).cogroup(asked.groupBy(*by)).applyInArrow(pairs, schema)
+
+
+def _planned(postings: Postings, queries: DataFrame, k: int, query: str, query_id: str,
+             ) -> tuple[Postings, DataFrame]:
     folder = shared_folder(queries.sparkSession)
     asked = _kept(query_terms(queries, query, query_id).withColumnRenamed(query_id, "query_id"),
                   folder, "asked")
     postings = _named(postings, asked)
     terms = _kept(weighted(postings, asked), folder, "terms")
-    rated, chosen = plan_blocks(postings, terms, k, folder)
-    found = _summed(_contributions(postings.blocks, chosen))
-    parts, needed = _looked_up(postings.blocks, found, rated, folder)
-    scores = _summed(parts).groupBy("query_id", "number").agg(
-        F.round(F.max("score"), TIE_DECIMALS).alias("lexical_score"))
-    return scores, queries.sparkSession.read.parquet(f"{folder}/directory"), chosen, needed
+    return postings, plan_terms(postings, terms, k, folder)
 
 
 def posting_search(
@@ -152,9 +233,26 @@ def posting_search(
 ) -> DataFrame:
     """``(query_id, chunk_id, lexical_score, rank)`` of the k best chunks per query, as `bm25_search`.
 
-    Work grows with the postings of the asked terms that can matter, not with the index.
+    Work grows with the postings of the asked terms that can matter, not with the index. Scores are
+    added up in arrays, a shard of the chunks at a time; k of each query leave it.
     """
-    scores = _searched(postings, queries, k, query, query_id)[0]
+    postings, rated = _planned(postings, queries, k, query, query_id)
+    arrow = pa.schema([("query_id", arrow_type(rated, "query_id")), ("number", pa.int64()),
+                       ("score", pa.float64())])
+
+    def searched(pieces: pa.Table, asked: pa.Table) -> pa.Table:
+        if not pieces.num_rows or not asked.num_rows:
+            return arrow.empty_table()
+        shard, found = _Shard(pieces), []
+        for q in _rows(asked):
+            numbers, score = shard.best(q["terms"], q["bar"], k)
+            found.append(pa.table([pa.repeat(pa.scalar(q["query_id"], arrow.types[0]), len(numbers)),
+                                   pa.array(numbers), pa.array(score)], schema=arrow))
+        return pa.concat_tables(found)
+
+    kind = rated.schema["query_id"].dataType.simpleString()
+    scores = _by_shard(postings, rated, searched, f"query_id {kind}, number long, score double").select(
+        "query_id", "number", F.round("score", TIE_DECIMALS).alias("lexical_score"))
     # Ties go to the smaller chunk ID: all that tie with the k-th best get theirs.
     order = Window.partitionBy("query_id").orderBy(F.col("lexical_score").desc())
     best = scores.where("lexical_score > 0").withColumn("place", F.rank().over(order)).where(
@@ -166,18 +264,35 @@ def posting_search(
         "query_id", query_id)
 
 
+def _rows(asked: pa.Table) -> Iterator[dict]:
+    """The queries one by one: their terms as Python objects, of as many as a batch has at a time."""
+    for batch in asked.to_batches():
+        yield from batch.to_pylist()
+
+
 def block_report(
     postings: Postings, queries: DataFrame, k: int = CANDIDATES, query: str = "query",
     query_id: str = "query_id",
 ) -> DataFrame:
-    """One row: distinct blocks of the asked terms, and how many of them a search reads and skips."""
-    _, directory, chosen, needed = _searched(postings, queries, k, query, query_id)
+    """One row: distinct blocks of the asked terms, and how many of them a search uses and skips."""
+    postings, rated = _planned(postings, queries, k, query, query_id)
+    arrow = pa.schema([("field", pa.string()), ("term", pa.string()), ("block", pa.int32())])
 
-    def marked(frame: DataFrame, read: int) -> DataFrame:
-        return frame.select(*_KEY, "block", F.lit(read).alias("read"))
+    def used(pieces: pa.Table, asked: pa.Table) -> pa.Table:
+        if not pieces.num_rows or not asked.num_rows:
+            return arrow.empty_table()
+        shard = _Shard(pieces)
+        for q in _rows(asked):
+            shard.best(q["terms"], q["bar"], k)
+        ordered = pieces.sort_by([(c, "ascending") for c in arrow.names]).select(arrow.names)
+        return ordered.filter(pa.array(shard.used)).cast(arrow)
 
-    every = marked(directory, 0).unionByName(marked(chosen, 1)).unionByName(marked(needed, 1))
-    seen = every.groupBy(*_KEY, "block").agg(F.max("read").alias("read"))
+    every = postings.blocks.select(*_KEY, "block").join(
+        broadcast_if_small(rated.select(*_KEY).distinct()), _KEY, "left_semi").withColumn(
+        "read", F.lit(0))
+    read = _by_shard(postings, rated, used, "field string, term string, block int").withColumn(
+        "read", F.lit(1))
+    seen = every.unionByName(read).groupBy(*_KEY, "block").agg(F.max("read").alias("read"))
     return seen.agg(
         F.count("*").alias("blocks"), F.coalesce(F.sum("read"), F.lit(0)).alias("blocks_read"),
         F.coalesce(F.sum(1 - F.col("read")), F.lit(0)).alias("blocks_skipped"))

@@ -37,8 +37,21 @@ class Postings:
     chunks: DataFrame
 
 
+# A hash of a number that Spark and numpy work out alike; products stay within 63 bits.
+_MIX, _LOW, _DROP = 2654435761, 0x7FFFFFFF, 24
+
+
 def block_of(number: Column, groups: Column) -> Column:
-    return F.pmod(F.xxhash64(number), groups).cast("int")
+    """The block of a chunk in a term of so many: a power of two, so blocks of one lie within those of
+    a smaller one."""
+    low = number.bitwiseXOR(F.shiftrightunsigned(number, 33)).bitwiseAND(F.lit(_LOW).cast("long"))
+    return F.shiftrightunsigned(low * F.lit(_MIX).cast("long"), _DROP).bitwiseAND(
+        groups.cast("long") - 1).cast("int")
+
+
+def blocks_of(numbers: np.ndarray, groups: int | np.ndarray) -> np.ndarray:
+    """The same of an array."""
+    return ((((numbers ^ (numbers >> 33)) & _LOW) * _MIX) >> _DROP) & (groups - 1)
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
