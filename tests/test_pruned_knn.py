@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidelake.operators.dense import dense_knn
@@ -94,3 +95,37 @@ def test_a_query_travels_to_groups_of_cells_not_to_every_cell(spark, tmp_path, m
     parts = pruned_knn(cells, asked, 3, corpus_rows=100, query_rows=7)
     assert shown(parts) == shown(dense_knn(rows, asked, 3))
     assert sum(travelled) <= 2 * 30 * 5
+
+
+def test_the_second_round_finds_only_what_is_as_near_as_the_kth_of_the_first(spark, tmp_path, monkeypatch):
+    """Every group of cells used to give k rows to every query that visited it."""
+    from tidelake.operators import pruned_knn as module
+
+    rounds, scored = [], module._scored
+
+    def kept(*given):
+        rounds.append([tuple(r) for r in scored(*given).collect()])
+        return scored(*given)
+
+    monkeypatch.setattr(module, "_scored", kept)
+    rows, cells = stored(spark, tmp_path, clustered(8, 400, spread=50.0), cells=40)
+    asked = table(spark, clustered(9, 30, spread=50.0), "query_id")
+    assert shown(pruned_knn(cells, asked, 3)) == shown(dense_knn(rows, asked, 3))
+    first, second = rounds
+    kth = {q: sorted((s for p, _, s in first if p == q), reverse=True)[2] for q, *_ in first}
+    assert second and all(s >= kth[q] - 1e-5 for q, _, s in second)
+
+
+def test_rows_are_ordered_once_for_many_small_slices(monkeypatch):
+    from tidelake.operators import best_matches
+
+    draw, sorted_rows, lexsort = np.random.default_rng(5), [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: sorted_rows.append(len(keys[-1])) or lexsort(keys))
+    scores, ids = draw.normal(size=(3000, 50)), np.arange(3000)
+    best = best_matches.Best(10, 50)
+    for n in range(0, 3000, 10):  # half of the queries at a time
+        for mine in (np.arange(0, 50, 2), np.arange(1, 50, 2)):
+            best.add(pa.array(ids[n:n + 10]), scores[n:n + 10][:, mine], -np.inf, mine)
+    found = sorted(zip(best.column.tolist(), best.ids.to_pylist(), strict=True))
+    assert found == sorted((c, int(i)) for c in range(50) for i in np.argsort(-scores[:, c])[:10])
+    assert sum(sorted_rows) < 30_000

@@ -48,20 +48,44 @@ class Best:
 
     ``bar`` is a query's k-th score so far. What is below it is left out by one comparison; only a
     slice of which more than a few rows a query pass, the first one above all, raises it beforehand.
+    It may be given what is known of it beforehand.
     """
 
-    def __init__(self, k: int, queries: int) -> None:
+    def __init__(self, k: int, queries: int, bar: np.ndarray | None = None) -> None:
         self.k = k
-        self.column = np.empty(0, np.int64)
-        self.score = np.empty(0, np.float64)
-        self.ids: pa.Array | None = None
-        self.bar = np.full(queries, -np.inf)
-
-    def add(self, ids: pa.Array, scores: np.ndarray, floor: float) -> None:
-        """Offer a slice of scores, of shape ids by queries; only scores above ``floor`` count."""
+        self._column = np.empty(0, np.int64)
+        self._score = np.empty(0, np.float64)
+        self._ids: pa.Array | None = None
+        self._offered: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+        self._waiting = 0
+        self.bar = np.full(queries, -np.inf) if bar is None else bar
+
+    @property
+    def column(self) -> np.ndarray:
+        """Places of the queries that the rows belong to."""
+        self._settle()
+        return self._column
+
+    @property
+    def score(self) -> np.ndarray:
+        self._settle()
+        return self._score
+
+    @property
+    def ids(self) -> pa.Array | None:
+        self._settle()
+        return self._ids
+
+    def add(self, ids: pa.Array, scores: np.ndarray, floor: float,
+            queries: np.ndarray | None = None) -> None:
+        """Offer a slice of scores, of shape ids by queries; only scores above ``floor`` count.
+
+        Its columns are all queries of the block, or those at the places ``queries``.
+        """
         if not scores.size:
             return
-        least = np.maximum(before_rounding(self.bar), np.nextafter(floor, np.inf))
+        known = self.bar if queries is None else self.bar[queries]
+        least = np.maximum(before_rounding(known), np.nextafter(floor, np.inf))
         passed = scores >= least
         for rows in (len(scores) // 16, len(scores)):
             if rows > self.k and np.count_nonzero(passed) > CROWD * self.k * len(least):
@@ -71,13 +95,23 @@ class Best:
                 passed = scores >= least
         row, column = np.divmod(np.flatnonzero(passed), scores.shape[1])
         score = np.round(scores[row, column], TIE_DECIMALS)
+        column = column if queries is None else queries[column]
         good = (score >= self.bar[column]) & (score > floor)
         if not good.any():
             return
-        found = ids.take(pa.array(row[good], pa.int64()))
-        column = np.concatenate([self.column, column[good]])
-        score = np.concatenate([self.score, score[good]])
-        known = found if self.ids is None else pa.concat_arrays([self.ids, found])
+        self._offered.append((column[good], score[good], ids.take(pa.array(row[good], pa.int64()))))
+        self._waiting += len(column[good])
+        if self._waiting >= len(self._column):  # so what is held is ordered for as many new rows
+            self._settle()
+
+    def _settle(self) -> None:
+        """Cut to the k best what was offered so far."""
+        if not self._offered:
+            return
+        columns, scores, ids = zip(*self._offered, strict=True)
+        self._offered, self._waiting = [], 0
+        column, score = np.concatenate([self._column, *columns]), np.concatenate([self._score, *scores])
+        known = pa.concat_arrays([*ids] if self._ids is None else [self._ids, *ids])
         keep, last = self._first(column, score)
         bar = self.bar.copy()
         bar[column[last]] = score[last]
@@ -86,8 +120,8 @@ class Best:
             some = known.take(pa.array(keep)).to_numpy(zero_copy_only=False)
             rank = np.unique(some, return_inverse=True)[1]
             keep = keep[self._first(column[keep], score[keep], rank)[0]]
-        self.bar, self.column, self.score = bar, column[keep], score[keep]
-        self.ids = known.take(pa.array(keep))
+        self.bar, self._column, self._score = bar, column[keep], score[keep]
+        self._ids = known.take(pa.array(keep))
 
     def _first(self, column: np.ndarray, score: np.ndarray, *ties: np.ndarray,
                ) -> tuple[np.ndarray, np.ndarray]:

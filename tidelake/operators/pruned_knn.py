@@ -16,18 +16,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.operators.best_matches import CELL_BYTES, CORPUS_ROWS, arrow_type, rank_matches, scan
-from tidelake.operators.dense import CANDIDATES, dot_blocks, dot_scores, matrix
+from tidelake.operators.best_matches import (
+    CELL_BYTES,
+    CORPUS_ROWS,
+    Best,
+    arrow_type,
+    rank_matches,
+    row_slices,
+)
+from tidelake.operators.dense import CANDIDATES, matrix
 from tidelake.session import shared_folder
 from tidelake.sources.vector_cells import Cells, distances
 
 # Room for the last digits of distances: a cell on the edge is visited.
 ROOM = 1e-6
 QUERY_BLOCK = 1024
-# Blocks of queries, each of which costs a copy of the vectors, until CELL_BYTES to a block ask for more.
-QUERY_BLOCKS = 24
-# Rows found in cells that a task holds before it cuts them to k a query.
-FOUND_ROWS = 1 << 18
+# Pairs of a group of cells and a block of queries, of which each block costs a copy of the vectors,
+# until CELL_BYTES to a block ask for more.
+PAIRS = 24
 
 
 def _chooser(known: Broadcast, k: int, first: bool,
@@ -105,7 +111,8 @@ def _scored(vectors: DataFrame, queries: DataFrame, choose: Callable, cell: np.n
     visiting = _visits(queries, choose, group, first)
     asked = queries.count()
     blocks = 1 + asked // query_rows if query_rows else max(
-        1 + asked * row_bytes // CELL_BYTES, min(1 + asked // QUERY_BLOCK, QUERY_BLOCKS))
+        1 + asked * row_bytes // CELL_BYTES,
+        min(1 + asked // QUERY_BLOCK, -(-PAIRS // max(1, int(cuts.sum())))))
     left = vectors.join(known, "cell").select(
         "id", "embedding", "cell", "place", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int").alias(
             "cut"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
@@ -127,34 +134,27 @@ def _scored(vectors: DataFrame, queries: DataFrame, choose: Callable, cell: np.n
         corpus = corpus.sort_by("cell")
         found, starts = np.unique(corpus.column("cell").to_numpy(), return_index=True)
         ends = np.append(starts[1:], corpus.num_rows)
+        ids, held = corpus.column("id").combine_chunks(), matrix(corpus.column("embedding"))
         done = []
         for part in _parts(asked):
-            out: list[pa.Table] = []
-            chosen = choose(part.column("vector"), _reach(part, first))[:, np.searchsorted(cell, found)]
+            vectors, reach = part.column("vector"), _reach(part, first)
+            chosen = choose(vectors, reach)[:, np.searchsorted(cell, found)]
+            vectors = matrix(vectors)
+            best = Best(k, len(vectors), None if first else 1 - (reach + ROOM) ** 2 / 2)
             for n in range(len(found)):
-                mine = pa.array(np.flatnonzero(chosen[:, n]))
-                if len(mine):
-                    out.append(scan(
-                        iter([corpus.slice(starts[n], ends[n] - starts[n])]),
-                        part.column("query_id").take(mine), dot_blocks(part.column("vector").take(mine)),
-                        dot_scores("embedding"), "id", k, -np.inf, arrow))
-                if sum(t.num_rows for t in out[1:]) > FOUND_ROWS:
-                    out = [_best(pa.concat_tables(out), k)]
-            if out:
-                done.append(_best(pa.concat_tables(out), k))
+                mine = np.flatnonzero(chosen[:, n])
+                block = vectors[mine].T
+                for start, end in row_slices(ends[n] - starts[n], len(mine)):
+                    at = starts[n] + start
+                    best.add(ids.slice(at, end - start), held[at:starts[n] + end] @ block, -np.inf, mine)
+            if best.ids is not None:
+                query = part.column("query_id").take(pa.array(best.column))
+                done.append(pa.table([query, best.ids, pa.array(best.score)], schema=arrow))
         return pa.concat_tables(done) if done else arrow.empty_table()
 
     return left.groupBy(*pairs).cogroup(right.groupBy(*pairs)).applyInArrow(grid, schema)
 
 
-def _best(found: pa.Table, k: int) -> pa.Table:
-    """The k best rows of each query; ties go to the smaller ID."""
-    ordered = found.sort_by([("query_id", "ascending"), ("dense_score", "descending"), ("id", "ascending")])
-    query = ordered.column("query_id").combine_chunks().dictionary_encode().indices.to_numpy()
-    place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
-    return ordered.take(pa.array(np.flatnonzero(place < k)))
-
-
 def pruned_knn(
     cells: Cells, queries: DataFrame, k: int = CANDIDATES, query_id: str = "query_id",
     embedding: str = "embedding", corpus_id: str = "chunk_id", corpus_rows: int = CORPUS_ROWS,
