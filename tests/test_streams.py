@@ -16,6 +16,7 @@ from tidelake.operators.validation import validate_events
 from tidelake.plans import refresh
 from tidelake.schemas import DELIVERY, QUARANTINE_TOPIC, VALIDATED_TOPIC
 from tidelake.session import settings
+from tidelake.sources import derived_tables
 from tidelake.sources import messages as io
 from tidelake.sources.derived_tables import read_current, read_gold
 from tidelake.sources.history_table import (
@@ -314,3 +315,28 @@ def test_messages_are_validated_by_more_tasks_than_events_come_in(spark, tmp_pat
                           "spark.sql.files.openCostInBytes": "64k"}):
         registry.QUERIES["bronze_stream"](spark, str(tmp_path)).count()
     assert tasks[0] > 1
+
+
+def test_followers_move_the_texts_of_rows_that_stand_and_no_others(spark, tmp_path, monkeypatch):
+    """Every change used to meet the others of its event, and of its group, with both its texts."""
+    lake, seen, newest = LakePaths(str(tmp_path)), [], derived_tables.newest_per_key
+    merge_history(table(spark, *[row(f"e{n}", 1 + n % 28, "1.00", offset=n) for n in range(60)]),
+                  lake.silver, lake.silver_changes, "first")
+    merge_history(table(spark, *[row(f"e{n}", 2, "3.00", minute=9, offset=90) for n in range(9)]),
+                  lake.silver, lake.silver_changes, "second")
+
+    def counted(frame, *given):
+        if "document_text" in frame.columns:
+            seen.append(frame.count())
+        return newest(frame, *given)
+
+    monkeypatch.setattr(derived_tables, "newest_per_key", counted)
+    met = derived_tables.net_changes(read_changes(spark, lake.silver_changes), ["customer_id"])
+    assert "document_text" not in met._jdf.queryExecution().executedPlan().toString()
+    refresh.follow_changes(spark, lake)
+    kept = silver_history(read_history(spark, lake.silver))
+    stands = read_current(spark, lake.silver_current)
+    same(stands, silver_current(kept))
+    assert seen == [stands.count()]
+    same(read_gold(spark, lake.gold), gold_daily_metrics(kept))
+    assert not [p for p in tmp_path.rglob("*.parquet") if "/_" in p.relative_to(tmp_path).as_posix()]

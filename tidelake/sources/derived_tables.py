@@ -10,6 +10,10 @@ nothing; readers don't see it.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,22 +28,35 @@ from tidelake.sources.partitioned import (
     bucket_of,
     check_buckets,
     read_partitioned,
+    remove,
     touched,
 )
 
 GOLD_KEY = ["customer_id", "event_day", "currency"]
 STATE_KEY = ["customer_id", "event_type"]
 BUCKETS = 64
+# What decides which row of a group stands.
+_RANKED = list(dict.fromkeys([*STATE_KEY, *STATE_ORDER]))
 _GOLD = T.StructType([*DAILY_METRICS.fields, T.StructField("day", T.DateType())])
 _STATE = T.StructType([
     *[T.StructField(f.name, f.dataType) for f in DELIVERY.fields],
     T.StructField("bucket", T.StringType())])
 
 
-def net_changes(changes: DataFrame) -> DataFrame:
-    """event_id, before, after: what several changes of an event come to."""
-    age = F.struct(*[F.col(f"after.{c}") for c in DELIVERY_ORDER])
-    return changes.groupBy("event_id").agg(
+def _of(side: str, columns: Iterable[str]) -> Column:
+    """Some columns of a change's row before or after; null if there is no such row."""
+    return F.when(F.col(side).isNotNull(), F.struct(*[F.col(f"{side}.{c}") for c in columns])).alias(side)
+
+
+def net_changes(changes: DataFrame, columns: Sequence[str] = DELIVERY.names) -> DataFrame:
+    """event_id, before, after: what several changes of an event come to, of ``columns`` alone.
+
+    Rows meet by event, so texts travel only if they are among the columns.
+    """
+    age = F.struct(*[f"_{c}" for c in DELIVERY_ORDER])
+    return changes.select(
+        "event_id", _of("before", columns), _of("after", columns),
+        *[F.col(f"after.{c}").alias(f"_{c}") for c in DELIVERY_ORDER]).groupBy("event_id").agg(
         F.min_by("before", age).alias("before"), F.max_by("after", age).alias("after"))
 
 
@@ -47,6 +64,18 @@ def _both_sides(net: DataFrame) -> DataFrame:
     return net.select(F.explode(F.array_compact(F.array("before", "after"))).alias("r")).select("r.*")
 
 
+@contextmanager
+def _worked_out(root: str, step: str, **frames: DataFrame) -> Iterator[list[DataFrame]]:
+    """Narrow frames of a step, worked out once beside the table for all that is asked of them."""
+    found = []
+    for name, frame in frames.items():
+        frame.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/_{name}/{step}")
+        found.append(frame.sparkSession.read.schema(frame.schema).parquet(f"{root}/_{name}/{step}"))
+    yield found
+    for name, frame in frames.items():
+        remove(frame.sparkSession, f"{root}/_{name}/{step}")
+
+
 def _event_day() -> Column:
     return F.date_trunc("day", "occurred_at").alias("event_day")
 
@@ -66,9 +95,15 @@ def refresh_gold(history: DataFrame, changes: DataFrame, root: str, step: str) -
     History is read for the touched groups alone, five narrow columns of it. Returns by how much the
     events that Gold accounts for have grown.
     """
-    spark = history.sparkSession
-    groups = _both_sides(net_changes(changes)).select(
+    facts = ("customer_id", "occurred_at", "currency")
+    touched_groups = _both_sides(net_changes(changes, facts)).select(
         "customer_id", _event_day(), "currency").distinct()
+    with _worked_out(root, step, groups=touched_groups) as (groups,):
+        return _refresh_gold(history, groups, root, step)
+
+
+def _refresh_gold(history: DataFrame, groups: DataFrame, root: str, step: str) -> dict[str, int]:
+    spark = history.sparkSession
     few = broadcast_if_small(groups)
     facts = history.select(*GOLD_KEY[::2], _event_day(), "occurred_at", "event_id", "amount").join(
         few, GOLD_KEY, "left_semi")
@@ -92,14 +127,19 @@ def refresh_current(history: DataFrame, changes: DataFrame, root: str, step: str
     """Newest event of the touched groups again, in the buckets of their keys.
 
     A new event is compared with the row that stands. History is read only for groups whose standing
-    row moved to another group or became older. Returns by how many rows the state has grown.
+    row moved to another group or became older. Which rows stand is found from keys and ages; only
+    their texts travel. Returns by how many rows the state has grown.
     """
-    spark = history.sparkSession
-    check_buckets(spark, root, buckets)
-    net = net_changes(changes)
+    check_buckets(history.sparkSession, root, buckets)
+    with _worked_out(root, step, net=net_changes(changes, _RANKED)) as (net,):
+        return _refresh_current(history, changes, net, root, step, buckets)
+
+
+def _refresh_current(history: DataFrame, changes: DataFrame, net: DataFrame, root: str, step: str,
+                     buckets: int) -> dict[str, int]:
     groups = _both_sides(net).select(*STATE_KEY).distinct().withColumn(
         "bucket", bucket_of(buckets, *STATE_KEY))
-    known = read_partitioned(spark, root, _STATE).where(
+    known = read_partitioned(history.sparkSession, root, _STATE).where(
         F.col("bucket").isin(touched(groups, "bucket")))
     standing = known.where("event_id IS NOT NULL").select(*DELIVERY.names)
     age = [F.struct(*[F.col(f"{side}.{c}") for c in STATE_ORDER]) for side in ("before", "after")]
@@ -108,11 +148,26 @@ def refresh_current(history: DataFrame, changes: DataFrame, root: str, step: str
         *[F.col(f"before.{c}").alias(c) for c in STATE_KEY], "event_id")
     open_ = broadcast_if_small(sunk.join(standing, [*STATE_KEY, "event_id"], "left_semi").select(
         *STATE_KEY).distinct())
-    offered = standing.join(open_, STATE_KEY, "left_anti").unionByName(
-        net.select("after.*").select(*DELIVERY.names)).unionByName(
-        history.join(open_, STATE_KEY, "left_semi").select(*DELIVERY.names))
-    best = newest_per_key(offered.join(broadcast_if_small(groups.select(*STATE_KEY)), STATE_KEY,
-                                       "left_semi"), STATE_KEY, STATE_ORDER)
+    among = broadcast_if_small(groups.select(*STATE_KEY))
+
+    def offered(arrived: DataFrame, columns: Sequence[str]) -> DataFrame:
+        rows = standing.join(open_, STATE_KEY, "left_anti"), arrived, history.join(
+            open_, STATE_KEY, "left_semi")
+        return reduce(DataFrame.unionByName, [r.select(*columns) for r in rows])
+
+    # Equal numbers of two rows do no harm: the newest of what they find is taken again.
+    number = F.xxhash64(*_RANKED).alias("_row")
+    ahead = newest_per_key(offered(net.select("after.*"), _RANKED).join(among, STATE_KEY, "left_semi"),
+                           STATE_KEY, STATE_ORDER).select(number)
+    with _worked_out(root, step, ahead=ahead) as (ahead,):
+        found = offered(changes.select("after.*"), DELIVERY.names).select("*", number).join(
+            broadcast_if_small(ahead), "_row", "left_semi").drop("_row")
+        best = newest_per_key(found, STATE_KEY, STATE_ORDER)
+        return _write_current(known, groups, best, root, step)
+
+
+def _write_current(known: DataFrame, groups: DataFrame, best: DataFrame, root: str, step: str,
+                   ) -> dict[str, int]:
     held = [c for c in DELIVERY.names if c not in STATE_KEY]
     now = groups.join(best.select(*STATE_KEY, F.struct(*held).alias("now")), STATE_KEY, "left")
     was = known.select(*STATE_KEY, "bucket", F.struct(*held).alias("was"))

@@ -92,6 +92,7 @@ def merge_history(
         F.col("bucket").isin(touched(arrived, "bucket")))
 
     def publish_changes(rows: DataFrame, sums: dict[str, int]) -> None:
+        remove(spark, path)  # the step is staged by now
         # A step's changes become visible at once; followers see them once.
         if feed is not None and not exists(spark, f"{feed}/step={step}"):
             replace_partitions(rows.where("changed").select(
@@ -104,5 +105,4 @@ def merge_history(
         merged_buckets(existing, arrived), root, step, "bucket",
         {"inserted": F.col("inserted").cast("long"), "changed": F.col("changed").cast("long")},
         [F.col("after.*"), "bucket"], publish_changes)
-    remove(spark, path)
     return sums

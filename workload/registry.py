@@ -284,7 +284,8 @@ def _streamed_history(i: Inputs) -> LakePaths:
     lake = scratch(i.spark)
     rows = i.deliveries()
     for part in ("batch = 'valid'", "batch <> 'valid'"):
-        rows.where(part).select(*DELIVERY.names).write.mode("append").parquet(lake.bronze)
+        rows.where(part).select(*DELIVERY.names).write.mode("append").option(
+            "compression", "zstd").parquet(lake.bronze)
         refresh.merge_silver(i.spark, lake)
         refresh.follow_changes(i.spark, lake)
     return lake
