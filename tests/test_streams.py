@@ -340,3 +340,22 @@ def test_followers_move_the_texts_of_rows_that_stand_and_no_others(spark, tmp_pa
     assert seen == [stands.count()]
     same(read_gold(spark, lake.gold), gold_daily_metrics(kept))
     assert not [p for p in tmp_path.rglob("*.parquet") if "/_" in p.relative_to(tmp_path).as_posix()]
+
+
+def test_a_streams_batch_takes_large_files(spark, monkeypatch):
+    """As small as the shuffle made them, four files a batch meant a batch for every few megabytes."""
+    batches, start = [], registry.start_silver
+
+    def counted(*given):
+        query = start(*given)
+        query.awaitTermination()
+        batches.append(query.lastProgress["batchId"] + 1)
+        return query
+
+    monkeypatch.setattr(registry, "start_silver", counted)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                          "spark.sql.shuffle.partitions": "30",
+                          "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+                          "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}):
+        stored = registry.QUERIES["silver_stream"](spark, "/root/testdata/sf0.001").count()
+    assert stored == 1000 and batches[0] <= 2  # the second brings no rows

@@ -28,7 +28,7 @@ from tidelake.plans.indexing import update_index
 from tidelake.plans.retrieval import hybrid_retrieve as retrieve
 from tidelake.plans.retrieval import indexable_chunks
 from tidelake.schemas import CHUNK, DELIVERY, VALIDATED_TOPIC
-from tidelake.session import shared_folder
+from tidelake.session import settings, shared_folder
 from tidelake.sizing import fits_broadcast
 from tidelake.sources import messages as message_io
 from tidelake.sources.derived_tables import read_current, read_gold
@@ -291,11 +291,22 @@ def _streamed_history(i: Inputs) -> LakePaths:
     return lake
 
 
+# Bytes of deliveries, as they are shuffled, that become a file of Bronze. A batch of few files rewrites
+# all buckets of history, however few rows it brings.
+BRONZE_FILE = 256 << 20
+
+
+def _store_bronze(i: Inputs, path: str) -> None:
+    with settings(i.spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(BRONZE_FILE)}):
+        as_deliveries(i).write.option("parquet.block.size", str(4 * ROW_GROUP)).option(
+            "compression", "zstd").parquet(path)
+
+
 @query
 def silver_stream(i: Inputs) -> DataFrame:
     """Bronze through keyed state into history; the same deliveries again change nothing."""
     lake = scratch(i.spark)
-    as_deliveries(i).write.parquet(lake.bronze)
+    _store_bronze(i, lake.bronze)
     stream = i.spark.readStream.schema(DELIVERY).option("maxFilesPerTrigger", "4").parquet(
         lake.bronze)
     start_silver(stream, lake.silver, lake.silver_changes,
